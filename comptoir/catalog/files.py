@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.schemas import INGEST_DATE, REQUIRED_FIELDS, SOURCE_FILE
-from comptoir.sinks import replace_table
+from comptoir.sinks import run
 from comptoir.sources.files import write_file
 
 # The smallest set of parts a workbook consists of.
@@ -98,7 +98,7 @@ def _store_files(files: DataFrame, folder: str) -> None:
                      for name, content in zip(batch["path"], batch["content"])]
             yield pd.DataFrame({"path": batch["path"], "octets": sizes})
 
-    replace_table(files.mapInPandas(store, "path string, octets bigint"), f"{folder}-ecrits")
+    run(files.mapInPandas(store, "path string, octets bigint"))
 
 
 def write_sales_csv(rows: DataFrame, folder: str) -> None:

@@ -66,8 +66,8 @@ def _json_items(text) -> Iterator:
         while True:
             try:
                 item, end = decoder.raw_decode(buffer, at)
-                # What ends with the piece may go on in the next one, as a number can.
-                if end < len(buffer) or ended:
+                # A number cut by the end of the piece goes on in the next one.
+                if ended or buffer[end:end + 1] not in ("", *"0123456789.eE+-"):
                     at = end
                     return item
             except json.JSONDecodeError:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from comptoir.operators import control, ingestion
 from comptoir.session import exists
-from comptoir.sinks import replace_partition, replace_table
+from comptoir.sinks import replace_partition, replace_table, run
 from comptoir.sources.files import copy_file
 from comptoir.sources.inventory import list_objects
 from comptoir.sources.landing import landing_files
@@ -93,13 +93,12 @@ def ingest(spark: SparkSession, landing: str, lake: str, at: datetime | None = N
     outcome = spark.read.parquet(decisions).withColumn("lot", F.lit(lot))
 
     accepted = outcome.where(F.col("statut") == ingestion.SUCCESS)
-    land(accepted, lake).write.mode("overwrite").parquet(f"{lake}/_ingestion/copies/lot={lot}")
+    run(land(accepted, lake))
     replace_partition(ingestion.journal_of(outcome).withColumn("lot", F.lit(lot)),
                       f"{lake}/_ingestion/journal", "lot", "json")
     replace_partition(outcome, f"{lake}/_ingestion/resultats", "lot")
 
     after = read_outcomes(spark, lake)
-    rejected = accepted.sparkSession.read.parquet(decisions).where(
-        F.col("statut") == ingestion.REJECTED)
+    rejected = outcome.where(F.col("statut") == ingestion.REJECTED)
     return Intake(after.where(F.col("lot") == lot), ingestion.manifest_of(after),
                   ingestion.journal_of(after), 0 if rejected.isEmpty() else 1)

@@ -1,5 +1,5 @@
 """Writers of the lake's zones."""
 
-from comptoir.sinks.tables import replace_partition, replace_table
+from comptoir.sinks.tables import replace_partition, replace_table, run
 
-__all__ = ["replace_partition", "replace_table"]
+__all__ = ["replace_partition", "replace_table", "run"]

@@ -11,6 +11,7 @@ import io
 import os
 import shutil
 import uuid
+from collections.abc import Iterator
 from urllib.parse import urlsplit
 
 CHUNK = 8 * 1024 * 1024
@@ -31,6 +32,23 @@ def open_input(path: str):
     return open(inner, "rb") if filesystem is None else filesystem.open_input_file(inner)
 
 
+def direct_children(folder: str) -> Iterator[tuple[str, str, int, int]]:
+    """(name, path, bytes, modification in microseconds) of the files of a folder, if it exists."""
+    filesystem, inner = _locate(folder)
+    if filesystem is None:
+        if os.path.isdir(inner):
+            for entry in os.scandir(inner):
+                if entry.is_file():
+                    found = entry.stat()
+                    yield entry.name, f"file:{entry.path}", found.st_size, found.st_mtime_ns // 1000
+        return
+    from pyarrow import fs
+    for entry in filesystem.get_file_info(fs.FileSelector(inner, allow_not_found=True)):
+        if entry.type == fs.FileType.File:
+            yield (entry.base_name, f"{folder}/{entry.base_name}", entry.size,
+                   (entry.mtime_ns or 0) // 1000)
+
+
 def _store(reader, path: str) -> int:
     filesystem, inner = _locate(path)
     if filesystem is not None:

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import batched
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.schemas import EXTENSIONS
+from comptoir.sources.files import direct_children
+
+LISTED = "source string, fichier string, chemin string, taille bigint, modifie_le bigint"
+BATCH_ROWS = 10_000
 
 
 def landing_files(spark: SparkSession, landing: str) -> DataFrame:
@@ -17,10 +25,30 @@ def landing_files(spark: SparkSession, landing: str) -> DataFrame:
     root = landing.rstrip("/").split(":", 1)[-1].lstrip("/")
     place = rf"^.*?/?\Q{root}\E/([^/]+)/([^/]+)$"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing)
-    return (files.select(
+    filled = files.select(
         F.regexp_extract("path", place, 1).alias("source"),
         F.regexp_extract("path", place, 2).alias("fichier"),
         F.col("path").alias("chemin"),
         F.col("length").alias("taille"),
         F.unix_micros("modificationTime").alias("modifie_le"),
-        "content").where(F.col("source").isin(*EXTENSIONS)))
+        "content").where(F.col("source").isin(*EXTENSIONS))
+    empty = empty_files(spark, landing).select("*", F.lit(b"").alias("content"))
+    return filled.unionByName(empty)
+
+
+def empty_files(spark: SparkSession, landing: str) -> DataFrame:
+    """Files of zero bytes, which Spark's file index leaves out; one task lists one folder."""
+
+    def list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["source", "fichier", "chemin", "taille", "modifie_le"]
+        for batch in batches:
+            for source, folder in zip(batch["source"], batch["dossier"]):
+                found = ((source, *entry) for entry in direct_children(folder)
+                         if entry[2] == 0 and not entry[0].startswith((".", "_")))
+                for rows in batched(found, BATCH_ROWS):
+                    yield pd.DataFrame(rows, columns=columns)
+
+    folders = spark.createDataFrame(
+        [(source, f"{landing.rstrip('/')}/{source}") for source in EXTENSIONS],
+        "source string, dossier string")
+    return folders.repartition(len(EXTENSIONS), "source").mapInPandas(list_folders, LISTED)

@@ -1,0 +1,81 @@
+"""Column rules, value by value."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from comptoir.functions import (
+    city_standard,
+    identifier,
+    joined_labels,
+    line_amount,
+    strict_date,
+    total_amount,
+    whole_number,
+)
+
+
+def apply(spark, values, kind, rule):
+    rows = spark.createDataFrame([(v,) for v in values], f"v {kind}")
+    return [row[0] for row in rows.select(rule(F.col("v"))).collect()]
+
+
+@pytest.mark.parametrize("text, number", [
+    ("3.0", 3), (" 4 ", 4), ("1e1", 10), ("3d", 3), ("0", 0), ("-2", -2), ("2147483647", 2147483647),
+    ("2.5", None), ("-0.5", None), ("abc", None), ("", None), (None, None), ("NaN", None),
+    ("Infinity", None), ("10000000000", None), ("1e300", None),
+])
+def test_whole_number(spark, text, number):
+    assert apply(spark, [text], "string", whole_number) == [number]
+
+
+@pytest.mark.parametrize("text, date", [
+    ("2026-03-01", "2026-03-01"), ("2026-02-30", None), ("2026-3-1", None), ("", None),
+    ("2026-03-01 10:00", None), (" 2026-03-01", None), (None, None),
+])
+def test_strict_date(spark, text, date):
+    assert apply(spark, [text], "string", lambda c: strict_date(c).cast("string")) == [date]
+
+
+@pytest.mark.parametrize("text, city", [
+    ("  PARIS ", "Paris"), ("saint-étienne", "Saint-étienne"), ("LE  MANS", "Le  Mans"),
+    ("", None), ("   ", None), (None, None), ("\tlyon", "\tlyon"),
+])
+def test_city_standard(spark, text, city):
+    assert apply(spark, [text], "string", city_standard) == [city]
+
+
+def test_identifier_ignores_case_and_spaces(spark):
+    rows = spark.createDataFrame([(" c7 ",), (None,)], "v string")
+    assert [r[0] for r in rows.select(identifier("v")).collect()] == ["C7", None]
+
+
+def test_amount_rounds_half_up_on_the_written_number(spark):
+    assert apply(spark, [1.005, 2.675, -1.005], "double", lambda c: line_amount(F.lit(1), c)) == [
+        1.01, 2.68, -1.01]
+
+
+def total(spark, values, partitions=1):
+    rows = spark.createDataFrame([(v,) for v in values], "v double").repartition(partitions)
+    return rows.agg(total_amount(F.col("v"))).first()[0]
+
+
+def test_total_is_exact_in_any_order(spark):
+    values = [0.1] * 1000 + [1e13 + 0.25, -1e13]
+    assert total(spark, values) == total(spark, values[::-1], 8) == 100.25
+
+
+def test_total_of_unusual_amounts(spark):
+    assert math.isnan(total(spark, [1.5, float("nan")]))
+    assert total(spark, [1.5, float("inf")]) == float("inf")
+    assert total(spark, [1e30, 1.0]) == 1e30
+    assert total(spark, [None, 2.0]) == 2.0
+    assert total(spark, [None]) is None
+    assert total(spark, []) is None
+
+
+def test_labels_keep_their_order_and_are_null_if_none(spark):
+    rows = spark.createDataFrame([(1, "avant"), (0, "avant"), (0, None)], "v int, a string")
+    labels = joined_labels([(F.col("v") == 1, "un"), (F.col("v") > 0, "positif")], before=F.col("a"))
+    assert [r[0] for r in rows.select(labels).collect()] == ["avant, un, positif", "avant", None]
