@@ -12,6 +12,7 @@ from comptoir.catalog.inputs import source
 from comptoir.functions import city_standard
 from comptoir.operators import cleaning, control, enrichment, ingestion, versions
 from comptoir.operators import profiling as P
+from comptoir.operators.joins import lookup
 from comptoir.operators.revenue import revenue_by
 from comptoir.plans.batch import CURATED, run_batch
 from comptoir.schemas import KEYS
@@ -49,7 +50,7 @@ def priced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Usable sales as revenue needs them: the customer adds nothing and is not joined."""
     sales, products, stores = (
         cleaning.CLEANERS[name](source(spark, sf_dir, name)) for name in ("ventes", "produits", "magasins"))
-    joined = sales.join(products, "id_produit", "left").join(stores, "id_magasin", "left")
+    joined = lookup(lookup(sales, products, "id_produit"), stores, "id_magasin")
     return (enrichment.fill_references(joined).where(enrichment.usable())
             .withColumn("montant", enrichment.amount()))
 

@@ -1,8 +1,9 @@
 """Control of arriving files: extension, readable structure, required fields, data rows.
 
 A file has to be read front to back to be fingerprinted and parsed, so the unit of work is one
-file and Spark spreads the files over the tasks. Contents up to ``INLINE_BYTES`` travel as a
-column; a larger file is opened by its task and read as a stream, whatever its size.
+file and Spark spreads the files over the tasks. A task opens the files it is given: contents
+are in no row and cross no shuffle. Small files are read at once, larger ones as a stream,
+whatever their size.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from comptoir.schemas import EXTENSIONS, REQUIRED_FIELDS
 from comptoir.sources.files import CHUNK, open_input
 from comptoir.sources.workbook import sheet_rows
 
-INLINE_BYTES = 32 * 1024 * 1024
+WHOLE_BYTES = 32 * 1024 * 1024
 
 # Reasons as they are written to the journal.
 EMPTY_FILE = "fichier vide"
@@ -38,9 +39,6 @@ ERROR_CHARACTERS = 80
 FINDINGS = "sha256 string, champs array<string>, lignes bigint, defaut string"
 
 
-NOT_READ = (None, None, None)
-
-
 class Unsuitable(Exception):
     """The content is readable but not what the source delivers."""
 
@@ -168,33 +166,19 @@ def _inspect(stream, extension: str, whole: bool) -> tuple[list[str] | None, int
         return None, None, UNREADABLE.format(type(error).__name__, str(error)[:ERROR_CHARACTERS])
 
 
-def _inspect_contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        found = [_inspect(io.BytesIO(content), extension, True) if extension else NOT_READ
-                 for content, extension in zip(batch["content"], batch["extension"])]
-        yield _with_findings(batch.drop(columns=["content", "extension"]), found)
-
-
-def _inspect_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        prints, found = [], []
-        for path, extension in zip(batch["chemin"], batch["extension"]):
-            with open_input(path) as stream:
-                prints.append(hashlib.file_digest(stream, "sha256").hexdigest())
-            if not extension:
-                found.append(NOT_READ)
-                continue
-            with open_input(path) as stream:
-                found.append(_inspect(stream, extension, False))
-        yield _with_findings(batch.drop(columns=["extension"]).assign(sha256=prints), found)
-
-
-def _with_findings(batch: pd.DataFrame, found: list[tuple]) -> pd.DataFrame:
-    fields, rows, defects = ([f[i] for f in found] for i in range(3))
-    return batch.assign(
-        champs=pd.Series(fields, index=batch.index, dtype=object),
-        lignes=pd.array(rows, dtype="Int64"),
-        defaut=pd.Series(defects, index=batch.index, dtype=object))
+def _examine(path: str, size: int, extension: str | None, content: bytes | None,
+             whole_bytes: int) -> tuple:
+    """(fingerprint, fields, data rows, defect); a file with a foreign extension is not parsed."""
+    whole = content is not None or size <= whole_bytes
+    if whole and content is None:
+        with open_input(path) as stream:
+            content = stream.read()
+    with io.BytesIO(content) if whole else open_input(path) as stream:
+        fingerprint = hashlib.file_digest(stream, "sha256").hexdigest()
+        if not extension:
+            return fingerprint, None, None, None
+        stream.seek(0)
+        return fingerprint, *_inspect(stream, extension, whole)
 
 
 def suffix(name: Column) -> Column:
@@ -213,26 +197,31 @@ def required_fields(source: Column) -> Column:
                           for part in (F.lit(name), F.array(*map(F.lit, fields)))])[source]
 
 
-def inspect_files(files: DataFrame, inline_bytes: int = INLINE_BYTES) -> DataFrame:
-    """Fingerprint, fields, data rows and defect of every file; the content is left behind.
+def inspect_files(files: DataFrame, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """Fingerprint, fields, data rows and defect of every file.
 
-    ``files`` holds source, fichier, chemin, taille and content. The filter on the size reaches
-    the listing, so contents above the limit are not loaded into rows.
+    ``files`` holds source, fichier, chemin and taille. A column ``content`` takes the place of
+    opening ``chemin`` and is left behind.
     """
     extension = F.lower(suffix(F.col("fichier")))
     readable = F.array_contains(accepted_extensions(F.col("source")), extension)
     kept = [field for field in files.schema if field.name != "content"]
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], FINDINGS])
-    described = files.select(
-        *[f.name for f in kept], F.when(readable, extension).alias("extension"), "content")
 
-    # A file with a foreign extension is rejected unread: its content stays on the JVM side.
-    inline = described.where(F.col("taille") <= inline_bytes).select(
-        "*", F.sha2("content", 256).alias("sha256")).withColumn(
-        "content", F.when(F.col("extension").isNotNull(), F.col("content")))
-    large = described.where(F.col("taille") > inline_bytes).drop("content")
-    return (inline.mapInPandas(_inspect_contents, schema)
-            .unionByName(large.mapInPandas(_inspect_paths, schema)))
+    def inspect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            contents = batch["content"] if "content" in batch else [None] * len(batch)
+            found = [_examine(*file, whole_bytes) for file in zip(
+                batch["chemin"], batch["taille"], batch["extension"], contents)]
+            prints, fields, rows, defects = ([f[i] for f in found] for i in range(4))
+            yield batch[[f.name for f in kept]].assign(
+                sha256=prints,
+                champs=pd.Series(fields, index=batch.index, dtype=object),
+                lignes=pd.array(rows, dtype="Int64"),
+                defaut=pd.Series(defects, index=batch.index, dtype=object))
+
+    return (files.withColumn("extension", F.when(readable, extension))
+            .mapInPandas(inspect, schema))
 
 
 def control_reason(inspected: DataFrame) -> Column:
@@ -248,7 +237,7 @@ def control_reason(inspected: DataFrame) -> Column:
             .when(F.col("lignes") <= 0, F.lit(NO_ROWS)))
 
 
-def control_files(files: DataFrame, inline_bytes: int = INLINE_BYTES) -> DataFrame:
+def control_files(files: DataFrame, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
     """One row per file with ``sha256``, ``lignes`` and the ``motif`` of a refusal."""
-    inspected = inspect_files(files, inline_bytes)
+    inspected = inspect_files(files, whole_bytes)
     return inspected.withColumn("motif", control_reason(inspected)).drop("champs", "defaut")

@@ -1,9 +1,4 @@
-"""Sales joined with customers, products and stores.
-
-The joins carry no hint: Catalyst broadcasts a dimension whose size is below
-``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, where adaptive execution splits
-the partition of a hot identifier on the sales side (a left join may split its left side).
-"""
+"""Sales joined with customers, products and stores."""
 
 from __future__ import annotations
 
@@ -12,6 +7,7 @@ from pyspark.sql import functions as F
 
 from comptoir import schemas as S
 from comptoir.functions import joined_labels, line_amount
+from comptoir.operators.joins import lookup, unclustered
 
 
 STAND_INS = {
@@ -28,7 +24,7 @@ def attach_references(sales: DataFrame, customers: DataFrame, products: DataFram
     """Every sale with what is known of its customer, product and store."""
     matched = sales
     for key, dimension in (("id_produit", products), ("id_magasin", stores), ("id_client", customers)):
-        matched = matched.join(dimension, on=key, how="left")
+        matched = lookup(matched, dimension, key)
     return matched
 
 
@@ -70,7 +66,7 @@ def usable_sales(matched: DataFrame) -> DataFrame:
 
 def rejected_sales(matched: DataFrame) -> DataFrame:
     """The other sales, with rows equal in every column kept once."""
-    return matched.where(~usable()).distinct()
+    return unclustered(matched.where(~usable())).distinct()
 
 
 def enrich_sales(sales: DataFrame, customers: DataFrame, products: DataFrame,

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.operators.control import suffix
+from comptoir.operators.joins import lookup
 from comptoir.schemas import EXTENSIONS
 
 # Statuses, folders and reasons as they are written to the journal.
@@ -59,8 +60,8 @@ def decide(controlled: DataFrame, manifest: DataFrame, taken: DataFrame, filed:
         F.struct(F.lit(0).cast("bigint").alias("rang"), "fichier", "source", "destination", "date")
         .alias("premier"))
     plain = sound.select("*", destination(at[:10]).alias("destination"))
-    free = (plain.join(taken.select("destination", F.lit(True).alias("_pris")).distinct(),
-                       "destination", "left")
+    in_use = taken.select("destination", F.lit(True).alias("_pris")).distinct()
+    free = (lookup(plain, in_use, "destination")
             .withColumn("destination", F.when(F.col("_pris"), with_inserted(
                 F.col("destination"), F.concat(F.lit("__"), F.left("sha256", F.lit(8)))))
                 .otherwise(F.col("destination")))
@@ -73,7 +74,7 @@ def decide(controlled: DataFrame, manifest: DataFrame, taken: DataFrame, filed:
 
     first = F.col("premier")
     is_first = ((first["rang"] == F.col("rang")) & (first["fichier"] == F.col("fichier")))
-    judged = free.join(firsts, "sha256", "left").select(
+    judged = lookup(free, firsts, "sha256").select(
         *kept,
         F.when(is_first, SUCCESS).otherwise(DUPLICATE).alias("statut"),
         F.when(is_first, F.format_string(ROWS_TAKEN, "lignes"))
@@ -86,9 +87,9 @@ def _file_away(outcome: DataFrame, filed: DataFrame, at: str) -> DataFrame:
     """Where the arrived file belongs afterwards; a name already used there gets a time suffix."""
     folder = F.when(F.col("statut") == REJECTED, REJECTED_FOLDER).otherwise(ARCHIVE_FOLDER)
     stamp = "_" + "".join(c for c in at if c.isdigit())
-    return (outcome
-            .withColumn("rangement", F.concat_ws("/", folder, "source", "fichier"))
-            .join(filed.select("rangement", F.lit(True).alias("_pris")).distinct(), "rangement", "left")
+    in_use = filed.select("rangement", F.lit(True).alias("_pris")).distinct()
+    placed = outcome.withColumn("rangement", F.concat_ws("/", folder, "source", "fichier"))
+    return (lookup(placed, in_use, "rangement")
             .withColumn("rangement", F.when(F.col("_pris"), with_inserted(
                 F.col("rangement"), F.lit(stamp))).otherwise(F.col("rangement")))
             .withColumn("date", F.lit(at))

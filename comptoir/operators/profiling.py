@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.functions import missing, strict_date
+from comptoir.operators.joins import lookup
 
 
 def missing_values(rows: DataFrame) -> DataFrame:
@@ -45,14 +46,14 @@ def duplicate_rows(rows: DataFrame, key: str) -> DataFrame:
     """Every row whose key is repeated, with the number of rows of that key.
 
     Joined rather than counted in a window: a window would bring all rows of a hot key into one
-    task, whereas a skewed side of a join is split.
+    task, whereas the join can split them.
     """
-    return repeated_keys(rows.where(F.col(key).isNotNull()), key).join(rows, key)
+    return lookup(rows, repeated_keys(rows.where(F.col(key).isNotNull()), key), key, "inner")
 
 
 def orphan_sales(sales: DataFrame, reference: DataFrame, key: str) -> DataFrame:
     """Sales whose key is not in the reference table; a sale without key is one."""
-    return sales.join(reference.select(key).distinct(), key, "left_anti")
+    return lookup(sales, reference.select(key).distinct(), key, "left_anti")
 
 
 def orphan_keys(sales: DataFrame, reference: DataFrame, key: str) -> DataFrame:

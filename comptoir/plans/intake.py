@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.operators import control, ingestion
+from comptoir.operators.profiling import all_of
+from comptoir.schemas import EXTENSIONS
 from comptoir.session import exists
 from comptoir.sinks import replace_partition, replace_table, run
 from comptoir.sources.files import copy_file
 from comptoir.sources.inventory import list_objects
-from comptoir.sources.landing import landing_files
+from comptoir.sources.landing import landing_files, spread
 
 OUTCOME_SCHEMA = (
     "source string, fichier string, chemin string, taille bigint, modifie_le bigint, "
@@ -60,19 +62,21 @@ def land(accepted: DataFrame, lake: str) -> DataFrame:
         copy, "destination string, octets bigint")
 
 
-def taken_keys(spark: SparkSession, lake: str) -> DataFrame:
-    if not exists(spark, f"{lake}/raw"):
-        return spark.createDataFrame([], "destination string")
-    return list_objects(spark, f"{lake}/raw").select(
-        F.concat(F.lit("raw/"), "cle").alias("destination"))
+def taken_keys(spark: SparkSession, lake: str, day: str) -> DataFrame:
+    """Keys of the raw zone that a lot of this day could run into."""
+    folders = [f"raw/{source}/ingest_date={day}" for source in EXTENSIONS]
+    listings = [list_objects(spark, f"{lake}/{folder}").select(
+        F.concat(F.lit(f"{folder}/"), "cle").alias("destination"))
+        for folder in folders if exists(spark, f"{lake}/{folder}")]
+    return all_of([spark.createDataFrame([], "destination string"), *listings])
 
 
 def ingest(spark: SparkSession, landing: str, lake: str, at: datetime | None = None,
-           inline_bytes: int = control.INLINE_BYTES) -> Intake:
+           whole_bytes: int = control.WHOLE_BYTES) -> Intake:
     """Control, fingerprint, de-duplicate, land and journal the files of a landing zone.
 
-    Contents are read once for the control, whose findings are stored before anything depends on
-    them, and once more for the copy of accepted files. The outcomes of a run are one partition
+    Contents are read by the tasks that control them, whose findings are stored before anything
+    depends on them, and once more for the copy of accepted files. The outcomes of a run are one partition
     of one table, written last: a run that is lost is simply started again. Arrived files stay
     where they are; ``rangement`` says where they belong.
     """
@@ -82,18 +86,18 @@ def ingest(spark: SparkSession, landing: str, lake: str, at: datetime | None = N
     files = pending_files(landing_files(spark, landing), before)
 
     findings = f"{lake}/_ingestion/controles/lot={lot}"
-    replace_table(control.control_files(files, inline_bytes), findings)
+    replace_table(control.control_files(spread(files), whole_bytes), findings)
     controlled = spark.read.parquet(findings)
 
     decided = ingestion.decide(
-        controlled, ingestion.manifest_of(before), taken_keys(spark, lake), before,
+        controlled, ingestion.manifest_of(before), taken_keys(spark, lake, f"{moment:%Y-%m-%d}"), before,
         moment.strftime("%Y-%m-%d %H:%M:%S"))
     decisions = f"{lake}/_ingestion/decisions/lot={lot}"
     replace_table(decided, decisions)
     outcome = spark.read.parquet(decisions).withColumn("lot", F.lit(lot))
 
     accepted = outcome.where(F.col("statut") == ingestion.SUCCESS)
-    run(land(accepted, lake))
+    run(land(spread(accepted), lake))
     replace_partition(ingestion.journal_of(outcome).withColumn("lot", F.lit(lot)),
                       f"{lake}/_ingestion/journal", "lot", "json")
     replace_partition(outcome, f"{lake}/_ingestion/resultats", "lot")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import batched
 
@@ -14,13 +15,14 @@ from comptoir.sources.files import direct_children
 
 LISTED = "source string, fichier string, chemin string, taille bigint, modifie_le bigint"
 BATCH_ROWS = 10_000
+OPENING_BYTES = 4 * 1024 * 1024  # what opening a file costs, in bytes read meanwhile
 
 
 def landing_files(spark: SparkSession, landing: str) -> DataFrame:
-    """(source, fichier, chemin, taille, modifie_le, content).
+    """(source, fichier, chemin, taille, modifie_le) from the listing; no content is read.
 
-    Content is read only by those who select it. Deeper folders, folders of no source and names
-    starting with a dot or an underscore are left out.
+    Deeper folders, folders of no source and names starting with a dot or an underscore are
+    left out.
     """
     root = landing.rstrip("/").split(":", 1)[-1].lstrip("/")
     place = rf"^.*?/?\Q{root}\E/([^/]+)/([^/]+)$"
@@ -31,9 +33,17 @@ def landing_files(spark: SparkSession, landing: str) -> DataFrame:
         F.col("path").alias("chemin"),
         F.col("length").alias("taille"),
         F.unix_micros("modificationTime").alias("modifie_le"),
-        "content").where(F.col("source").isin(*EXTENSIONS))
-    empty = empty_files(spark, landing).select("*", F.lit(b"").alias("content"))
-    return filled.unionByName(empty)
+    ).where(F.col("source").isin(*EXTENSIONS))
+    return filled.unionByName(empty_files(spark, landing))
+
+
+def spread(files: DataFrame, bytes_per_task: int = 256 * 1024 * 1024) -> DataFrame:
+    """Files over tasks by the bytes they hold, since their listing says little of the work.
+
+    The total comes from the listing. Left to itself a listing of a million files is one task.
+    """
+    work = files.agg(F.sum(F.col("taille") + OPENING_BYTES)).first()[0] or 0
+    return files.repartition(max(1, math.ceil(work / bytes_per_task)))
 
 
 def empty_files(spark: SparkSession, landing: str) -> DataFrame:

@@ -53,12 +53,12 @@ CONTROL_CASES = [
 ]
 
 
-@pytest.mark.parametrize("inline_bytes", [1 << 20, -1], ids=["inline", "streamed"])
-def test_control(spark, tmp_path, inline_bytes):
+@pytest.mark.parametrize("whole_bytes", [1 << 20, -1], ids=["whole", "streamed"])
+def test_control(spark, tmp_path, whole_bytes):
     for source, name, content, _, _ in CONTROL_CASES:
         put(tmp_path / source / name, content)
     found = {r.fichier: r for r in control_files(
-        landing_files(spark, str(tmp_path)), inline_bytes).collect()}
+        landing_files(spark, str(tmp_path)), whole_bytes).collect()}
     assert len(found) == len(CONTROL_CASES)
     for _, name, _, reason, rows in CONTROL_CASES:
         motif = found[name].motif
