@@ -12,7 +12,7 @@ from comptoir.catalog.inputs import source
 from comptoir.functions import city_standard
 from comptoir.operators import cleaning, control, enrichment, ingestion, versions
 from comptoir.operators import profiling as P
-from comptoir.operators.joins import lookup
+from comptoir.operators.joins import all_of, lookup
 from comptoir.operators.revenue import revenue_by
 from comptoir.plans.batch import CURATED, run_batch
 from comptoir.schemas import KEYS
@@ -145,12 +145,12 @@ def orphan_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def city_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.all_of([P.city_drift(n, source(spark, sf_dir, n)) for n in ("clients", "magasins")])
+    return all_of([P.city_drift(n, source(spark, sf_dir, n)) for n in ("clients", "magasins")])
 
 
 @query
 def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.all_of([P.source_profile(n, source(spark, sf_dir, n), KEYS[n]) for n in KEYS])
+    return all_of([P.source_profile(n, source(spark, sf_dir, n), KEYS[n]) for n in KEYS])
 
 
 # Sources
@@ -195,7 +195,7 @@ def batch_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def both_axes(spark: SparkSession, curated: str) -> DataFrame:
-    return P.all_of([
+    return all_of([
         lots.read_table(spark, f"{curated}/{name}").select(
             F.lit(name).alias("axe"), F.col(key).alias("cle"),
             "nb_ventes", "quantite_totale", "chiffre_affaires")

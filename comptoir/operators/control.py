@@ -169,16 +169,16 @@ def _inspect(stream, extension: str, whole: bool) -> tuple[list[str] | None, int
 def _examine(path: str, size: int, extension: str | None, content: bytes | None,
              whole_bytes: int) -> tuple:
     """(fingerprint, fields, data rows, defect); a file with a foreign extension is not parsed."""
-    whole = content is not None or size <= whole_bytes
-    if whole and content is None:
+    if content is None and size <= whole_bytes:
         with open_input(path) as stream:
             content = stream.read()
+    whole = content is not None
     with io.BytesIO(content) if whole else open_input(path) as stream:
-        fingerprint = hashlib.file_digest(stream, "sha256").hexdigest()
+        digest = hashlib.sha256(content) if whole else hashlib.file_digest(stream, "sha256")
         if not extension:
-            return fingerprint, None, None, None
+            return digest.hexdigest(), None, None, None
         stream.seek(0)
-        return fingerprint, *_inspect(stream, extension, whole)
+        return digest.hexdigest(), *_inspect(stream, extension, whole)
 
 
 def suffix(name: Column) -> Column:

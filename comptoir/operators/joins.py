@@ -1,7 +1,9 @@
-"""Joins that stay even when one key holds a large part of the rows."""
+"""Joins that stay even when one key holds a large part of the rows, and unions."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 
 # More partitions than any shuffle has: coalescing to it moves nothing.
@@ -27,3 +29,7 @@ def lookup(rows: DataFrame, reference: DataFrame, key: str, how: str = "left") -
     partitions of hot keys, null among them, are split.
     """
     return rows.join(unclustered(reference), key, how)
+
+
+def all_of(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -141,7 +139,3 @@ def source_profile(source: str, rows: DataFrame, key: str) -> DataFrame:
         F.lit(key).alias("cle"),
         (F.col("lignes") - F.col("_cles")).alias("doublons_cle"),
         F.inline(columns))
-
-
-def all_of(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

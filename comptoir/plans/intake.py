@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.operators import control, ingestion
-from comptoir.operators.profiling import all_of
+from comptoir.operators.joins import all_of
 from comptoir.schemas import EXTENSIONS
 from comptoir.session import exists
 from comptoir.sinks import replace_partition, replace_table, run

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from comptoir.operators import profiling as P
+from comptoir.operators.joins import all_of
 from comptoir.schemas import KEYS
 
 
@@ -12,11 +13,11 @@ def profile_sources(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Every report by name; nothing is corrected and nothing runs until a report is read."""
     sales = raw["ventes"]
     reports = {
-        "profil": P.all_of([P.source_profile(name, rows, KEYS[name]) for name, rows in raw.items()]),
+        "profil": all_of([P.source_profile(name, rows, KEYS[name]) for name, rows in raw.items()]),
         "dates": P.invalid_dates(sales),
         "quantites": P.suspicious_quantities(sales),
         "doublons": P.duplicate_rows(sales, KEYS["ventes"]),
-        "villes": P.all_of([P.city_drift(name, raw[name]) for name in ("clients", "magasins")]),
+        "villes": all_of([P.city_drift(name, raw[name]) for name in ("clients", "magasins")]),
         "segments": P.value_counts(raw["clients"], "segment"),
         "categories": P.value_counts(raw["produits"], "categorie"),
         "prix": P.suspicious_prices(raw["produits"]),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from comptoir import schemas as S
-from comptoir.operators.profiling import all_of
+from comptoir.operators.joins import all_of
 from comptoir.sources.files import open_input
 from comptoir.sources.workbook import workbook_rows
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +20,13 @@ def raw_messages(messages: DataFrame) -> DataFrame:
 
 
 def parse_events(messages: DataFrame) -> DataFrame:
-    """Contract fields next to every message; a field that does not fit is null, nothing fails."""
-    return (raw_messages(messages)
-            .withColumn("evenement", F.from_json("message", S.EVENT_SCHEMA))
-            .select("*", "evenement.*").drop("evenement"))
+    """Contract fields next to every message; a field that does not fit is null, nothing fails.
+
+    Expanded by a generator: as a plain struct expression the parse would be repeated for every
+    field that a later filter looks at.
+    """
+    parsed = F.from_json("message", S.EVENT_SCHEMA)
+    return raw_messages(messages).select("*", F.inline(F.array(parsed)))
 
 
 def event_time() -> Column:
@@ -32,9 +38,8 @@ def conforming() -> Column:
 
     The time is part of the rule: one unreadable time must not stop the stream.
     """
-    positive = (F.col("quantite") > 0) & (F.col("prix_unitaire") > 0)
-    complete = ~F.array_contains(
-        F.array(*[F.col(name).isNull() for name in S.EVENT_REQUIRED]), F.lit(True))
+    complete = reduce(and_, [F.col(name).isNotNull() for name in S.EVENT_REQUIRED])
+    positive = F.least("quantite", "prix_unitaire") > 0
     return complete & positive & event_time().isNotNull()
 
 
