@@ -295,7 +295,7 @@ def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events.batch_statistics(judged(spark, sf_dir))
+    return events.batch_statistics(judged(spark, sf_dir)).orderBy("partition")
 
 
 @query

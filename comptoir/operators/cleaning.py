@@ -14,7 +14,7 @@ from comptoir.functions import (
     strict_date,
     whole_number,
 )
-from comptoir.operators.versions import latest_version
+from comptoir.operators.versions import drop_duplicate_keys, latest_version
 
 
 def type_sales(rows: DataFrame) -> DataFrame:
@@ -48,39 +48,60 @@ def clean_sales(rows: DataFrame) -> DataFrame:
     return label_sales(type_sales(latest_version(rows, "id_vente")))
 
 
-# The three dimensions below are unique by identifier already: latest_version groups by exactly
-# the identifier they output, so a second de-duplication would only add a shuffle.
-
-def clean_customers(rows: DataFrame) -> DataFrame:
+def type_customers(rows: DataFrame) -> DataFrame:
     segment = F.initcap(F.trim("segment"))
-    return latest_version(rows, "id_client").select(
+    return rows.select(
         identifier("id_client").alias("id_client"),
         F.trim("nom").alias("nom_client"),
         city_standard(F.col("ville")).alias("ville_client"),
         F.coalesce(segment, F.lit(S.SEGMENT_DEFAULT)).alias("segment"))
 
 
-def clean_products(rows: DataFrame) -> DataFrame:
+def type_products(rows: DataFrame) -> DataFrame:
     category = F.col("categorie")
     known = category.isNotNull() & ~blank(category)
-    return latest_version(rows, "id_produit").select(
+    return rows.select(
         identifier("id_produit").alias("id_produit"),
         F.trim("nom_produit").alias("nom_produit"),
         F.when(known, F.trim(category)).otherwise(S.CATEGORY_DEFAULT).alias("categorie"),
         F.col("prix_unitaire").try_cast("double").alias("prix_unitaire"))
 
 
-def clean_stores(rows: DataFrame) -> DataFrame:
-    return latest_version(rows, "id_magasin").select(
+def type_stores(rows: DataFrame) -> DataFrame:
+    return rows.select(
         identifier("id_magasin").alias("id_magasin"),
         F.trim("nom_magasin").alias("nom_magasin"),
         city_standard(F.col("ville")).alias("ville"),
         F.trim("region").alias("region"))
 
 
+# A dimension is unique by identifier once it is versioned: versions are grouped by exactly the
+# identifier that is output, so a second de-duplication would only add a shuffle.
+
+def clean_customers(rows: DataFrame) -> DataFrame:
+    return type_customers(latest_version(rows, "id_client"))
+
+
+def clean_products(rows: DataFrame) -> DataFrame:
+    return type_products(latest_version(rows, "id_produit"))
+
+
+def clean_stores(rows: DataFrame) -> DataFrame:
+    return type_stores(latest_version(rows, "id_magasin"))
+
+
 CLEANERS = {
     "ventes": clean_sales,
     "clients": clean_customers,
     "produits": clean_products,
     "magasins": clean_stores,
 }
+
+# Cleaning of a deposit without lots, where any one of the rows of a key will do. Sales are
+# compared by the id as it is written, dimensions by the cleaned one.
+SINGLE_DEPOSIT_CLEANERS = {
+    "ventes": lambda rows: label_sales(type_sales(drop_duplicate_keys(rows, "id_vente"))),
+    "clients": lambda rows: drop_duplicate_keys(type_customers(rows), "id_client"),
+    "produits": lambda rows: drop_duplicate_keys(type_products(rows), "id_produit"),
+    "magasins": lambda rows: drop_duplicate_keys(type_stores(rows), "id_magasin"),
+}

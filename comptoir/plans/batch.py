@@ -35,9 +35,9 @@ def read_rejected(spark: SparkSession, lake: str) -> DataFrame:
     return _matched(spark, lake, "false").distinct()
 
 
-def clean_zone(spark: SparkSession, raw: str, lake: str) -> None:
+def clean_zone(spark: SparkSession, raw: str, lake: str, cleaners: dict = CLEANERS) -> None:
     for source, rows in read_raw(spark, raw).items():
-        replace_table(CLEANERS[source](rows), processed(lake, source))
+        replace_table(cleaners[source](rows), processed(lake, source))
 
 
 def match_zone(spark: SparkSession, lake: str) -> None:
@@ -55,9 +55,10 @@ def curate_zone(spark: SparkSession, lake: str) -> None:
         replace_table(revenue_by(read_enriched(spark, lake), key), f"{lake}/curated/{table}", files=1)
 
 
-def run_batch(spark: SparkSession, lake: str, raw: str | None = None) -> None:
+def run_batch(spark: SparkSession, lake: str, raw: str | None = None,
+              cleaners: dict = CLEANERS) -> None:
     """Each step reads the tables the one before has written, so no lineage spans the job."""
-    clean_zone(spark, raw or f"{lake}/raw", lake)
+    clean_zone(spark, raw or f"{lake}/raw", lake, cleaners)
     match_zone(spark, lake)
     curate_zone(spark, lake)
 

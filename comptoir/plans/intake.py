@@ -62,13 +62,24 @@ def land(accepted: DataFrame, lake: str) -> DataFrame:
         copy, "destination string, octets bigint")
 
 
-def taken_keys(spark: SparkSession, lake: str, day: str) -> DataFrame:
-    """Keys of the raw zone that a lot of this day could run into."""
+def taken_keys(spark: SparkSession, lake: str, day: str, before: DataFrame) -> DataFrame:
+    """Keys of the raw zone that a lot of this day could run into.
+
+    Copies of a run that was lost before it recorded its outcomes are not among them: the next
+    run writes the same keys again instead of adding copies under other names.
+    """
     folders = [f"raw/{source}/ingest_date={day}" for source in EXTENSIONS]
     listings = [list_objects(spark, f"{lake}/{folder}").select(
         F.concat(F.lit(f"{folder}/"), "cle").alias("destination"))
         for folder in folders if exists(spark, f"{lake}/{folder}")]
-    return all_of([spark.createDataFrame([], "destination string"), *listings])
+    keys = all_of([spark.createDataFrame([], "destination string"), *listings])
+    decisions = f"{lake}/_ingestion/decisions"
+    if not listings or not exists(spark, decisions):
+        return keys
+    decided = spark.read.schema("statut string, destination string, lot string").parquet(decisions)
+    lost = decided.where(F.col("statut") == ingestion.SUCCESS).join(
+        before.select("lot").distinct(), "lot", "left_anti")
+    return keys.join(lost.select("destination"), "destination", "left_anti")
 
 
 def ingest(spark: SparkSession, landing: str, lake: str, at: datetime | None = None,
@@ -90,7 +101,7 @@ def ingest(spark: SparkSession, landing: str, lake: str, at: datetime | None = N
     controlled = spark.read.parquet(findings)
 
     decided = ingestion.decide(
-        controlled, ingestion.manifest_of(before), taken_keys(spark, lake, f"{moment:%Y-%m-%d}"), before,
+        controlled, ingestion.manifest_of(before), taken_keys(spark, lake, f"{moment:%Y-%m-%d}", before), before,
         moment.strftime("%Y-%m-%d %H:%M:%S"))
     decisions = f"{lake}/_ingestion/decisions/lot={lot}"
     replace_table(decided, decisions)

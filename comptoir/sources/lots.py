@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -34,6 +35,11 @@ def clean_header(names: list[str]) -> list[str]:
     return [name.replace("\ufeff", "").strip() for name in names]
 
 
+def literal_path(path: str) -> str:
+    """A path whose name may hold characters that a reader would take for a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
     """(path, header) of every CSV lot; the tasks read the first record only."""
 
@@ -73,7 +79,7 @@ def read_sales(spark: SparkSession, folder: str) -> DataFrame:
     # File names only, as many as the driver's file index of the folder holds anyway.
     files: dict[tuple, list[str]] = {}
     for row in headers.toLocalIterator():
-        files.setdefault(tuple(row.header), []).append(row.path)
+        files.setdefault(tuple(row.header), []).append(literal_path(row.path))
     return all_of([scan(list(header), paths) for header, paths in files.items()])
 
 

@@ -10,17 +10,22 @@ from comptoir.schemas import ENVELOPE_SCHEMA
 ENVELOPE = ["value", "partition", "offset", "timestamp"]
 
 
-def kafka_messages(spark: SparkSession, servers: str, topic: str = "ventes") -> DataFrame:
+def kafka_messages(spark: SparkSession, servers: str, topic: str = "ventes",
+                   messages_per_batch: int | None = None) -> DataFrame:
     """Messages of a topic, from the earliest on the first start, then from the checkpoint.
 
+    ``messages_per_batch`` keeps the first micro-batch of a long topic from being all of it.
     Needs the spark-sql-kafka-0-10 package on the cluster.
     """
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", "earliest")
-            .option("failOnDataLoss", "false")
-            .load().select(*ENVELOPE))
+    options = {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": "earliest",
+        "failOnDataLoss": "false",
+    }
+    if messages_per_batch is not None:
+        options["maxOffsetsPerTrigger"] = str(messages_per_batch)
+    return spark.readStream.format("kafka").options(**options).load().select(*ENVELOPE)
 
 
 def file_messages(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from lake_files import customers_json, products_xml, put, sales_csv, stores_xlsx
 
+from comptoir.operators.cleaning import SINGLE_DEPOSIT_CLEANERS
 from comptoir.plans.batch import read_enriched, read_rejected, run_all, run_batch
 from comptoir.sources.lots import read_table
 
@@ -67,3 +68,12 @@ def test_two_lots(spark, deposited):
     before = curated(spark, deposited, "ca_par_ville")
     run_batch(spark, lake)
     assert curated(spark, deposited, "ca_par_ville") == before
+
+
+def test_single_deposit(spark, deposited):
+    """Without lots: any row of a key, sale ids compared as written."""
+    put(deposited / "lake/raw/ventes/more.csv", sales_csv(" V1,2026-03-23,C1,P1,M1,3.0"))
+    run_batch(spark, f"{deposited}/lake", cleaners=SINGLE_DEPOSIT_CLEANERS)
+    assert sorted(r.id_vente for r in read_enriched(spark, f"{deposited}/lake").collect()) == [
+        "V1", "V1", "V2", "V3", "V4"]
+    assert read_table(spark, f"{deposited}/lake/processed/clients").count() == 3

@@ -179,3 +179,23 @@ def test_prefix_is_no_collision(spark, tmp_path):
     put(tmp_path / "in/ventes/a.csv", GOOD_CSV)
     found = outcomes(ingest(spark, str(tmp_path / "in"), str(tmp_path / "lake"), DAY_ONE))
     assert found["ventes", "a.csv"].destination.endswith("/a.csv")
+
+
+def test_lost_run_is_started_again(spark, tmp_path, monkeypatch):
+    """A run lost between its copies and its record leaves nothing that the next one trips over."""
+    from comptoir.plans import intake
+
+    landing, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    put(tmp_path / "in/ventes/a.csv", GOOD_CSV)
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(intake, "replace_partition", lost)
+        with pytest.raises(RuntimeError):
+            ingest(spark, landing, lake, DAY_ONE)
+    assert (tmp_path / "lake/raw/ventes/ingest_date=2026-10-02/a.csv").exists()
+    found = outcomes(ingest(spark, landing, lake, DAY_ONE_LATER))
+    assert found["ventes", "a.csv"].statut == "SUCCESS"
+    assert [p.name for p in (tmp_path / "lake/raw").rglob("*.csv")] == ["a.csv"]

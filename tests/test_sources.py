@@ -19,7 +19,7 @@ def by_id(frame, key):
 def test_sales_lots_are_read_by_column_name(spark, tmp_path):
     put(tmp_path / "ventes.csv", sales_csv("V1,2026-01-01,C1,P1,M1,3.0", bom=True))
     put(tmp_path / "ingest_date=2026-10-02/b.csv", sales_csv("V2,2026-01-02,C2,P2,M2,", bom=True))
-    put(tmp_path / "ingest_date=2026-10-03/c.csv",
+    put(tmp_path / "ingest_date=2026-10-03/c [1]{x}*.csv",
         sales_csv("4,V3,x,M3,C3,P3,2026-01-03", "5,V4,x,M4,C4,P4,",
                   header=" quantite,id_vente,extra,id_magasin,id_client,id_produit ,date_vente"))
     put(tmp_path / "ignored.txt", "not a lot")
