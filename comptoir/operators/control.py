@@ -91,11 +91,18 @@ def _json_items(text) -> Iterator:
         raise json.JSONDecodeError("Extra data", buffer, at)
 
 
+def _header(rows: Iterator) -> list:
+    """First row; its absence is reported as the damage it is."""
+    for row in rows:
+        return row
+    raise IndexError("list index out of range")
+
+
 def _inspect_csv(stream, whole: bool) -> tuple[set, int]:
     text = (io.StringIO(stream.read().decode("utf-8-sig")) if whole
             else io.TextIOWrapper(stream, "utf-8-sig", newline="\n"))
     records = csv.reader(text)
-    header = next(records)
+    header = _header(records)
     return {name.strip() for name in header}, sum(1 for _ in records)
 
 
@@ -137,7 +144,7 @@ def _inspect_xml(stream, whole: bool) -> tuple[set, int]:
 
 def _inspect_xlsx(stream, whole: bool) -> tuple[set, int]:
     rows = sheet_rows(stream, active=True)
-    header = next(rows)
+    header = _header(rows)
     return {cell.strip() for cell in header if cell is not None}, sum(1 for _ in rows)
 
 
