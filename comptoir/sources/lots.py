@@ -41,7 +41,7 @@ def literal_path(path: str) -> str:
 
 
 def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, header) of every CSV lot; the tasks read the first record only."""
+    """(path, file_path, header) of every CSV lot; the tasks read the first record only."""
 
     def first_record(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -50,37 +50,43 @@ def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
                 with open_input(path) as stream:
                     lines = csv.reader(io.TextIOWrapper(stream, "utf-8-sig", newline=""))
                     headers.append(clean_header(next(lines, [])))
-            yield pd.DataFrame({"path": batch["path"], "header": headers})
+            yield batch.assign(header=headers)
 
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.csv").load(folder).select("path"))
-    return files.mapInPandas(first_record, "path string, header array<string>")
+             .option("pathGlobFilter", "*.csv").load(folder).select("path", "_metadata.file_path"))
+    return files.mapInPandas(first_record, "path string, file_path string, header array<string>")
+
+
+def scan_sales(spark: SparkSession, header: list[str], paths) -> DataFrame:
+    """Lots of one header: the required columns as text, and the file."""
+    columns = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    rows = (spark.read.schema(columns).option("header", True)
+            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(paths))
+    fields = [F.col(f) if f in header else F.lit(None).cast("string").alias(f)
+              for f in S.REQUIRED_FIELDS["ventes"]]
+    return rows.select(*fields, "_metadata.file_path")
 
 
 def read_sales(spark: SparkSession, folder: str) -> DataFrame:
     """All CSV lots, columns taken by name.
 
-    Spark binds the columns of several CSV files by position. Lots are therefore grouped by
-    their header, of which there are few; usually there is one, and the folder is read at once.
+    Spark binds the columns of several CSV files by position. The folder is therefore scanned
+    with the commonest header, without the lots that have another one; those, usually none, are
+    scanned by their paths, which is all the driver learns of them.
     """
     headers = csv_headers(spark, folder).where(F.size("header") > 0)
-    layouts = [row.header for row in headers.select("header").distinct().collect()]
-
-    def scan(header: list[str], paths) -> DataFrame:
-        columns = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        rows = (spark.read.schema(columns).option("header", True)
-                .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(paths))
-        fields = [F.col(f) if f in header else F.lit(None).cast("string").alias(f)
-                  for f in S.REQUIRED_FIELDS["ventes"]]
-        return with_origin(rows.select(*fields, "_metadata.file_path"), "file_path")
-
+    layouts = headers.groupBy("header").count().orderBy(F.desc("count"), "header").collect()
     if len(layouts) <= 1:
-        return scan(layouts[0] if layouts else S.REQUIRED_FIELDS["ventes"], folder)
-    # File names only, as many as the driver's file index of the folder holds anyway.
-    files: dict[tuple, list[str]] = {}
-    for row in headers.toLocalIterator():
-        files.setdefault(tuple(row.header), []).append(literal_path(row.path))
-    return all_of([scan(list(header), paths) for header, paths in files.items()])
+        header = layouts[0].header if layouts else S.REQUIRED_FIELDS["ventes"]
+        return with_origin(scan_sales(spark, header, folder), "file_path")
+    odd: dict[tuple, list] = {}
+    for lot in headers.where(F.col("header") != F.lit(layouts[0].header)).toLocalIterator():
+        odd.setdefault(tuple(lot.header), []).append(lot)
+    elsewhere = [lot.file_path for lots in odd.values() for lot in lots]
+    scans = [scan_sales(spark, layouts[0].header, folder).where(~F.col("file_path").isin(elsewhere))]
+    scans += [scan_sales(spark, list(header), [literal_path(lot.path) for lot in lots])
+              for header, lots in odd.items()]
+    return with_origin(all_of(scans), "file_path")
 
 
 def read_customers(spark: SparkSession, folder: str) -> DataFrame:

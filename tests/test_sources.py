@@ -19,6 +19,8 @@ def by_id(frame, key):
 def test_sales_lots_are_read_by_column_name(spark, tmp_path):
     put(tmp_path / "ventes.csv", sales_csv("V1,2026-01-01,C1,P1,M1,3.0", bom=True))
     put(tmp_path / "ingest_date=2026-10-02/b.csv", sales_csv("V2,2026-01-02,C2,P2,M2,", bom=True))
+    put(tmp_path / "ingest_date=2026-10-04/d e.csv", sales_csv(header="quantite,id_vente") + "7,V5\n")
+    put(tmp_path / "empty.csv", "")
     put(tmp_path / "ingest_date=2026-10-03/c [1]{x}*.csv",
         sales_csv("4,V3,x,M3,C3,P3,2026-01-03", "5,V4,x,M4,C4,P4,",
                   header=" quantite,id_vente,extra,id_magasin,id_client,id_produit ,date_vente"))
@@ -28,9 +30,10 @@ def test_sales_lots_are_read_by_column_name(spark, tmp_path):
         ["V1", "2026-01-01", "C1", "P1", "M1", "3.0"],
         ["V2", "2026-01-02", "C2", "P2", "M2", None],
         ["V3", "2026-01-03", "C3", "P3", "M3", "4"],
-        ["V4", None, "C4", "P4", "M4", "5"]]
+        ["V4", None, "C4", "P4", "M4", "5"],
+        ["V5", None, None, None, None, "7"]]
     assert [rows[v]["_ingest_date"] for v in sorted(rows)] == [
-        "1970-01-01", "2026-10-02", "2026-10-03", "2026-10-03"]
+        "1970-01-01", "2026-10-02", "2026-10-03", "2026-10-03", "2026-10-04"]
     assert rows["V2"]["_fichier_source"].endswith("ingest_date=2026-10-02/b.csv")
 
 
