@@ -320,6 +320,8 @@ WHERE o.statut = 'SUCCESS'""", ["fichiers"]),
     "sales_csv_scan": ("""
 SELECT id_vente, date_vente, id_client, id_produit, id_magasin, NULLIF(quantite, '') AS quantite
 FROM ventes""", ["ventes"]),
+    "text_line_count": ("SELECT count(*) AS lignes FROM ventes", ["ventes"]),
+    "table_round_trip": (CLEAN_PRODUCTS, ["produits"]),
     "customers_json_scan": ("SELECT id_client, nom, ville, segment FROM clients", ["clients"]),
     # The XML reader drops spaces around values.
     "products_xml_scan": ("""

@@ -19,7 +19,7 @@ from comptoir.schemas import KEYS
 from comptoir.session import work_folder
 from comptoir.sinks import replace_table
 from comptoir.sources import lots
-from comptoir.sources.inventory import lake_inventory
+from comptoir.sources.inventory import data_line_counts, lake_inventory
 from comptoir.sources.messages import file_messages
 from comptoir.sources.workbook import workbook_rows
 from comptoir.streaming import events
@@ -161,6 +161,23 @@ def sales_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.without_origin(lots.read_sales(spark, folder))
 
 
+@query
+def text_line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{work_folder(spark)}/ventes"
+    W.write_sales_csv(source(spark, sf_dir, "ventes"), folder)
+    return data_line_counts(spark, folder).agg(F.sum("lignes").alias("lignes"))
+
+
+@query
+def table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zone table, written twice: the second write replaces the first."""
+    path = f"{work_folder(spark)}/processed/produits"
+    products = cleaning.clean_products(source(spark, sf_dir, "produits"))
+    replace_table(products, path)
+    replace_table(products, path, files=1)
+    return lots.read_table(spark, path)
+
+
 @query
 def customers_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{work_folder(spark)}/clients"

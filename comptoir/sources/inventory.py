@@ -41,6 +41,8 @@ def text_preview(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
     return spark.read.text(path).limit(n)
 
 
-def data_line_count(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a text file without its header."""
-    return spark.read.text(path).agg((F.count(F.lit(1)) - 1).alias("lignes"))
+def data_line_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Per text file its lines without the header; large files are counted in parts."""
+    return (spark.read.option("recursiveFileLookup", True).text(path)
+            .groupBy(F.col("_metadata.file_path").alias("fichier"))
+            .agg((F.count(F.lit(1)) - 1).alias("lignes")))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.schemas import EXTENSIONS
+from comptoir.session import exists
 from comptoir.sources.files import direct_children
 
 LISTED = "source string, fichier string, chemin string, taille bigint, modifie_le bigint"
@@ -24,6 +25,8 @@ def landing_files(spark: SparkSession, landing: str) -> DataFrame:
     Deeper folders, folders of no source and names starting with a dot or an underscore are
     left out.
     """
+    if not exists(spark, landing):
+        return spark.createDataFrame([], LISTED)
     root = landing.rstrip("/").split(":", 1)[-1].lstrip("/")
     place = rf"^.*?/?\Q{root}\E/([^/]+)/([^/]+)$"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing)

@@ -17,6 +17,7 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str = "ventes",
     ``messages_per_batch`` keeps the first micro-batch of a long topic from being all of it.
     Needs the spark-sql-kafka-0-10 package on the cluster.
     """
+    # Where a first start begins, and that expired messages do not end the stream.
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,

@@ -203,3 +203,8 @@ def test_lost_run_is_started_again(spark, tmp_path, monkeypatch):
     found = outcomes(ingest(spark, landing, lake, DAY_ONE_LATER))
     assert found["ventes", "a.csv"].statut == "SUCCESS"
     assert [p.name for p in (tmp_path / "lake/raw").rglob("*.csv")] == ["a.csv"]
+
+
+def test_nothing_has_arrived(spark, tmp_path):
+    intake = ingest(spark, str(tmp_path / "nowhere"), str(tmp_path / "lake"), DAY_ONE)
+    assert intake.code == 0 and intake.outcomes.isEmpty() and intake.manifest.isEmpty()

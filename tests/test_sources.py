@@ -5,7 +5,7 @@ import io
 from lake_files import customers_json, products_xml, put, sales_csv, stores_xlsx, workbook_of
 
 from comptoir.sources import lots
-from comptoir.sources.inventory import data_line_count, lake_inventory, list_objects, text_preview
+from comptoir.sources.inventory import data_line_counts, lake_inventory, list_objects, text_preview
 from comptoir.sources.workbook import sheet_rows, workbook_rows
 
 FIELDS = ["id_vente", "date_vente", "id_client", "id_produit", "id_magasin", "quantite"]
@@ -109,4 +109,6 @@ def test_inventory(spark, tmp_path):
 def test_text_preview(spark, tmp_path):
     path = str(put(tmp_path / "a.csv", "h\n" + "x\n" * 9))
     assert [r.value for r in text_preview(spark, path).collect()] == ["h", "x", "x", "x", "x"]
-    assert data_line_count(spark, path).first().lignes == 9
+    put(tmp_path / "deep/b.csv", "h\n")
+    assert {r.fichier.rsplit("/", 1)[-1]: r.lignes for r in data_line_counts(spark, str(tmp_path)).collect()} == {
+        "a.csv": 9, "b.csv": 0}
