@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from comptoir.functions import total_amount
 
+MEASURES = ["nb_ventes", "quantite_totale", "chiffre_affaires"]
+
 
 def revenue_measures() -> list:
     return [
@@ -23,3 +25,20 @@ def revenue_by(sales: DataFrame, key: str) -> DataFrame:
     more than any other, and only the aggregated rows are sorted.
     """
     return sales.groupBy(key).agg(*revenue_measures()).orderBy(F.desc("chiffre_affaires"))
+
+
+def revenue_by_axes(sales: DataFrame, axes: dict[str, str]) -> DataFrame:
+    """Revenue per key of several columns, from one scan: (axe, cle) and the measures.
+
+    ``axes`` names the column of each axis. A sale becomes one row per axis, which the map side
+    aggregates at once.
+    """
+    keys = F.array(*[F.struct(F.lit(axis).alias("axe"), F.col(column).alias("cle"))
+                     for axis, column in axes.items()])
+    keyed = sales.select("id_vente", "quantite", "montant", F.inline(keys))
+    return keyed.groupBy("axe", "cle").agg(*revenue_measures())
+
+
+def revenue_of_axis(totals: DataFrame, axis: str, column: str) -> DataFrame:
+    of_axis = totals.where(F.col("axe") == axis)
+    return of_axis.select(F.col("cle").alias(column), *MEASURES).orderBy(F.desc("chiffre_affaires"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from comptoir.operators import enrichment
 from comptoir.operators.cleaning import CLEANERS
-from comptoir.operators.revenue import revenue_by
+from comptoir.operators.revenue import revenue_by_axes, revenue_of_axis
 from comptoir.plans.intake import Intake, ingest
 from comptoir.schemas import ENRICHED_COLUMNS
 from comptoir.sinks import replace_table
@@ -49,10 +49,18 @@ def match_zone(spark: SparkSession, lake: str) -> None:
                   processed(lake, "ventes_rapprochees"), partition_by="exploitable")
 
 
+def write_curated(totals: DataFrame, folder: str) -> None:
+    """The curated tables, one row per key: a single file is right here, and only here."""
+    totals = totals.persist()
+    try:
+        for table, key in CURATED.items():
+            replace_table(revenue_of_axis(totals, table, key), f"{folder}/{table}", files=1)
+    finally:
+        totals.unpersist()
+
+
 def curate_zone(spark: SparkSession, lake: str) -> None:
-    for table, key in CURATED.items():
-        # One row per key: a single file is right here, and only here.
-        replace_table(revenue_by(read_enriched(spark, lake), key), f"{lake}/curated/{table}", files=1)
+    write_curated(revenue_by_axes(read_enriched(spark, lake), CURATED), f"{lake}/curated")
 
 
 def run_batch(spark: SparkSession, lake: str, raw: str | None = None,

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from comptoir.operators.revenue import revenue_by, revenue_measures
-from comptoir.plans.batch import CURATED
+from comptoir.operators.revenue import revenue_by, revenue_by_axes
+from comptoir.plans.batch import CURATED, write_curated
 from comptoir.session import exists
-from comptoir.sinks import replace_partition, replace_table
+from comptoir.sinks import replace_partition
 from comptoir.streaming import events
 
 EVERY_20_SECONDS = {"processingTime": "20 seconds"}
@@ -53,25 +53,9 @@ def write_batch(messages: DataFrame, batch_id: int, lake: str) -> None:
 
 
 def cumulative_revenue(messages: DataFrame) -> DataFrame:
-    """Revenue by city and by category in one aggregation, told apart by ``axe``."""
+    """Revenue by city and by category in one aggregation, one state store."""
     typed = events.typed_events(events.valid_events(events.judge_events(messages)))
-    keyed = typed.select(
-        "id_vente", "quantite", "montant",
-        F.inline(F.array(*[F.struct(F.lit(table).alias("axe"), F.col(key).alias("cle"))
-                           for table, key in CURATED.items()])))
-    return keyed.groupBy("axe", "cle").agg(*revenue_measures())
-
-
-def write_revenue(totals: DataFrame, _batch_id: int, lake: str) -> None:
-    totals = totals.persist()
-    try:
-        for table, key in CURATED.items():
-            of_axis = totals.where(F.col("axe") == table).select(
-                F.col("cle").alias(key), "nb_ventes", "quantite_totale", "chiffre_affaires")
-            replace_table(of_axis.orderBy(F.desc("chiffre_affaires")),
-                          f"{lake}/curated/streaming/{table}", files=1)
-    finally:
-        totals.unpersist()
+    return revenue_by_axes(typed, CURATED)
 
 
 @dataclass(frozen=True)
@@ -97,7 +81,7 @@ def start_sales_stream(messages: DataFrame, lake: str, checkpoint: str,
                .option("checkpointLocation", f"{checkpoint}/lots").trigger(**every).start())
     revenue = (cumulative_revenue(messages).writeStream.queryName("ventes_cumul")
                .outputMode("complete")
-               .foreachBatch(lambda rows, batch_id: write_revenue(rows, batch_id, lake))
+               .foreachBatch(lambda rows, _: write_curated(rows, f"{lake}/curated/streaming"))
                .option("checkpointLocation", f"{checkpoint}/cumul").trigger(**every).start())
     return SalesStream(batches, revenue)
 
