@@ -64,6 +64,10 @@ def total(spark, values, partitions=1):
 def test_total_is_exact_in_any_order(spark):
     values = [0.1] * 1000 + [1e13 + 0.25, -1e13]
     assert total(spark, values) == total(spark, values[::-1], 8) == 100.25
+    assert total(spark, [-0.01, -19.99, 10485.76, -10485.77]) == -20.01
+    assert total(spark, [44999999999999.99] * 3 + [-44999999999999.98] * 2) == 45000000000000.01
+    # The cents of this total are beyond a 64-bit integer.
+    assert total(spark, [4.4e13] * 3000, 8) == 1.32e17
 
 
 def test_total_of_unusual_amounts(spark):
