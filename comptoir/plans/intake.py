@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from comptoir.operators import control, ingestion
 from comptoir.operators.joins import all_of
 from comptoir.schemas import EXTENSIONS
-from comptoir.session import exists
+from comptoir.session import exists, qualified
 from comptoir.sinks import replace_partition, replace_table, run
 from comptoir.sources.files import copy_file
 from comptoir.sources.inventory import list_objects
@@ -91,6 +91,7 @@ def ingest(spark: SparkSession, landing: str, lake: str, at: datetime | None = N
     of one table, written last: a run that is lost is simply started again. Arrived files stay
     where they are; ``rangement`` says where they belong.
     """
+    landing, lake = qualified(spark, landing), qualified(spark, lake)
     moment = at or datetime.now()
     lot = moment.strftime("%Y%m%dT%H%M%S%f")
     before = read_outcomes(spark, lake)

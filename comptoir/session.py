@@ -8,6 +8,22 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _located(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    filesystem, hadoop_path = _located(spark, path)
+    return filesystem.exists(hadoop_path)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """Path with the scheme Spark would add, for tasks that open files themselves."""
+    filesystem, hadoop_path = _located(spark, path)
+    return filesystem.makeQualified(hadoop_path).toString()
+
+
 def work_folder(spark: SparkSession) -> str:
     """New folder for intermediate tables, in the shared folder the cluster names.
 
@@ -15,10 +31,5 @@ def work_folder(spark: SparkSession) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        return "file://" + tempfile.mkdtemp(prefix="comptoir-")
-    return f"{shared.rstrip('/')}/comptoir-{uuid.uuid4().hex}"
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+        return "file:" + tempfile.mkdtemp(prefix="comptoir-")
+    return f"{qualified(spark, shared)}/comptoir-{uuid.uuid4().hex}"

@@ -57,23 +57,29 @@ def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
     return files.mapInPandas(first_record, "path string, file_path string, header array<string>")
 
 
-def scan_sales(spark: SparkSession, header: list[str], paths) -> DataFrame:
+def scan_sales(spark: SparkSession, header: list[str], paths, strict: bool = False) -> DataFrame:
     """Lots of one header: the required columns as text, and the file."""
     columns = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    rows = (spark.read.schema(columns).option("header", True)
+    rows = (spark.read.schema(columns).option("header", True).option("enforceSchema", not strict)
             .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(paths))
     fields = [F.col(f) if f in header else F.lit(None).cast("string").alias(f)
               for f in S.REQUIRED_FIELDS["ventes"]]
     return rows.select(*fields, "_metadata.file_path")
 
 
-def read_sales(spark: SparkSession, folder: str) -> DataFrame:
+def read_sales(spark: SparkSession, folder: str, by_name: bool = True) -> DataFrame:
     """All CSV lots, columns taken by name.
 
     Spark binds the columns of several CSV files by position. The folder is therefore scanned
     with the commonest header, without the lots that have another one; those, usually none, are
     scanned by their paths, which is all the driver learns of them.
+
+    Without ``by_name`` no task opens a file by itself: every lot must have the required columns
+    in their order, and one that has not fails the scan.
     """
+    if not by_name:
+        return with_origin(
+            scan_sales(spark, S.REQUIRED_FIELDS["ventes"], folder, strict=True), "file_path")
     headers = csv_headers(spark, folder).where(F.size("header") > 0)
     layouts = headers.groupBy("header").count().orderBy(F.desc("count"), "header").collect()
     if len(layouts) <= 1:

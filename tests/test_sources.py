@@ -2,6 +2,7 @@
 
 import io
 
+import pytest
 from lake_files import customers_json, products_xml, put, sales_csv, stores_xlsx, workbook_of
 
 from comptoir.sources import lots
@@ -37,6 +38,14 @@ def test_sales_lots_are_read_by_column_name(spark, tmp_path):
     assert rows["V2"]["_fichier_source"].endswith("ingest_date=2026-10-02/b.csv")
 
 
+def test_sales_by_position_accept_one_layout_only(spark, tmp_path):
+    put(tmp_path / "a.csv", sales_csv("V1,2026-01-01,C1,P1,M1,1", bom=True))
+    assert lots.read_sales(spark, str(tmp_path), by_name=False).first().id_magasin == "M1"
+    put(tmp_path / "b.csv", sales_csv("1,2,3,4,5,6", header="quantite,date_vente,id_client,id_produit,id_magasin,id_vente"))
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        lots.read_sales(spark, str(tmp_path), by_name=False).collect()
+
+
 def test_customers_without_a_column_anywhere(spark, tmp_path):
     put(tmp_path / "a.json", '[{"id_client": "C1", "nom": "Ada", "ville": null}, {"id_client": "C2"}]')
     rows = by_id(lots.read_customers(spark, str(tmp_path)), "id_client")
