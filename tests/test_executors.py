@@ -1,0 +1,43 @@
+"""Tasks run where this package is not installed."""
+
+import subprocess
+import sys
+from pathlib import Path
+
+SCRIPT = """
+import sys
+sys.path.insert(0, {repo!r})
+from datetime import datetime
+from pyspark.sql import SparkSession
+from __spark_entry__ import queries
+from comptoir.plans.intake import ingest
+
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2").getOrCreate())
+
+def worker_has_package(batches):
+    import importlib.util
+    import pandas as pd
+    for _ in batches:
+        yield pd.DataFrame({{"found": [importlib.util.find_spec("comptoir") is not None]}})
+
+assert not spark.range(1).mapInPandas(worker_has_package, "found boolean").first().found
+for name in ("file_control", "stores_xlsx_scan", "customers_json_scan", "sales_csv_scan"):
+    assert queries()[name](spark, "/root/testdata/sf0.001").count() > 0, name
+outcome = ingest(spark, {landing!r}, {lake!r}, datetime(2026, 10, 2)).outcomes.first()
+assert outcome.statut == "SUCCESS", outcome
+print("all tasks ran")
+"""
+
+
+def test_tasks_need_no_installed_package(tmp_path):
+    landing = tmp_path / "in/ventes"
+    landing.mkdir(parents=True)
+    (landing / "a.csv").write_text("id_vente,date_vente,id_client,id_produit,id_magasin,quantite\n1,,,,,\n")
+    script = tmp_path / "job/script.py"
+    script.parent.mkdir()
+    script.write_text(SCRIPT.format(repo=str(Path(__file__).resolve().parents[1]),
+                                    landing=str(tmp_path / "in"), lake=str(tmp_path / "lake")))
+    done = subprocess.run([sys.executable, str(script)], cwd=script.parent, capture_output=True,
+                          text=True, timeout=300)
+    assert "all tasks ran" in done.stdout, done.stderr[-3000:]
