@@ -27,9 +27,12 @@ def qualified(spark: SparkSession, path: str) -> str:
 def work_folder(spark: SparkSession) -> str:
     """New folder for intermediate tables, in the shared folder the cluster names.
 
-    Without ``spark.checkpoint.dir`` the session is taken for a local one.
+    Without ``spark.checkpoint.dir`` the session is taken for a local one. The folder is gone
+    when the application ends.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return "file:" + tempfile.mkdtemp(prefix="comptoir-")
-    return f"{qualified(spark, shared)}/comptoir-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None) or "file:" + tempfile.gettempdir()
+    folder = f"{qualified(spark, shared)}/comptoir-{uuid.uuid4().hex}"
+    filesystem, hadoop_path = _located(spark, folder)
+    filesystem.mkdirs(hadoop_path)
+    filesystem.deleteOnExit(hadoop_path)
+    return folder

@@ -1,7 +1,8 @@
-"""Tasks run where this package is not installed."""
+"""Tasks run where this package is not installed; nothing is left behind."""
 
 import subprocess
 import sys
+import time
 from pathlib import Path
 
 SCRIPT = """
@@ -13,7 +14,8 @@ from __spark_entry__ import queries
 from comptoir.plans.intake import ingest
 
 spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
-         .config("spark.sql.shuffle.partitions", "2").getOrCreate())
+         .config("spark.sql.shuffle.partitions", "2")
+         .config("spark.checkpoint.dir", {shared!r}).getOrCreate())
 
 def worker_has_package(batches):
     import importlib.util
@@ -26,6 +28,8 @@ for name in ("file_control", "stores_xlsx_scan", "customers_json_scan", "sales_c
     assert queries()[name](spark, "/root/testdata/sf0.001").count() > 0, name
 outcome = ingest(spark, {landing!r}, {lake!r}, datetime(2026, 10, 2)).outcomes.first()
 assert outcome.statut == "SUCCESS", outcome
+import os
+assert sum(name.startswith("comptoir-") for name in os.listdir({shared!r})) == 2
 print("all tasks ran")
 """
 
@@ -37,7 +41,13 @@ def test_tasks_need_no_installed_package(tmp_path):
     script = tmp_path / "job/script.py"
     script.parent.mkdir()
     script.write_text(SCRIPT.format(repo=str(Path(__file__).resolve().parents[1]),
-                                    landing=str(tmp_path / "in"), lake=str(tmp_path / "lake")))
+                                    landing=str(tmp_path / "in"), lake=str(tmp_path / "lake"),
+                                    shared=str(tmp_path / "shared")))
     done = subprocess.run([sys.executable, str(script)], cwd=script.parent, capture_output=True,
                           text=True, timeout=300)
     assert "all tasks ran" in done.stdout, done.stderr[-3000:]
+    for _ in range(60):  # the JVM ends a moment after the script
+        if not list((tmp_path / "shared").glob("comptoir-*")):
+            break
+        time.sleep(0.5)
+    assert not list((tmp_path / "shared").glob("comptoir-*"))
