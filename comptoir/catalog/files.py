@@ -94,11 +94,11 @@ def _store_files(files: DataFrame, folder: str) -> None:
 
     def store(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes = [write_file(f"{folder}/{name}", content)
-                     for name, content in zip(batch["path"], batch["content"])]
-            yield pd.DataFrame({"path": batch["path"], "octets": sizes})
+            for name, content in zip(batch["path"], batch["content"]):
+                write_file(f"{folder}/{name}", content)
+            yield batch[["path"]]
 
-    run(files.mapInPandas(store, "path string, octets bigint"))
+    run(files.mapInPandas(store, "path string"))
 
 
 def write_sales_csv(rows: DataFrame, folder: str) -> None:

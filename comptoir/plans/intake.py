@@ -50,16 +50,19 @@ def pending_files(files: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 
 def land(accepted: DataFrame, lake: str) -> DataFrame:
-    """Copy accepted files, byte for byte, to their destination; returns the bytes copied."""
+    """Copy accepted files, byte for byte, to their destination.
+
+    The copy is fingerprinted on the way: what lies in the raw zone is what was controlled.
+    """
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes = [copy_file(origin, f"{lake}/{key}")
-                     for origin, key in zip(batch["chemin"], batch["destination"])]
-            yield pd.DataFrame({"destination": batch["destination"], "octets": sizes})
+            for file in batch.itertuples():
+                if copy_file(file.chemin, f"{lake}/{file.destination}") != file.sha256:
+                    raise RuntimeError(f"{file.chemin} changed while it was ingested")
+            yield batch[["destination"]]
 
-    return accepted.select("chemin", "destination").mapInPandas(
-        copy, "destination string, octets bigint")
+    return accepted.select("chemin", "destination", "sha256").mapInPandas(copy, "destination string")
 
 
 def taken_keys(spark: SparkSession, lake: str, day: str, before: DataFrame) -> DataFrame:

@@ -7,9 +7,9 @@ directly, others through the Arrow filesystem of their scheme, without holding t
 
 from __future__ import annotations
 
+import hashlib
 import io
 import os
-import shutil
 import uuid
 from collections.abc import Iterator
 from urllib.parse import urlsplit
@@ -49,27 +49,34 @@ def direct_children(folder: str) -> Iterator[tuple[str, str, int, int]]:
                    (entry.mtime_ns or 0) // 1000)
 
 
-def _store(reader, path: str) -> int:
+def _pour(reader, writer) -> str:
+    """Copy in pieces; returns the SHA-256 of what was copied."""
+    digest = hashlib.sha256()
+    while piece := reader.read(CHUNK):
+        digest.update(piece)
+        writer.write(piece)
+    return digest.hexdigest()
+
+
+def _store(reader, path: str) -> str:
     filesystem, inner = _locate(path)
     if filesystem is not None:
         with filesystem.open_output_stream(inner) as writer:
-            shutil.copyfileobj(reader, writer, CHUNK)
-            return writer.tell()
+            return _pour(reader, writer)
     os.makedirs(os.path.dirname(inner), exist_ok=True)
     # Renamed at the end: a lost task must not leave half a file under the final name.
     partial = f"{inner}.{uuid.uuid4().hex}.partial"
     with open(partial, "wb") as writer:
-        shutil.copyfileobj(reader, writer, CHUNK)
-        size = writer.tell()
+        fingerprint = _pour(reader, writer)
     os.replace(partial, inner)
-    return size
+    return fingerprint
 
 
-def copy_file(origin: str, target: str) -> int:
-    """Copy and return the number of bytes. A task that is run again writes the same file again."""
+def copy_file(origin: str, target: str) -> str:
+    """Copy, returning the fingerprint. A task that is run again writes the same file again."""
     with open_input(origin) as reader:
         return _store(reader, target)
 
 
-def write_file(path: str, content: bytes) -> int:
+def write_file(path: str, content: bytes) -> str:
     return _store(io.BytesIO(content), path)

@@ -205,6 +205,26 @@ def test_lost_run_is_started_again(spark, tmp_path, monkeypatch):
     assert [p.name for p in (tmp_path / "lake/raw").rglob("*.csv")] == ["a.csv"]
 
 
+def test_changed_file_is_not_landed(spark, tmp_path, monkeypatch):
+    """A file that changes between its control and its copy ends the run; the next one judges it anew."""
+    from comptoir.plans import intake
+
+    changing = put(tmp_path / "in/ventes/a.csv", GOOD_CSV)
+    decide = intake.ingestion.decide
+
+    def change_then_decide(*arguments):
+        changing.write_text(GOOD_CSV + "V7,,,,,\n")
+        return decide(*arguments)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(intake.ingestion, "decide", change_then_decide)
+        with pytest.raises(Exception, match="changed while it was ingested"):
+            ingest(spark, str(tmp_path / "in"), str(tmp_path / "lake"), DAY_ONE)
+    found = outcomes(ingest(spark, str(tmp_path / "in"), str(tmp_path / "lake"), DAY_ONE_LATER))
+    assert found["ventes", "a.csv"].motif == "4 enregistrement(s)"
+    assert [p.read_text()[-8:] for p in (tmp_path / "lake/raw").rglob("*.csv")] == ["V7,,,,,\n"]
+
+
 def test_nothing_has_arrived(spark, tmp_path):
     intake = ingest(spark, str(tmp_path / "nowhere"), str(tmp_path / "lake"), DAY_ONE)
     assert intake.code == 0 and intake.outcomes.isEmpty() and intake.manifest.isEmpty()
