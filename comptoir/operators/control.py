@@ -126,9 +126,10 @@ def _inspect_json(stream, whole: bool) -> tuple[set, int]:
 
 
 def _inspect_xml(stream, whole: bool) -> tuple[set, int]:
-    fields, count, depth = set(), 0, 0
+    fields, count, depth, root = set(), 0, 0, None
     for event, node in ElementTree.iterparse(stream, events=("start", "end")):
         if event == "start":
+            root = node if root is None else root
             depth += 1
             continue
         depth -= 1
@@ -136,7 +137,7 @@ def _inspect_xml(stream, whole: bool) -> tuple[set, int]:
             if count == 0:
                 fields = {child.tag for child in node}
             count += 1
-            node.clear()
+            root.clear()  # records seen need not stay in memory
     if count == 0:
         raise Unsuitable(XML_SHAPE)
     return fields, count

@@ -80,8 +80,9 @@ def taken_keys(spark: SparkSession, lake: str, day: str, before: DataFrame) -> D
     if not listings or not exists(spark, decisions):
         return keys
     decided = spark.read.schema("statut string, destination string, lot string").parquet(decisions)
-    lost = decided.where(F.col("statut") == ingestion.SUCCESS).join(
-        before.select("lot").distinct(), "lot", "left_anti")
+    lost = (decided.where(F.col("statut") == ingestion.SUCCESS)
+            .join(before.select("lot").distinct(), "lot", "left_anti")
+            .join(before.select("destination"), "destination", "left_anti"))
     return keys.join(lost.select("destination"), "destination", "left_anti")
 
 
@@ -90,9 +91,9 @@ def ingest(spark: SparkSession, landing: str, lake: str, at: datetime | None = N
     """Control, fingerprint, de-duplicate, land and journal the files of a landing zone.
 
     Contents are read by the tasks that control them, whose findings are stored before anything
-    depends on them, and once more for the copy of accepted files. The outcomes of a run are one partition
-    of one table, written last: a run that is lost is simply started again. Arrived files stay
-    where they are; ``rangement`` says where they belong.
+    depends on them, and once more for the copy of accepted files. The outcomes of a run are one
+    partition of one table, written last: a run that is lost is simply started again. Arrived
+    files stay where they are; ``rangement`` says where they belong.
     """
     landing, lake = qualified(spark, landing), qualified(spark, lake)
     moment = at or datetime.now()
@@ -104,9 +105,9 @@ def ingest(spark: SparkSession, landing: str, lake: str, at: datetime | None = N
     replace_table(control.control_files(spread(files), whole_bytes), findings)
     controlled = spark.read.parquet(findings)
 
-    decided = ingestion.decide(
-        controlled, ingestion.manifest_of(before), taken_keys(spark, lake, f"{moment:%Y-%m-%d}", before), before,
-        moment.strftime("%Y-%m-%d %H:%M:%S"))
+    taken = taken_keys(spark, lake, f"{moment:%Y-%m-%d}", before)
+    decided = ingestion.decide(controlled, ingestion.manifest_of(before), taken, before,
+                               moment.strftime("%Y-%m-%d %H:%M:%S"))
     decisions = f"{lake}/_ingestion/decisions/lot={lot}"
     replace_table(decided, decisions)
     outcome = spark.read.parquet(decisions).withColumn("lot", F.lit(lot))

@@ -27,9 +27,40 @@ def _locate(path: str):
     return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
+class _ArrowFile(io.RawIOBase):
+    """An Arrow file with the manners of a Python one."""
+
+    def __init__(self, stream):
+        self._stream = stream
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        return self._stream.readinto(buffer)
+
+    def tell(self) -> int:
+        return self._stream.tell()
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        start = {io.SEEK_SET: 0, io.SEEK_CUR: self.tell(), io.SEEK_END: self._stream.size()}[whence]
+        if start + offset < 0:
+            raise OSError("seek before the start of the file")
+        return self._stream.seek(start + offset)
+
+    def close(self) -> None:
+        self._stream.close()
+        super().close()
+
+
 def open_input(path: str):
     filesystem, inner = _locate(path)
-    return open(inner, "rb") if filesystem is None else filesystem.open_input_file(inner)
+    if filesystem is None:
+        return open(inner, "rb")
+    return io.BufferedReader(_ArrowFile(filesystem.open_input_file(inner)), CHUNK)
 
 
 def direct_children(folder: str) -> Iterator[tuple[str, str, int, int]]:

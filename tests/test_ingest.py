@@ -81,6 +81,30 @@ def test_streamed_fingerprints_are_the_same(spark, tmp_path):
     assert prints[0] == prints[1] and len(prints[0]) == 2 and "a b+é.csv" in prints[0]
 
 
+def test_arrow_streams_are_files(tmp_path, monkeypatch):
+    """What tasks open on a shared filesystem, here Arrow's view of the local one."""
+    from pyarrow import fs
+
+    from comptoir.operators.control import _examine
+    from comptoir.sources import files
+
+    local = fs.LocalFileSystem()
+    monkeypatch.setattr(files, "_locate", lambda path: (local, path))
+    for source, name, content, _, rows in CONTROL_CASES:
+        path = put(tmp_path / source / name, content)
+        extension = path.suffix.lower() if path.suffix.lower() in (".csv", ".json", ".xml", ".xlsx") else None
+        raw = path.read_bytes()
+        streamed = _examine(str(path), len(raw), extension, None, -1)
+        whole = _examine(str(path), len(raw), extension, raw, 0)
+        assert streamed[:3] == whole[:3], name
+        assert (streamed[3] or "")[:60] == (whole[3] or "")[:60], name
+        assert files.copy_file(str(path), str(tmp_path / "copy")) == streamed[0]
+        assert (tmp_path / "copy").read_bytes() == raw
+    found = {entry[0]: entry[2] for entry in files.direct_children(str(tmp_path / "ventes"))}
+    assert found["empty.csv"] == 0 and found["good.csv"] == len(GOOD_CSV.encode())
+    assert list(files.direct_children(str(tmp_path / "nowhere"))) == []
+
+
 class Pieces:
     """Text that comes a few characters at a time."""
 
@@ -203,6 +227,11 @@ def test_lost_run_is_started_again(spark, tmp_path, monkeypatch):
     found = outcomes(ingest(spark, landing, lake, DAY_ONE_LATER))
     assert found["ventes", "a.csv"].statut == "SUCCESS"
     assert [p.name for p in (tmp_path / "lake/raw").rglob("*.csv")] == ["a.csv"]
+    # From here on the key is taken.
+    put(tmp_path / "in/ventes/a.csv", GOOD_CSV + "V8,,,,,\n")
+    found = outcomes(ingest(spark, landing, lake, datetime(2026, 10, 2, 11, 0)))
+    assert "/a__" in found["ventes", "a.csv"].destination
+    assert (tmp_path / "lake/raw/ventes/ingest_date=2026-10-02/a.csv").read_text() == GOOD_CSV
 
 
 def test_changed_file_is_not_landed(spark, tmp_path, monkeypatch):
