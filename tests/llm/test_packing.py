@@ -1,0 +1,92 @@
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from comptoir.llm import words
+from comptoir.llm.packing import Units, pack, piece_lengths
+from comptoir.llm.queries import REGISTRY
+
+PATH = "/opt/tokenizers/word_bpe_49k.json"
+TEXTS = ["", None, "don't STOP-it's 12ab 3.5€ “quoted”, x’s", "É à ÇA ß Straße İstanbul ΣΑΣ", "a <|endoftext|> b<|startoftext|>",
+         "été 1́ ,́ 'so ''s !!'s d'or 'RE", "　wide　space nbsp\x1c\x85x", "日本語 text 日本 123", "word " * 9000,
+         "x" * 3000, "\n\t \r", "'", "a'", "''''", "१२३ ४ ½ Ⅷ", "🙂🙂 ok🙂"]
+
+
+@pytest.fixture(scope="module")
+def units():
+    return Units(PATH)
+
+
+def expected(tokenizer, text):
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def ids_of(units, texts):
+    import pyarrow as pa
+    out = []
+    for _, _, data, offsets in words.chunks(pa.array(texts, pa.string()), 64):
+        ids, count = units.texts(data, offsets)
+        out += [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])]
+    return out
+
+
+@given(st.lists(st.text(alphabet=st.sampled_from(list("abS'sTre dl.,!1²9 éÉß́ Σ日-_|<>\n"))), min_size=1, max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_units_equal_the_tokenizer(units, texts):
+    assert ids_of(units, texts) == [units.full.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+@given(st.lists(st.text(max_size=30), min_size=1, max_size=4))
+@settings(max_examples=200, deadline=None)
+def test_units_equal_the_tokenizer_on_any_text(units, texts):
+    texts = [x.encode("utf-8", "ignore").decode() for x in texts]
+    assert ids_of(units, texts) == [units.full.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4095, 4096, 4097, 12345])
+def test_lengths(n):
+    lengths = piece_lengths(n)
+    assert sum(lengths) == n and all(x & (x - 1) == 0 for x in lengths)
+    assert lengths == sorted(lengths, reverse=True) and len(set(x for x in lengths if x < 4096)) == len([x for x in lengths if x < 4096])
+
+
+def check(rows, texts):
+    tokenizer = Tokenizer.from_file(PATH)
+    assert len({r.sequence_id for r in rows}) == len(rows)
+    by_doc = {}
+    for r in rows:
+        assert r.offset == 0 and r.length & (r.length - 1) == 0
+        by_doc.setdefault(r.doc_id, []).append(r)
+    assert set(by_doc) == set(texts)
+    for doc, text in texts.items():
+        ids, at = expected(tokenizer, text), 0
+        for r in sorted(by_doc[doc], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids))
+            piece = np.array(ids[at:at + r.length], "<u4").tobytes()
+            assert zlib.crc32(piece) == (r.ids_crc32 if "ids_crc32" in r else zlib.crc32(bytes(r.ids)))
+            at += r.length
+        assert at == len(ids)
+
+
+def test_edges(spark):
+    rows = [(i, x, "source", 7) for i, x in enumerate(TEXTS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, sequence_id long")
+    check(pack(docs, PATH).collect(), {i: x for i, x, *_ in rows})
+
+
+def test_empty_repeated_and_null_keys(spark):
+    schema = "doc_id long, text string"
+    assert pack(spark.createDataFrame([], schema), PATH).count() == 0
+    docs = spark.createDataFrame([(1, "same text"), (1, "same text"), (None, "x")], schema)
+    rows = pack(docs, PATH).collect()
+    assert sum(r.length for r in rows) == 3 + 3 + 2
+    assert len({r.sequence_id for r in rows}) == len(rows)
+
+
+def test_query(spark, sf_dir):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    check(REGISTRY["op9_packing"](spark, sf_dir).collect(), texts)
