@@ -40,3 +40,57 @@ def packed(docs: DataFrame) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents, each a sequence of power-of-two length."""
     return packed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer inner products of every twentieth vector with all others."""
+    from comptoir.llm.topk import finite, top_k, whole_weights
+
+    vectors = table(spark, sf_dir, "embeddings")
+    taken = vectors.where(finite(F.col("embedding"))).select(
+        "vec_id", whole_weights(F.col("embedding")).alias("weights"))
+    return top_k(taken, F.col("vec_id") % 20 == 0)
+
+
+ORACLE["op5_topk"] = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS w FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+    r AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards, uniformly shuffled; counts at most one apart."""
+    from comptoir.llm.sharding import shuffled
+
+    slim = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(1).cast("long")).alias("size"),
+        F.crc32(F.encode(F.coalesce("text", F.lit("")), "utf-8")).alias("text_crc32"))
+    return shuffled(slim, 8).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                                    F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, with a digest of those that the fixed patterns find."""
+    from comptoir.llm.secrets import KINDS, scan
+
+    def joined(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    def counted(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", *(counted(kind) for kind in KINDS[:3]),
+        F.sha2(joined(F.filter("spans", lambda s: s["kind"] != KINDS[3])), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"))

@@ -1,0 +1,90 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from comptoir.llm import secrets
+from comptoir.llm.queries import REGISTRY
+
+KINDS = ("assign", "access", "hex")
+
+
+def brute(text):
+    """The fixed patterns as the contract writes them."""
+    text, out = text or "", []
+    for m in re.finditer(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.A):
+        out += [(m.start(), 0, m.end())] * (len(m[2]) >= 6)
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(out)
+
+
+TEXTS = ["", None, "é password=abcdef, Passwd : 'abc12' tokeN=\"xyz.12=-\" secret:short", "api_key=APIKEY=aaaaaaaa apikey  =  b/b+b_b",
+         "AKIA" + "B" * 16 + " AKIAAKIA12 " + "AKIA" + "9" * 30, "f" * 23 + "g" + "a" * 24 + "日本" + "0" * 50,
+         "x token=" + "ab" * 20 + "; " + "word " * 5000 + "secret = deadbeef", "secret\n=\nabcdef", "password=password=abcdef",
+         "ſecret=abcdefgh toKen=abcdefgh"]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_base(text):
+    assert secrets.base_spans(text or "") == brute(text)
+
+
+def random_token(rng, alphabet, n):
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+def docs(spark, texts):
+    return spark.createDataFrame([(i, x, "k", 1) for i, x in enumerate(texts)], "doc_id long, text string, spans string, kind int")
+
+
+def test_scan(spark):
+    rng = random.Random(4)
+    base64 = dict((n, s) for n, s in secrets.ENCODINGS)["base62"]
+    keys = [random_token(rng, base64, 40) for _ in range(200)]
+    keys = [k for k in keys if secrets.encoding(k) is not None]
+    plain = [f"release_{i}_of_the_quarterly_report_{i % 7}" for i in range(200)]
+    texts = TEXTS + [f"é see {k} here" for k in keys] + [f"in {p} we" for p in plain]
+    rows = {r.doc_id: [(s.start, s.kind, s.end) for s in r.spans] for r in secrets.scan(docs(spark, texts)).collect()}
+    assert set(rows) == set(range(len(texts)))
+    for i, text in enumerate(texts):
+        assert [x for x in rows[i] if x[1] != "random"] == [(a, KINDS[k], b) for a, k, b in brute(text)]
+    first = len(TEXTS)
+    caught = sum(rows[first + i] == [(6, "random", 6 + len(k))] for i, k in enumerate(keys))
+    assert caught >= 0.9 * len(keys)
+    false = sum(bool(rows[first + len(keys) + i]) for i in range(len(plain)))
+    assert false <= 0.1 * len(plain)
+
+
+def test_battery_tells_random_from_regular():
+    rng = random.Random(2)
+    hexes = [random_token(rng, "0123456789abcdef", 40) for _ in range(300)]
+    high = sum(secrets.randomness(x, "0123456789abcdef") > 0.05 for x in hexes)
+    assert high > 270
+    for regular in ("0123456789abcdef0123456789abcdef", "a1" * 20, "0" * 30 + "a", "00000000aaaaaaaa00000000aaaaaaaa"):
+        assert secrets.randomness(regular, "0123456789abcdef") < 0.01
+
+
+def test_empty_and_repeated(spark):
+    assert secrets.scan(docs(spark, [])).count() == 0
+    twice = docs(spark, ["token=abcdef"]).union(docs(spark, ["token=abcdef"]))
+    assert [len(r.spans) for r in secrets.scan(twice).collect()] == [1, 1]
+
+
+def test_redact(spark):
+    out = secrets.redact(docs(spark, TEXTS)).orderBy("doc_id").collect()
+    assert out[0].text == "" and out[1].text is None
+    assert out[2].text == "é [SECRET], Passwd : 'abc12' [SECRET]\" secret:short"
+    assert all(brute(r.text) == [] for r in out)
+    assert [r.kind for r in out] == [1] * len(TEXTS)
+
+
+def test_query(spark, sf_dir):
+    rows = {r.doc_id: r for r in REGISTRY["op4_secrets"](spark, sf_dir).collect()}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        base, got = brute(r.text), rows[r.doc_id]
+        assert (got.n_assign, got.n_access, got.n_hex) == tuple(sum(k == i for _, k, _ in base) for i in range(3))
+        joined = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in base)
+        assert got.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(joined.split(",")) - {""} <= set(got.spans.split(","))
