@@ -94,3 +94,26 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *(counted(kind) for kind in KINDS[:3]),
         F.sha2(joined(F.filter("spans", lambda s: s["kind"] != KINDS[3])), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"))
+
+
+def fold(key: str, parts: int, held_out: int):
+    """Whether a row is held out: crc32 of its key as text, modulo `parts`; a null key is not."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % parts == held_out, F.lit(False))
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """Learned from the labels that are not held out; used for the query and the pipeline."""
+    from comptoir.llm.toxicity import fit
+
+    return fit(docs, table(spark, sf_dir, "labels"), ~fold("doc_id", 4, 2))
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that each document is toxic."""
+    from comptoir.llm.toxicity import score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score(docs, toxicity_model(spark, docs, sf_dir)).drop("text")
+    return scored.select("doc_id", fold("doc_id", 4, 2).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.llm import words
+from comptoir.llm.shared import widened
 
 # Fixed patterns, by kind in the order of the list.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?((?-i:[A-Za-z0-9+/_.=-]+))""",
@@ -243,4 +244,4 @@ def redact(docs: DataFrame, text: str = "text", share: float = FALSE_SHARE, mark
             yield pa.RecordBatch.from_arrays([*batch.columns[:place], texts, *batch.columns[place + 1:]],
                                              schema=batch.schema)
 
-    return docs.mapInArrow(cleaned, docs.schema)
+    return widened(docs, cleaned)

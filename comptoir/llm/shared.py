@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from comptoir.session import work_folder
 
@@ -20,3 +21,14 @@ def stored(frame: DataFrame) -> DataFrame:
     path = f"{work_folder(frame.sparkSession)}/table"
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def widened(frame: DataFrame, function, added: str = "") -> DataFrame:
+    """`function` over Arrow batches of all columns of the frame, whatever their names, and columns it adds.
+
+    In the batches the columns are called _0, _1, …; the result has the old names and the added ones.
+    """
+    plain = frame.toDF(*(f"_{i}" for i in range(len(frame.columns))))
+    more = StructType.fromDDL(added).fields if added else []
+    out = plain.mapInArrow(function, StructType([*plain.schema.fields, *more]))
+    return out.toDF(*frame.columns, *(f.name for f in more))
