@@ -117,3 +117,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score(docs, toxicity_model(spark, docs, sf_dir)).drop("text")
     return scored.select("doc_id", fold("doc_id", 4, 2).alias("held_out"), "score",
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that each document is of good quality."""
+    from comptoir.llm.quality import fit, score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels"), ~fold("doc_id", 3, 1))
+    return score(docs, model).select("doc_id", fold("doc_id", 3, 1).alias("held_out"), "score",
+                                     (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -57,6 +57,8 @@ class Model(NamedTuple):
 def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and rows of units, and the unit of each byte (-1 between units)."""
     starts, ends, rows = words.spans(data, offsets, ~words.SPACE)
+    if not len(starts):
+        return starts, ends, rows, np.full(len(data), -1)
     single = ends - starts == 1
     joined = np.zeros(len(starts), bool)  # to the word before
     joined[1:] = single[1:] & single[:-1] & (starts[1:] == ends[:-1] + 1) & (rows[1:] == rows[:-1])
