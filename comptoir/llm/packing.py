@@ -51,13 +51,7 @@ class Units:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.special = [token.content for token in self.full.get_added_tokens_decoder().values()]
-        self.hasher = words.Hasher()
-        self._forget()
-
-    def _forget(self) -> None:
-        self.keys = np.empty(0, np.uint64)
-        self.where = self.count = np.empty(0, np.int64)
-        self.ids, self.used = np.empty(1 << 16, np.uint32), 0
+        self.memo = words.Memo(KNOWN_UNITS)
 
     def _joined(self, tokenizer: Tokenizer, units: list[str]) -> list[np.ndarray]:
         """Units of one pre-token each; a token with a word end closes each."""
@@ -88,19 +82,6 @@ class Units:
                 out[i] = ids
         return out
 
-    def _learn(self, keys: np.ndarray, units: list[str]) -> None:
-        ids = self.encode(units)
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
-        if self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids[:self.used], np.empty(2 * (self.used + len(flat)), np.uint32)])
-        self.ids[self.used:self.used + len(flat)] = flat
-        at = np.searchsorted(self.keys, keys)
-        self.where = np.insert(self.where, at, self.used + np.cumsum(count) - count)
-        self.count = np.insert(self.count, at, count)
-        self.keys = np.insert(self.keys, at, keys)
-        self.used += len(flat)
-
     def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has."""
         n = len(offsets) - 1
@@ -119,21 +100,9 @@ class Units:
         begins[1:] &= ~inside[:-1] | edge[1:-1]
         stops[:-1] &= ~inside[1:] | edge[1:-1]
         starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-        keys, first, inverse = np.unique(self.hasher.spans(data, starts, ends, words.LOWER),
-                                         return_index=True, return_inverse=True)
-        if len(self.keys) > KNOWN_UNITS:
-            self._forget()
-        at = np.searchsorted(self.keys, keys)
-        new = np.ones(len(keys), bool)
-        near = at < len(self.keys)
-        new[near] = self.keys[at[near]] != keys[near]
-        lowered = words.LOWER[data].tobytes()
-        self._learn(keys[new], [lowered[a:b].decode() for a, b in zip(starts[first[new]], ends[first[new]], strict=True)])
-        at = np.searchsorted(self.keys, keys)
-        where, count = self.where[at][inverse], self.count[at][inverse]
+        ids, count = self.memo.look_up(data, starts, ends, self.encode, words.LOWER)
         row = np.searchsorted(offsets, starts, "right") - 1
-        per_row = np.bincount(row, count, n).astype(np.int64)
-        return self.ids[words.gather(where, count)], per_row
+        return ids, np.bincount(row, count, n).astype(np.int64)
 
 
 def piece_lengths(n: int, longest: int = SEQUENCE) -> list[int]:

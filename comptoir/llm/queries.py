@@ -128,3 +128,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit(docs, table(spark, sf_dir, "labels"), ~fold("doc_id", 3, 1))
     return score(docs, model).select("doc_id", fold("doc_id", 3, 1).alias("held_out"), "score",
                                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op6_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again, with the checksum of its ids."""
+    from comptoir.llm.sentencepieces import encode
+
+    out = encode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), "round_trip", "n_differing")

@@ -128,3 +128,49 @@ def gather(where: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Indices where[0], where[0]+1, … (count[0] of them), where[1], … in one array."""
     ends = np.cumsum(count)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(where - (ends - count), count)
+
+
+class Memo:
+    """Ids of byte spans, each distinct span encoded once; starts again with none beyond `limit` spans."""
+
+    def __init__(self, limit: int = 4_000_000) -> None:
+        self.limit, self.hasher = limit, Hasher()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys = np.empty(0, np.uint64)
+        self.where = self.count = np.empty(0, np.int64)
+        self.ids, self.used = np.empty(1 << 16, np.uint32), 0
+
+    def _learn(self, keys: np.ndarray, ids: list[np.ndarray]) -> None:
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
+        if self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:self.used], np.empty(2 * (self.used + len(flat)), np.uint32)])
+        self.ids[self.used:self.used + len(flat)] = flat
+        at = np.searchsorted(self.keys, keys)
+        self.where = np.insert(self.where, at, self.used + np.cumsum(count) - count)
+        self.count = np.insert(self.count, at, count)
+        self.keys = np.insert(self.keys, at, keys)
+        self.used += len(flat)
+
+    def look_up(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, encode,
+                fold: np.ndarray = SAME) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all spans, one after the other, and how many each has.
+
+        `encode` makes arrays of ids of a list of strings: the spans not met before, folded.
+        """
+        keys, first, inverse = np.unique(self.hasher.spans(data, starts, ends, fold),
+                                         return_index=True, return_inverse=True)
+        if len(self.keys) > self.limit:
+            self._forget()
+        at = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        near = at < len(self.keys)
+        new[near] = self.keys[at[near]] != keys[near]
+        folded = fold[data].tobytes()
+        self._learn(keys[new], encode([folded[a:b].decode() for a, b in zip(
+            starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]))
+        at = np.searchsorted(self.keys, keys)
+        where, count = self.where[at][inverse], self.count[at][inverse]
+        return self.ids[gather(where, count)], count
