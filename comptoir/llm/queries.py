@@ -137,3 +137,11 @@ def op6_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = encode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
     return out.select("doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), "round_trip", "n_differing")
+
+
+@query
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by a Jaccard similarity of 0.8 of their five-word shingles."""
+    from comptoir.llm.jaccard import join
+
+    return join(table(spark, sf_dir, "documents"))

@@ -12,8 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes that are handled at once; a single longer text is a chunk of its own.
-CHUNK_BYTES = 4 << 20
+#: Bytes and rows that are handled at once; a single longer text is a chunk of its own.
+CHUNK_BYTES, CHUNK_ROWS = 4 << 20, 1 << 15
 SEGMENT_BYTES = 1 << 20
 #: White space of the contracts: \x20 and \x09 to \x0D.
 SPACE = np.zeros(256, bool)
@@ -101,11 +101,12 @@ def buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of consecutive rows with up to `limit` bytes together."""
+    """(first row, end row, bytes, offsets) of consecutive rows, up to `limit` bytes and CHUNK_ROWS together."""
     data, offsets = buffer(texts)
     first = 0
     while first < len(texts):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
+        last = min(last, first + CHUNK_ROWS)
         yield first, last, data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
         first = last
 
