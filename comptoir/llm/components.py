@@ -12,8 +12,9 @@ def components(links: DataFrame) -> DataFrame:
     """`node, component`, the smallest node that is reachable, for every node of a link between two nodes.
 
     `links` has `a, b` (long); order, repeats and links of a node to itself do not matter. Every round
-    maps each node to its smallest neighbour and contracts the graph along this map, so that a
-    hub is one row after one round; the maps are then followed from first to last. Each round is
+    maps each node to the neighbour that comes first in a random order, this one's own first neighbour
+    that is, and contracts the graph along the map: a hub is one node after two rounds, and a chain
+    loses a share of its nodes in each. The maps are then followed from first to last. Each round is
     stored in the shared folder.
     """
     rest = checkpointed(links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").select(
@@ -21,8 +22,12 @@ def components(links: DataFrame) -> DataFrame:
     maps = []
     while not rest.isEmpty():
         both = rest.select("a", "b").union(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        near = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select(
-            "node", F.least("node", "b").alias("to")))
+        first = F.min(F.struct(F.xxhash64("b").alias("h"), F.col("b").alias("id")))
+        own = F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("id"))
+        step = checkpointed(both.groupBy(F.col("a").alias("node")).agg(first.alias("first")).select(
+            "node", F.least("first", own)["id"].alias("to")))
+        near = checkpointed(step.join(step.select(F.col("node").alias("to"), F.col("to").alias("then")), "to").select(
+            "node", F.col("then").alias("to")))
         maps.append(near)
         left = rest.join(near.select(F.col("node").alias("a"), F.col("to").alias("x")), "a")
         moved = left.join(near.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
@@ -34,4 +39,5 @@ def components(links: DataFrame) -> DataFrame:
     for later in maps[1:]:
         then = later.select(F.col("node").alias("component"), "to")
         out = out.join(then, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
-    return out
+    least = out.groupBy("component").agg(F.min("node").alias("least"))
+    return out.join(least, "component").select("node", F.col("least").alias("component"))

@@ -70,7 +70,8 @@ class Scheme:
         while self.top[-1] < size:
             low = -(-self.percent * (self.top[-1] + 1) // 100)
             self.least.append(low)
-            self.top.append(max(2 * low, self.top[-1] + 1))
+            # wide enough that no size is in three bands
+            self.top.append(max(2 * low, -(-low * 10000 // self.percent ** 2) + 1))
 
     def bands(self, sizes: np.ndarray) -> list[np.ndarray]:
         """The band of each size, and the next one where that holds the size too (else -1)."""
@@ -278,8 +279,11 @@ def join(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_id",
     known_parts = stored(components(links))
     members = groups.where("big").select("signature", F.col("b").alias("node")).join(known_parts, "node", "left").select(
         "signature", "node", F.coalesce("component", "node").alias("component"))
+    # many signatures have the same members; one of them is enough
     mixed = members.groupBy("signature").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("held")).where("x <> y")
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("held"),
+        F.bit_xor(F.xxhash64("node")).alias("mark"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("mark2")
+    ).where("x <> y").groupBy("held", "mark", "mark2").agg(F.min("signature").alias("signature"))
     # large groups in parts, every pair of parts by itself
     parts = F.ceil(F.col("held") / PART_ROWS).cast("int")
     part = F.pmod(F.xxhash64("node"), parts).cast("int")
@@ -308,7 +312,8 @@ def join(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_id",
                                              ["node", "doc_id", "n_shingles"])
 
     kind = docs.schema[key].dataType.simpleString()
-    sized = rows.select("node", "doc_id", "text").mapInArrow(counted, f"node long, doc_id {kind}, n_shingles long")
+    sized = stored(rows.select("node", "doc_id", "text").mapInArrow(
+        counted, f"node long, doc_id {kind}, n_shingles long"))
     placed = sized.join(whole, "node", "left")
     least = placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "component", "left").select(
