@@ -164,3 +164,31 @@ ORACLE["op1_jaccard"] = rf"""
     SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.least, d.doc_id)) AS component_id
     FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.node = d.doc_id
 """
+
+
+@query
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of 13-word windows that a document with a smaller id has, too."""
+    from comptoir.llm.passages import deduplicated
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return deduplicated(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op8_passages"] = r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    g AS (
+        SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, unnest(list_transform(range(1, len(w) - 11),
+            lambda i: sha256(array_to_string(w[i:i + 12], ' ')))) AS g FROM w WHERE len(w) >= 13),
+    f AS (SELECT g, min(doc_id) AS least FROM g GROUP BY g),
+    c AS (SELECT g.doc_id, g.i FROM g JOIN f ON f.g = g.g WHERE f.least < g.doc_id),
+    x AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM c),
+    a AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM w),
+    k AS (
+        SELECT a.doc_id, count(*) AS n_words, count(x.i) AS n_removed,
+               string_agg(a.word, ' ' ORDER BY a.i) FILTER (WHERE x.i IS NULL) AS kept
+        FROM a LEFT JOIN x ON x.doc_id = a.doc_id AND x.i = a.i GROUP BY a.doc_id)
+    SELECT d.doc_id, coalesce(k.n_words, 0) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+           sha256(coalesce(k.kept, '')) AS kept_sha256
+    FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
