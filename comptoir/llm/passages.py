@@ -77,7 +77,7 @@ def hits(texts: list[list[str]], owners: list[int], width: int) -> Iterator[tupl
                         least[window] = owner
     if not recurring:
         return
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    automaton = ahocorasick.Automaton()
     for window in recurring:
         automaton.add_word(window, least[window])
     automaton.make_automaton()

@@ -192,3 +192,11 @@ ORACLE["op8_passages"] = r"""
            sha256(coalesce(k.kept, '')) AS kept_sha256
     FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id
 """
+
+
+@query
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings linked by a cosine of 0.95 or more."""
+    from comptoir.llm.embeddings import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
