@@ -20,7 +20,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.llm import words
@@ -193,11 +193,32 @@ def _pairs_apart(sizes, component, part, sketches, percent):
 
 
 def join(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`doc_id, n_shingles, component_id` of every row.
+    """`doc_id, n_shingles, component_id` of every row: see `classes`."""
+    placed = classes(docs, percent, size, key, text)
+    least = placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
+    return placed.join(least, "component", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def representatives(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` without those that are in a class with a row of a smaller key: see `classes`.
+
+    Null keys are greater than all others; of rows with one key the first stays.
+    """
+    placed = classes(docs, percent, size, key, text).where("component is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("no_key"), "doc_id", "node")
+    least = placed.groupBy("component").agg(F.min(order)["node"].alias("stays"))
+    gone = placed.join(least, "component").where("node <> stays").select(F.col("node").alias("__node"))
+    numbered = docs.withColumn("__node", F.monotonically_increasing_id())
+    return numbered.join(gone, "__node", "left_anti").drop("__node")
+
+
+def classes(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`node, doc_id, n_shingles, component` of every row; node numbers the rows.
 
     Two rows are linked when the Jaccard similarity of their sets of `size`-word shingles (A-Z in lower
-    case; a shorter text is one shingle) is percent / 100 or more; `component_id` is the smallest key
-    that is reachable by links. Null and empty texts and texts without words have the empty set and link with nothing.
+    case; a shorter text is one shingle) is percent / 100 or more; `component` is the smallest node that is
+    reachable by links, null without links; `component_id` is the smallest key there. Null and empty texts and texts without words have the empty set and link with nothing.
     Repeated keys are rows of their own; null keys count for no minimum. Other columns are not read.
     `docs` is read several times and must give the same rows in the same order, as a stored table does.
 
@@ -314,7 +335,4 @@ def join(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_id",
     kind = docs.schema[key].dataType.simpleString()
     sized = stored(rows.select("node", "doc_id", "text").mapInArrow(
         counted, f"node long, doc_id {kind}, n_shingles long"))
-    placed = sized.join(whole, "node", "left")
-    least = placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
-    return placed.join(least, "component", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    return sized.join(whole, "node", "left")

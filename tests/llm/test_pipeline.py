@@ -1,0 +1,84 @@
+"""Every stage against a plain version of what it decides, on all that the stage before kept."""
+
+import re
+
+import pytest
+
+import corpus_pipeline
+from comptoir.llm import jaccard, queries, secrets, toxicity
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def kept(spark, sf_dir, tmp_path_factory):
+    out = [queries.table(spark, sf_dir, "documents")]
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        path = str(tmp_path_factory.mktemp("stage") / str(i))
+        stage(spark, out[-1], sf_dir).write.parquet(path)
+        out.append(spark.read.parquet(path))
+    return out
+
+
+def texts(frame):
+    return {r.doc_id: r.text for r in frame.collect()}
+
+
+def test_columns(kept):
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "n-gram Jaccard join", "substring dedup", "secret scans", "packing"]
+    for frame in kept[:-1]:
+        assert frame.columns == COLUMNS
+
+
+def test_toxicity(spark, kept, sf_dir):
+    model = queries.toxicity_model(spark, kept[0], sf_dir)
+    low = {r.doc_id for r in toxicity.score(kept[0], model).where("score < 0.3").collect()}
+    assert texts(kept[1]) == {k: v for k, v in texts(kept[0]).items() if k in low}
+
+
+def test_near_duplicates(kept):
+    classes = {r.doc_id: r.component_id for r in jaccard.join(kept[1]).collect()}
+    assert texts(kept[2]) == {k: v for k, v in texts(kept[1]).items() if classes[k] == k}
+
+
+def test_passages(kept):
+    before, after = texts(kept[2]), texts(kept[3])
+    assert set(before) == set(after)
+    listed = {k: re.findall("[^\x20\x09-\x0D]+", v or "") for k, v in before.items()}
+    least = {}
+    for k, w in sorted(listed.items()):
+        for i in range(len(w) - 12):
+            least.setdefault(tuple(w[i:i + 13]), k)
+    for k, w in listed.items():
+        gone = {j for i in range(len(w) - 12) if least[tuple(w[i:i + 13])] < k for j in range(i, i + 13)}
+        assert after[k] == (before[k] if not gone else " ".join(x for j, x in enumerate(w) if j not in gone))
+
+
+def test_secrets(kept):
+    before, after = texts(kept[3]), texts(kept[4])
+    spans = {r.doc_id: r.spans for r in secrets.scan(kept[3]).collect()}
+    assert set(before) == set(after)
+    for k, text in before.items():
+        if not spans[k]:
+            assert after[k] == text
+        else:
+            assert "[SECRET]" in after[k] and not secrets.base_spans(after[k])
+
+
+def test_run_packs_all_that_is_left(spark, kept, sf_dir):
+    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    assert {r.doc_id for r in rows} == set(texts(kept[4]))
+    assert sorted((r.doc_id, r.start, r.ids_crc32) for r in rows) == sorted(
+        (r.doc_id, r.start, r.ids_crc32) for r in kept[5].collect())
+
+
+def test_edges(spark, sf_dir):
+    rows = [(1, "", "en", "a", 0), (2, None, "en", "a", None), (None, "w " * 30, None, None, 5), (3, "token=abcdef x", "en", "a", 1),
+            (3, "token=abcdef x", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    for frame, counts in ((docs, (5, 4, 4, 4)), (docs.limit(0), (0, 0, 0, 0))):
+        for (_, stage), n in zip(corpus_pipeline.STAGES[:-1], counts, strict=True):
+            frame = corpus_pipeline.stored(stage(spark, frame, sf_dir))
+            assert frame.count() == n
+        assert (corpus_pipeline.STAGES[-1][1](spark, frame, sf_dir).count() > 0) == (counts[0] > 0)
