@@ -9,7 +9,7 @@ that the shorter of both enumerations covers, one of them must agree. Sets with
 partitions say so in a second and third kind of signature, which they share among themselves.
 
 Sets of one signature are candidates. In small groups all pairs are, in others each set is paired with the
-group's first one only; what is linked then counts as one, and only sets of different components in the
+group's best known one only; what is linked then counts as one, and only sets of different components in the
 same group are compared further, by a bound from parities of feature counts. Every pair that is kept is
 checked with the sets themselves.
 """
@@ -88,7 +88,7 @@ class Scheme:
         top = np.array(self.top)[band]
         apart = (100 - self.percent) / self.percent * top
         heavy = np.where(top >= 64, 2, 1)
-        return np.where(top >= 64, np.ceil(1.44 * apart), np.ceil(2 * apart) + 2).astype(np.int64), heavy
+        return np.where(top >= 64, np.ceil(1.44 * apart) + 1, np.ceil(2 * apart) + 2).astype(np.int64), heavy
 
 
 def signatures(features: np.ndarray, sizes: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +157,8 @@ def parities(features: np.ndarray, bits: int) -> bytes:
 def parity_bits(scheme: Scheme, size: int) -> int:
     """Cells for sets of this size; the same for all sets that may be similar enough, bands apart."""
     scheme.upto(size)
-    return max(64, 1 << (scheme.top[int(np.searchsorted(scheme.top, size))] - 1).bit_length())
+    # few enough features to a cell that parities hardly ever cancel
+    return max(256, 4 << (scheme.top[int(np.searchsorted(scheme.top, size))] - 1).bit_length())
 
 
 def _folded(bits: np.ndarray, to: int) -> np.ndarray:
@@ -175,7 +176,7 @@ def _pairs_apart(sizes, component, part, sketches, percent):
     """
     two = part.min() != part.max()
     shortest = min(len(s) for s in sketches)
-    bits = np.vstack([_folded(np.frombuffer(s, np.uint8)[None, :], shortest * 8) for s in sketches])
+    bits = np.vstack([_folded(np.frombuffer(s, np.uint8)[None, :], shortest * 8) for s in sketches]).view(np.uint64)
     for i in range(0, len(sizes), BLOCK):
         for j in range(i, len(sizes), BLOCK):
             left, right = slice(i, i + BLOCK), slice(j, j + BLOCK)
@@ -247,7 +248,7 @@ def classes(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_i
         begin = np.flatnonzero(np.r_[True, signature[1:] != signature[:-1]]) if len(signature) else np.empty(0, np.int64)
         held = np.diff(np.append(begin, len(signature)))
         big = np.repeat(held > SMALL_GROUP, held)
-        out = [(signature[big], np.repeat(node[begin], held)[big], node[big])]
+        out = [(signature[big], np.repeat(held, held)[big], node[big])]
         for k in range(2, SMALL_GROUP + 1):
             at = begin[held == k]
             out += [(np.zeros(len(at), np.int64), node[at + i], node[at + j]) for i in range(k) for j in range(i + 1, k)]
@@ -261,8 +262,15 @@ def classes(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_i
                     .repartition(tasks, "signature")
                     .mapInArrow(grouped, "signature long, big boolean, a long, b long"))
     small = groups.where("not big and a <> b").groupBy("a", "b").agg(F.lit(1)).select("a", "b")
-    often = groups.where("big and a <> b").groupBy("a", "b").agg(F.count("*").alias("n"))
-    usual = often.groupBy("b").agg(F.max(F.struct("n", (-F.col("a")).alias("a")))["a"].alias("a")).select((-F.col("a")).alias("a"), "b")
+    # of a larger group (a: its size), the centre is the one that larger groups have in common with most others
+    large = groups.where("big").select("signature", F.col("b").alias("node"), F.col("a").alias("held"))
+    known_by = large.groupBy("node").agg(F.sum("held").alias("met"))
+    centres = large.join(known_by, "node").groupBy("signature").agg(
+        F.max(F.struct("met", (-F.col("node")).alias("minus")))["minus"].alias("minus"))
+    often = large.join(centres, "signature").groupBy("node", (-F.col("minus")).alias("centre")).agg(F.count("*").alias("n"))
+    usual = often.where("node <> centre").groupBy("node").agg(
+        F.max(F.struct("n", (-F.col("centre")).alias("minus")))["minus"].alias("minus")).select(
+        F.least("node", -F.col("minus")).alias("a"), F.greatest("node", -F.col("minus")).alias("b"))
     pairs = stored(small.union(usual).distinct())
 
     def sets(batches):
@@ -277,7 +285,7 @@ def classes(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_i
                     "sketch": pa.array([parities(features[a:b], parity_bits(scheme, max(b - a, 1)))
                                         for a, b in zip(limits[:-1], limits[1:], strict=True)], pa.binary())})
 
-    needed = groups.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.lit(1)).select("node")
+    needed = groups.select(F.explode(F.when(F.col("big"), F.array("b")).otherwise(F.array("a", "b"))).alias("node")).groupBy("node").agg(F.lit(1)).select("node")
     known = stored(rows.select("node", "text").join(needed, "node", "left_semi").mapInArrow(
         sets, "node long, n long, features array<long>, sketch binary"))
 
@@ -298,7 +306,7 @@ def classes(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_i
 
     links = stored(checked(pairs))
     known_parts = stored(components(links))
-    members = groups.where("big").select("signature", F.col("b").alias("node")).join(known_parts, "node", "left").select(
+    members = large.join(known_parts, "node", "left").select(
         "signature", "node", F.coalesce("component", "node").alias("component"))
     # many signatures have the same members; one of them is enough
     mixed = members.groupBy("signature").agg(
