@@ -112,7 +112,6 @@ def deduplicated(docs: DataFrame, width: int = 13, key: str = "doc_id", text: st
     names = [f"_{i}" for i in range(len(kept.columns))]
     rows = kept.toDF(*names).withColumn("node", F.monotonically_increasing_id())
     text, key = names[kept.columns.index(text)], names[kept.columns.index(key)]
-    owned = rows.select("node", F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("owner"), F.col(text).alias("text"))
 
     def seeded(batches):
         hasher, met = words.Hasher(), {}
@@ -139,45 +138,43 @@ def deduplicated(docs: DataFrame, width: int = 13, key: str = "doc_id", text: st
                 is_whole = np.arange(len(take)) >= len(take) - len(whole)
                 yield pa.RecordBatch.from_pydict({
                     "seed": pa.array(np.where(is_whole, words.mix(nodes[first + row[take]].astype(np.uint64)), seed[take]).view(np.int64)),
-                    "owner": pa.array(np.where(is_whole, -1, owners[first + row[take]])),
                     "node": pa.array(nodes[first + row[take]]),
-                    "first": pa.array(np.where(is_whole, 0, begin[take]).astype(np.int32)),
-                    "last": pa.array(np.where(is_whole, stop[rank[take]], end[take]).astype(np.int32)),
-                    "whole": pa.array(is_whole)})
+                    "span": pa.array(np.where(is_whole, -1 - stop[rank[take]], (begin[take] << 32) | end[take]))})
 
     def confirmed(batches):
-        table = pa.Table.from_batches(batches, pa.schema([
-            ("seed", pa.int64()), ("owner", pa.int64()), ("node", pa.int64()), ("first", pa.int32()),
-            ("last", pa.int32()), ("whole", pa.bool_())]))
-        seed, owner, whole = (table.column(c).to_numpy() for c in ("seed", "owner", "whole"))
+        """Segments whose seed is in two rows, and whole texts."""
+        table = pa.Table.from_batches(batches, pa.schema([("seed", pa.int64()), ("node", pa.int64()), ("span", pa.int64())]))
+        seed, node, whole = (table.column(0).to_numpy(), table.column(1).to_numpy(), table.column(2).to_numpy() < 0)
         order = np.lexsort((whole, seed))
         begin = np.flatnonzero(np.r_[True, (seed[order][1:] != seed[order][:-1]) | (whole[order][1:] != whole[order][:-1])])
         if not len(order):
             return
-        low, high = np.minimum.reduceat(owner[order], begin), np.maximum.reduceat(owner[order], begin)
+        low, high = np.minimum.reduceat(node[order], begin), np.maximum.reduceat(node[order], begin)
         shared = np.repeat(low < high, np.diff(np.append(begin, len(order)))) | whole[order]
-        take = np.sort(order[shared])
-        yield from table.drop_columns(["owner"]).take(pa.array(take)).to_batches(max_chunksize=1 << 17)
+        yield from table.take(pa.array(np.sort(order[shared]))).to_batches(max_chunksize=1 << 17)
 
     letters = rows.agg(F.sum(F.length(text))).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(letters / 32 / 1_000_000))
-    spots = owned.mapInArrow(seeded, "seed long, owner long, node long, first int, last int, whole boolean").repartition(
-        tasks, "seed").mapInArrow(confirmed, "seed long, node long, first int, last int, whole boolean")
-    by_row = spots.groupBy("node").agg(F.collect_list(F.struct("seed", "first", "last", "whole")).alias("spots"))
+    spots = rows.select("node", F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("owner"), text).mapInArrow(
+        seeded, "seed long, node long, span long").repartition(tasks, "seed").mapInArrow(
+        confirmed, "seed long, node long, span long")
+    by_row = spots.groupBy("node").agg(F.collect_list(F.struct("seed", "span")).alias("spots"))
 
     def cut(batches):
+        at_text, at_key = names.index(text), names.index(key)
         for batch in batches:
             out: list[tuple] = []
-            spots = batch.column(3)
-            for r, (node, owner, whole) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                                         batch.column(2).to_pylist(), strict=True)):
+            spots = batch.column(len(names) + 1)
+            owners = batch.column(at_key).cast(pa.int64()).to_pylist()
+            for r, (node, owner) in enumerate(zip(batch.column(len(names)).to_pylist(), owners, strict=True)):
                 own = spots[r].values
-                listed = None
-                for seed, first, last, copy in zip(*(own.field(i).to_pylist() for i in range(4)), strict=True):
-                    if copy:
-                        out.append((seed, owner, node, first, last + width - 1, None))
+                owner, listed = NO_KEY if owner is None else owner, None
+                for seed, span in zip(own.field(0).to_pylist(), own.field(1).to_pylist(), strict=True):
+                    if span < 0:
+                        out.append((seed, owner, node, 0, width - 2 - span, None))
                     else:
-                        listed = listed or whole.encode().split()
+                        listed = listed or batch.column(at_text)[r].as_py().encode().split()
+                        first, last = span >> 32, span & 0xFFFFFFFF
                         out.append((seed, owner, node, first, -1, b" ".join(listed[first:last + width]).decode()))
             columns = zip(*out, strict=True) if out else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (
@@ -208,7 +205,9 @@ def deduplicated(docs: DataFrame, width: int = 13, key: str = "doc_id", text: st
                 "last": pa.array((first[k] + [f[2] for f in found]).astype(np.int32))})
             at = stop
 
-    routed = owned.join(by_row, "node").select("node", "owner", "text", "spots").mapInArrow(
+    # both joins take all columns of the rows, so that these are shuffled once
+    all_columns = [*names, "node"]
+    routed = rows.join(by_row, "node").select(*all_columns, "spots").mapInArrow(
         cut, "seed long, owner long, node long, first int, last int, words string")
     covered = routed.repartition(tasks, "seed").mapInArrow(located, "node long, first int, last int").groupBy("node").agg(
         F.collect_list(F.struct("first", "last")).alias("covered"))
@@ -216,7 +215,7 @@ def deduplicated(docs: DataFrame, width: int = 13, key: str = "doc_id", text: st
     def removed(batches):
         for batch in batches:
             count, gone, left = [], [], []
-            column, covers = batch.column(names.index(text)), batch.column(len(names))
+            column, covers = batch.column(names.index(text)), batch.column(len(names) + 1)
             for r in range(batch.num_rows):
                 listed = (column[r].as_py() or "").encode().split()
                 count.append(len(listed))
@@ -233,7 +232,7 @@ def deduplicated(docs: DataFrame, width: int = 13, key: str = "doc_id", text: st
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], pa.array(count, pa.int64()), pa.array(gone, pa.int64()),
                                               pa.array(left, pa.string())], [*names, "n_words", "n_removed", "kept"])
 
-    whole = rows.join(covered, "node", "left").select(*names, "covered")
+    whole = rows.join(covered, "node", "left").select(*all_columns, "covered")
     schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, kept.schema.fields, strict=True))
     return whole.mapInArrow(removed, f"{schema}, n_words long, n_removed long, kept string").toDF(
         *kept.columns, "n_words", "n_removed", "kept")

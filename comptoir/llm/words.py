@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes and rows that are handled at once; a single longer text is a chunk of its own.
-CHUNK_BYTES, CHUNK_ROWS = 4 << 20, 1 << 15
+CHUNK_BYTES, CHUNK_ROWS = 1 << 20, 1 << 15
 SEGMENT_BYTES = 1 << 20
 #: White space of the contracts: \x20 and \x09 to \x0D.
 SPACE = np.zeros(256, bool)
