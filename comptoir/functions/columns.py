@@ -41,25 +41,17 @@ def line_amount(quantity: Column, price: Column) -> Column:
     return F.round(quantity * price, 2)
 
 
-# Amounts up to here are whole numbers of cents without loss; LOW_BITS splits those in two sums.
-EXACT_LIMIT = 4.5e13
-LOW_BITS = 20
-
-
 def total_amount(amount: Column) -> Column:
     """Sum of two-decimal amounts, the same whatever order the rows arrive in.
 
-    Adding doubles drifts with the number of rows and with task order. Cents are summed as
-    integers instead, high and low bits apart so that no sum can overflow; the few amounts that
-    are no such number (NaN, infinities, very large ones) are summed as doubles.
+    Amounts are summed as decimals. What is no decimal of 38 digits (NaN, infinities, 10**36 and more)
+    is added as a double.
     """
-    cents = F.when(F.abs(amount) < EXACT_LIMIT, F.rint(amount * 100).cast("bigint"))
-    high = F.sum(F.shiftright(cents, LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(cents.bitwiseAND(F.lit((1 << LOW_BITS) - 1)))
-    exact = ((high * F.lit(1 << LOW_BITS) + low) / 100).cast("double")
-    outside = F.sum(F.when(cents.isNull(), amount))
-    return F.round(F.when(outside.isNull(), exact)
-                   .otherwise(F.coalesce(exact, F.lit(0.0)) + outside), 2)
+    exact = amount.try_cast("decimal(38,2)")
+    outside = F.sum(F.when(exact.isNull(), amount))
+    total = F.try_sum(exact).cast("double")
+    return F.round(F.when(outside.isNull(), total)
+                   .otherwise(F.coalesce(total, F.lit(0.0)) + outside), 2)
 
 
 def joined_labels(labels: list[tuple[Column, str]], before: Column | None = None) -> Column:

@@ -2,12 +2,13 @@
 
 A file has to be read front to back to be fingerprinted and parsed, so the unit of work is one
 file and Spark spreads the files over the tasks. A task opens the files it is given: contents
-are in no row and cross no shuffle. Small files are read at once, larger ones as a stream,
-whatever their size.
+are in no row and cross no shuffle. Files of every size take the same way: CSV, XML and XLSX are
+read as streams, a JSON lot as the one document that its reader takes it for.
 """
 
 from __future__ import annotations
 
+import codecs
 import csv
 import hashlib
 import io
@@ -23,8 +24,6 @@ from comptoir.schemas import EXTENSIONS, REQUIRED_FIELDS
 from comptoir.sources.files import CHUNK, open_input
 from comptoir.sources.workbook import sheet_rows
 
-WHOLE_BYTES = 32 * 1024 * 1024
-
 # Reasons as they are written to the journal.
 EMPTY_FILE = "fichier vide"
 JSON_SHAPE = "JSON inattendu : une liste d'objets est attendue"
@@ -40,55 +39,28 @@ FINDINGS = "sha256 string, champs array<string>, lignes bigint, defaut string"
 
 
 class Unsuitable(Exception):
-    """The content is readable but not what the source delivers."""
-
-
-def _json_items(text) -> Iterator:
-    """Items of a JSON array read in pieces, for arrays larger than memory should hold."""
-    decoder = json.JSONDecoder()
-    buffer, at, ended = "", 0, False
-
-    def upcoming() -> str:
-        """Next character that is not white space, empty at the end of the text."""
-        nonlocal buffer, at, ended
-        while True:
-            while at < len(buffer) and buffer[at] in " \t\r\n":
-                at += 1
-            if at < len(buffer) or ended:
-                return buffer[at:at + 1]
-            buffer, at = text.read(CHUNK), 0
-            ended = not buffer
-
-    def next_item():
-        nonlocal buffer, at, ended
-        while True:
-            try:
-                item, end = decoder.raw_decode(buffer, at)
-                # A number cut by the end of the piece goes on in the next one.
-                if ended or buffer[end:end + 1] not in ("", *"0123456789.eE+-"):
-                    at = end
-                    return item
-            except json.JSONDecodeError:
-                if ended:
-                    raise
-            piece = text.read(CHUNK)
-            buffer, at, ended = buffer[at:] + piece, 0, not piece
-
-    if upcoming() != "[":
-        raise Unsuitable(JSON_SHAPE)
-    at += 1
-    more = upcoming() != "]"
-    while more:
-        upcoming()
-        yield next_item()
-        separator = upcoming()
-        if separator not in ("]", ","):
-            raise json.JSONDecodeError("Expecting ',' delimiter", buffer, at)
-        more = separator == ","
-        at += more
-    at += 1
-    if upcoming():
-        raise json.JSONDecodeError("Extra data", buffer, at)
+    """The content is not what the source delivers; says why."""
+
+
+def _lines(stream) -> Iterator[str]:
+    """Lines of a UTF-8 file read in pieces; an undecodable byte is reported with its place in the file."""
+    decoder, rest, at = codecs.getincrementaldecoder("utf-8-sig")(), "", 0
+    while True:
+        piece = stream.read(CHUNK)
+        try:
+            text = rest + decoder.decode(piece, final=not piece)
+        except UnicodeDecodeError as error:
+            place = at + len(piece) - len(error.object) + error.start
+            what = f"'utf-8' codec can't decode byte 0x{error.object[error.start]:02x} in position {place}: {error.reason}"
+            raise Unsuitable(UNREADABLE.format(type(error).__name__, what[:ERROR_CHARACTERS])) from None
+        at += len(piece)
+        *lines, rest = text.split("\n")
+        for line in lines:
+            yield line + "\n"
+        if not piece:
+            break
+    if rest:
+        yield rest
 
 
 def _header(rows: Iterator) -> list:
@@ -98,34 +70,21 @@ def _header(rows: Iterator) -> list:
     raise IndexError("list index out of range")
 
 
-def _inspect_csv(stream, whole: bool) -> tuple[set, int]:
-    text = (io.StringIO(stream.read().decode("utf-8-sig")) if whole
-            else io.TextIOWrapper(stream, "utf-8-sig", newline="\n"))
-    records = csv.reader(text)
+def _inspect_csv(stream) -> tuple[set, int]:
+    records = csv.reader(_lines(stream))
     header = _header(records)
     return {name.strip() for name in header}, sum(1 for _ in records)
 
 
-def _inspect_json(stream, whole: bool) -> tuple[set, int]:
-    if whole:
-        items = json.loads(stream.read().decode("utf-8-sig"))
-        if not isinstance(items, list):
-            raise Unsuitable(JSON_SHAPE)
-    else:
-        items = _json_items(io.TextIOWrapper(stream, "utf-8-sig"))
-    fields, count = set(), 0
-    for item in items:
-        if isinstance(item, dict):
-            fields.update(item)
-        elif count == 0:
-            raise Unsuitable(JSON_SHAPE)
-        count += 1
-    if count == 0:
+def _inspect_json(stream) -> tuple[set, int]:
+    """A lot is read as one document, here and by its reader. One item that is no object would empty it."""
+    items = json.load(io.TextIOWrapper(stream, "utf-8-sig"))
+    if not isinstance(items, list) or not items or not all(isinstance(item, dict) for item in items):
         raise Unsuitable(JSON_SHAPE)
-    return fields, count
+    return set().union(*items), len(items)
 
 
-def _inspect_xml(stream, whole: bool) -> tuple[set, int]:
+def _inspect_xml(stream) -> tuple[set, int]:
     fields, count, depth, root = set(), 0, 0, None
     for event, node in ElementTree.iterparse(stream, events=("start", "end")):
         if event == "start":
@@ -143,7 +102,7 @@ def _inspect_xml(stream, whole: bool) -> tuple[set, int]:
     return fields, count
 
 
-def _inspect_xlsx(stream, whole: bool) -> tuple[set, int]:
+def _inspect_xlsx(stream) -> tuple[set, int]:
     rows = sheet_rows(stream, active=True)
     header = _header(rows)
     return {cell.strip() for cell in header if cell is not None}, sum(1 for _ in rows)
@@ -157,7 +116,7 @@ INSPECTORS = {
 }
 
 
-def _inspect(stream, extension: str, whole: bool) -> tuple[list[str] | None, int | None, str | None]:
+def _inspect(stream, extension: str) -> tuple[list[str] | None, int | None, str | None]:
     """(fields, data rows, defect) of one opened file."""
     solid = False
     while not solid and (piece := stream.read(CHUNK)):
@@ -166,7 +125,7 @@ def _inspect(stream, extension: str, whole: bool) -> tuple[list[str] | None, int
         return None, None, EMPTY_FILE
     stream.seek(0)
     try:
-        fields, rows = INSPECTORS[extension](stream, whole)
+        fields, rows = INSPECTORS[extension](stream)
         return sorted(fields), rows, None
     except Unsuitable as reason:
         return None, None, str(reason)
@@ -174,19 +133,14 @@ def _inspect(stream, extension: str, whole: bool) -> tuple[list[str] | None, int
         return None, None, UNREADABLE.format(type(error).__name__, str(error)[:ERROR_CHARACTERS])
 
 
-def _examine(path: str, size: int, extension: str | None, content: bytes | None,
-             whole_bytes: int) -> tuple:
+def _examine(path: str, extension: str | None, content: bytes | None) -> tuple:
     """(fingerprint, fields, data rows, defect); a file with a foreign extension is not parsed."""
-    if content is None and size <= whole_bytes:
-        with open_input(path) as stream:
-            content = stream.read()
-    whole = content is not None
-    with io.BytesIO(content) if whole else open_input(path) as stream:
-        digest = hashlib.sha256(content) if whole else hashlib.file_digest(stream, "sha256")
+    with open_input(path) if content is None else io.BytesIO(content) as stream:
+        digest = hashlib.file_digest(stream, "sha256").hexdigest()
         if not extension:
-            return digest.hexdigest(), None, None, None
+            return digest, None, None, None
         stream.seek(0)
-        return digest.hexdigest(), *_inspect(stream, extension, whole)
+        return digest, *_inspect(stream, extension)
 
 
 def suffix(name: Column) -> Column:
@@ -205,7 +159,7 @@ def required_fields(source: Column) -> Column:
                           for part in (F.lit(name), F.array(*map(F.lit, fields)))])[source]
 
 
-def inspect_files(files: DataFrame, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+def inspect_files(files: DataFrame) -> DataFrame:
     """Fingerprint, fields, data rows and defect of every file.
 
     ``files`` holds source, fichier, chemin and taille. A column ``content`` takes the place of
@@ -219,8 +173,7 @@ def inspect_files(files: DataFrame, whole_bytes: int = WHOLE_BYTES) -> DataFrame
     def inspect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             contents = batch["content"] if "content" in batch else [None] * len(batch)
-            found = [_examine(*file, whole_bytes) for file in zip(
-                batch["chemin"], batch["taille"], batch["extension"], contents)]
+            found = [_examine(*file) for file in zip(batch["chemin"], batch["extension"], contents)]
             prints, fields, rows, defects = ([f[i] for f in found] for i in range(4))
             yield batch[[f.name for f in kept]].assign(
                 sha256=prints,
@@ -245,7 +198,7 @@ def control_reason(inspected: DataFrame) -> Column:
             .when(F.col("lignes") <= 0, F.lit(NO_ROWS)))
 
 
-def control_files(files: DataFrame, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+def control_files(files: DataFrame) -> DataFrame:
     """One row per file with ``sha256``, ``lignes`` and the ``motif`` of a refusal."""
-    inspected = inspect_files(files, whole_bytes)
+    inspected = inspect_files(files)
     return inspected.withColumn("motif", control_reason(inspected)).drop("champs", "defaut")

@@ -35,7 +35,9 @@ def with_inserted(name: Column, insertion: Column) -> Column:
 
 
 def destination(day: str) -> Column:
-    return F.concat_ws("/", F.lit("raw"), "source", F.lit(f"ingest_date={day}"), "fichier")
+    """Key in the raw zone. A name that readers would not see, for its underscore, gets another begin."""
+    return F.concat_ws("/", F.lit("raw"), "source", F.lit(f"ingest_date={day}"),
+                       F.regexp_replace("fichier", "^_", "lot_"))
 
 
 def decide(controlled: DataFrame, manifest: DataFrame, taken: DataFrame, filed: DataFrame,

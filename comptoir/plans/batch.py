@@ -41,12 +41,16 @@ def clean_zone(spark: SparkSession, raw: str, lake: str, cleaners: dict = CLEANE
 
 
 def match_zone(spark: SparkSession, lake: str) -> None:
-    """Join once; usable and rejected sales become the two partitions of one table."""
+    """Join once; usable and rejected sales become the two partitions of one table.
+
+    The usable ones are also written as ``ventes_enrichies``, the 17 columns that readers know.
+    """
     tables = [read_table(spark, processed(lake, source))
               for source in ("ventes", "clients", "produits", "magasins")]
     matched = enrichment.match_sales(*tables)
     replace_table(matched.withColumn("exploitable", enrichment.usable()),
                   processed(lake, "ventes_rapprochees"), partition_by="exploitable")
+    replace_table(read_enriched(spark, lake), processed(lake, "ventes_enrichies"))
 
 
 def write_curated(totals: DataFrame, folder: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime
@@ -86,8 +87,7 @@ def taken_keys(spark: SparkSession, lake: str, day: str, before: DataFrame) -> D
     return keys.join(lost.select("destination"), "destination", "left_anti")
 
 
-def ingest(spark: SparkSession, landing: str, lake: str, at: datetime | None = None,
-           whole_bytes: int = control.WHOLE_BYTES) -> Intake:
+def ingest(spark: SparkSession, landing: str, lake: str, at: datetime | None = None) -> Intake:
     """Control, fingerprint, de-duplicate, land and journal the files of a landing zone.
 
     Contents are read by the tasks that control them, whose findings are stored before anything
@@ -97,12 +97,12 @@ def ingest(spark: SparkSession, landing: str, lake: str, at: datetime | None = N
     """
     landing, lake = qualified(spark, landing), qualified(spark, lake)
     moment = at or datetime.now()
-    lot = moment.strftime("%Y%m%dT%H%M%S%f")
+    lot = f"{moment:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"  # runs may share their moment
     before = read_outcomes(spark, lake)
     files = pending_files(landing_files(spark, landing), before)
 
     findings = f"{lake}/_ingestion/controles/lot={lot}"
-    replace_table(control.control_files(spread(files), whole_bytes), findings)
+    replace_table(control.control_files(spread(files)), findings)
     controlled = spark.read.parquet(findings)
 
     taken = taken_keys(spark, lake, f"{moment:%Y-%m-%d}", before)

@@ -27,10 +27,14 @@ def qualified(spark: SparkSession, path: str) -> str:
 def work_folder(spark: SparkSession) -> str:
     """New folder for intermediate tables, in the shared folder the cluster names.
 
-    Without ``spark.checkpoint.dir`` the session is taken for a local one. The folder is gone
-    when the application ends.
+    Without ``spark.checkpoint.dir`` a local session uses this machine's temporary folder, and a
+    cluster is told to name one. The folder is gone when the application ends.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file:" + tempfile.gettempdir()
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = "file:" + tempfile.gettempdir()
     folder = f"{qualified(spark, shared)}/comptoir-{uuid.uuid4().hex}"
     filesystem, hadoop_path = _located(spark, folder)
     filesystem.mkdirs(hadoop_path)

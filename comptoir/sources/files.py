@@ -12,19 +12,30 @@ import io
 import os
 import uuid
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
 CHUNK = 8 * 1024 * 1024
 
 
+_FILESYSTEMS: dict[tuple[str, str], tuple] = {}
+
+
+def _filesystem(scheme: str, place: str):
+    """Arrow filesystem of a bucket or name node, and the path of its root; one for each in a process."""
+    if (scheme, place) not in _FILESYSTEMS:
+        from pyarrow import fs
+        # s3a is Hadoop's name for what Arrow calls s3.
+        _FILESYSTEMS[scheme, place] = fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}://{place}")
+    return _FILESYSTEMS[scheme, place]
+
+
 def _locate(path: str):
-    """(None, local path) or (Arrow filesystem, path inside it)."""
-    scheme = urlsplit(path).scheme
-    if scheme in ("", "file"):
+    """(None, local path) or (Arrow filesystem, path inside it). Paths are taken as they are, not as URIs."""
+    scheme, _, rest = path.partition(":")
+    if not rest or "/" in scheme or scheme == "file":
         return None, "/" + path.split(":", 1)[-1].lstrip("/")
-    from pyarrow import fs
-    # s3a is Hadoop's name for what Arrow calls s3.
-    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    place, _, inner = rest.lstrip("/").partition("/")
+    filesystem, root = _filesystem(scheme, place)
+    return filesystem, f"{root.rstrip('/')}/{inner}"
 
 
 class _ArrowFile(io.RawIOBase):
@@ -91,12 +102,18 @@ def _pour(reader, writer) -> str:
 
 def _store(reader, path: str) -> str:
     filesystem, inner = _locate(path)
-    if filesystem is not None:
-        with filesystem.open_output_stream(inner) as writer:
-            return _pour(reader, writer)
-    os.makedirs(os.path.dirname(inner), exist_ok=True)
     # Renamed at the end: a lost task must not leave half a file under the final name.
     partial = f"{inner}.{uuid.uuid4().hex}.partial"
+    if filesystem is not None:
+        if filesystem.type_name in ("s3", "gcs", "abfs"):  # an object appears whole or not at all
+            with filesystem.open_output_stream(inner) as writer:
+                return _pour(reader, writer)
+        filesystem.create_dir(os.path.dirname(inner))
+        with filesystem.open_output_stream(partial) as writer:
+            fingerprint = _pour(reader, writer)
+        filesystem.move(partial, inner)
+        return fingerprint
+    os.makedirs(os.path.dirname(inner), exist_ok=True)
     with open(partial, "wb") as writer:
         fingerprint = _pour(reader, writer)
     os.replace(partial, inner)

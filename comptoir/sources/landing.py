@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.schemas import EXTENSIONS
-from comptoir.session import exists
 from comptoir.sources.files import direct_children
 
 LISTED = "source string, fichier string, chemin string, taille bigint, modifie_le bigint"
@@ -22,42 +21,16 @@ OPENING_BYTES = 4 * 1024 * 1024  # what opening a file costs, in bytes read mean
 def landing_files(spark: SparkSession, landing: str) -> DataFrame:
     """(source, fichier, chemin, taille, modifie_le) from the listing; no content is read.
 
-    Deeper folders, folders of no source and names starting with a dot or an underscore are
-    left out.
+    Deeper folders, folders of no source and names starting with a dot are left out. Spark's own
+    listing would also leave out empty files and names starting with an underscore, so a task
+    lists each source's folder.
     """
-    if not exists(spark, landing):
-        return spark.createDataFrame([], LISTED)
-    root = landing.rstrip("/").split(":", 1)[-1].lstrip("/")
-    place = rf"^.*?/?\Q{root}\E/([^/]+)/([^/]+)$"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing)
-    filled = files.select(
-        F.regexp_extract("path", place, 1).alias("source"),
-        F.regexp_extract("path", place, 2).alias("fichier"),
-        F.col("path").alias("chemin"),
-        F.col("length").alias("taille"),
-        F.unix_micros("modificationTime").alias("modifie_le"),
-    ).where(F.col("source").isin(*EXTENSIONS))
-    return filled.unionByName(empty_files(spark, landing))
-
-
-def spread(files: DataFrame, bytes_per_task: int = 256 * 1024 * 1024) -> DataFrame:
-    """Files over tasks by the bytes they hold, since their listing says little of the work.
-
-    The total comes from the listing. Left to itself a listing of a million files is one task.
-    """
-    work = files.agg(F.sum(F.col("taille") + OPENING_BYTES)).first()[0] or 0
-    return files.repartition(max(1, math.ceil(work / bytes_per_task)))
-
-
-def empty_files(spark: SparkSession, landing: str) -> DataFrame:
-    """Files of zero bytes, which Spark's file index leaves out; one task lists one folder."""
 
     def list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["source", "fichier", "chemin", "taille", "modifie_le"]
         for batch in batches:
             for source, folder in zip(batch["source"], batch["dossier"]):
-                found = ((source, *entry) for entry in direct_children(folder)
-                         if entry[2] == 0 and not entry[0].startswith((".", "_")))
+                found = ((source, *entry) for entry in direct_children(folder) if not entry[0].startswith("."))
                 for rows in batched(found, BATCH_ROWS):
                     yield pd.DataFrame(rows, columns=columns)
 
@@ -65,3 +38,12 @@ def empty_files(spark: SparkSession, landing: str) -> DataFrame:
         [(source, f"{landing.rstrip('/')}/{source}") for source in EXTENSIONS],
         "source string, dossier string")
     return folders.repartition(len(EXTENSIONS), "source").mapInPandas(list_folders, LISTED)
+
+
+def spread(files: DataFrame, bytes_per_task: int = 256 * 1024 * 1024) -> DataFrame:
+    """Files over tasks by the bytes they hold, since their listing says little of the work.
+
+    The total comes from the listing. Left to itself a listing of a million files is one task.
+    """
+    work = files.agg(F.sum(F.col("taille") + OPENING_BYTES)).first()[0] or 0
+    return files.repartition(max(1, math.ceil(work / bytes_per_task)))

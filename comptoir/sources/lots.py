@@ -53,7 +53,7 @@ def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
             yield batch.assign(header=headers)
 
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.csv").load(folder).select("path", "_metadata.file_path"))
+             .option("pathGlobFilter", "*.[cC][sS][vV]").load(folder).select("path", "_metadata.file_path"))
     return files.mapInPandas(first_record, "path string, file_path string, header array<string>")
 
 
@@ -61,7 +61,8 @@ def scan_sales(spark: SparkSession, header: list[str], paths, strict: bool = Fal
     """Lots of one header: the required columns as text, and the file."""
     columns = T.StructType([T.StructField(name, T.StringType()) for name in header])
     rows = (spark.read.schema(columns).option("header", True).option("enforceSchema", not strict)
-            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(paths))
+            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]")
+            .option("multiLine", True).option("escape", '"').csv(paths))
     fields = [F.col(f) if f in header else F.lit(None).cast("string").alias(f)
               for f in S.REQUIRED_FIELDS["ventes"]]
     return rows.select(*fields, "_metadata.file_path")
@@ -98,13 +99,13 @@ def read_sales(spark: SparkSession, folder: str, by_name: bool = True) -> DataFr
 def read_customers(spark: SparkSession, folder: str) -> DataFrame:
     return with_origin(
         spark.read.schema(S.text_schema("clients")).option("multiLine", True)
-        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(folder))
+        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.[jJ][sS][oO][nN]").json(folder))
 
 
 def read_products(spark: SparkSession, folder: str) -> DataFrame:
     return with_origin(
         spark.read.format("xml").schema(S.text_schema("produits")).option("rowTag", "produit")
-        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml").load(folder))
+        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.[xX][mM][lL]").load(folder))
 
 
 def read_stores(spark: SparkSession, folder: str) -> DataFrame:

@@ -64,8 +64,15 @@ class SalesStream:
     revenue: StreamingQuery
 
     def wait(self) -> None:
-        self.batches.awaitTermination()
-        self.revenue.awaitTermination()
+        """Until either query ends; the other one is stopped, and a failure is raised."""
+        try:
+            while self.batches.isActive and self.revenue.isActive:
+                self.batches.awaitTermination(1)
+        finally:
+            self.stop()
+        for query in (self.batches, self.revenue):
+            if query.exception() is not None:
+                raise query.exception()
 
     def stop(self) -> None:
         self.batches.stop()

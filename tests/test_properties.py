@@ -4,7 +4,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from comptoir.operators import cleaning, enrichment
-from comptoir.operators.control import _json_items
 from comptoir.operators.profiling import source_profile
 from comptoir.operators.revenue import revenue_by
 
@@ -62,18 +61,3 @@ def test_profile_counts(spark, rows):
         blank = sum(1 for r in rows if r[position] is None or not r[position].strip(" "))
         assert (column.lignes, column.doublons, column.doublons_cle, column.manquants) == (
             len(rows), len(rows) - len(set(rows)), len(rows) - len({r[0] for r in rows}), blank)
-
-
-json_value = st.recursive(
-    st.none() | st.booleans() | st.integers() | st.floats(allow_nan=False, allow_infinity=False) | st.text(),
-    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(st.text(), inner, max_size=3), max_leaves=8)
-
-
-@settings(max_examples=300, deadline=None)
-@given(st.lists(json_value, max_size=6), st.integers(1, 9), st.sampled_from([None, 1]), st.booleans())
-def test_json_read_in_pieces_is_json(items, size, indent, ascii_only):
-    import json
-
-    from test_ingest import Pieces
-    text = json.dumps(items, indent=indent, ensure_ascii=ascii_only)
-    assert list(_json_items(Pieces(text, size))) == json.loads(text)
