@@ -91,6 +91,41 @@ def direct_children(folder: str) -> Iterator[tuple[str, str, int, int]]:
                    (entry.mtime_ns or 0) // 1000)
 
 
+def tree(folder: str, depth: int | None = None) -> Iterator[tuple[str, int | None, int]]:
+    """(key relative to the folder, bytes, modification in microseconds) of everything under it.
+
+    Names that start with a dot are left out. With `depth` 1 folders are given too, without bytes,
+    and not entered.
+    """
+    filesystem, inner = _locate(folder)
+    if filesystem is None:
+        pending = [""]
+        while pending:
+            below = pending.pop()
+            for entry in os.scandir(os.path.join(inner, below)) if os.path.isdir(os.path.join(inner, below)) else ():
+                key = f"{below}{entry.name}"
+                if entry.name.startswith("."):
+                    continue
+                if entry.is_dir():
+                    if depth is None:
+                        pending.append(f"{key}/")
+                    else:
+                        yield key, None, 0
+                else:
+                    found = entry.stat()
+                    yield key, found.st_size, found.st_mtime_ns // 1000
+        return
+    from pyarrow import fs
+    for entry in filesystem.get_file_info(fs.FileSelector(inner, allow_not_found=True, recursive=depth is None)):
+        key = entry.path.removeprefix(inner).lstrip("/")
+        if any(name.startswith(".") for name in key.split("/")):
+            continue
+        if entry.type == fs.FileType.File:
+            yield key, entry.size, (entry.mtime_ns or 0) // 1000
+        elif depth is not None:
+            yield key, None, 0
+
+
 def _pour(reader, writer) -> str:
     """Copy in pieces; returns the SHA-256 of what was copied."""
     digest = hashlib.sha256()

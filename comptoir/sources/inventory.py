@@ -1,26 +1,41 @@
-"""What lies in the lake: listings only, file contents are never read.
-
-Spark's listing leaves out names that start with a dot or an underscore, success markers included.
-"""
+"""What lies in the lake: listings only, file contents are never read."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import batched
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from comptoir.sources.files import tree
+
+BATCH_ROWS = 10_000
+
 # Fixed value: the source of objects that lie directly in a zone.
 ROOT_SOURCE = "(racine)"
 
 
 def list_objects(spark: SparkSession, lake: str) -> DataFrame:
-    """(cle, taille, modifie_le) of every object under the lake, keys relative to it."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(lake)
-    root = lake.rstrip("/").split(":", 1)[-1].lstrip("/")
-    key = F.regexp_replace("path", rf"^.*?\Q{root}/\E", "")
-    return files.select(
-        key.alias("cle"),
-        F.col("length").alias("taille"),
-        F.col("modificationTime").alias("modifie_le"))
+    """(cle, taille, modifie_le) of every object under the lake, keys relative to it.
+
+    Empty objects and names with an underscore count too, which Spark's own listing leaves out. One
+    task lists the first level, and one each of the folders there.
+    """
+    schema = "cle string, taille bigint, modifie_le bigint"
+
+    def listed(batches: Iterator[pd.DataFrame], depth: int | None) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for prefix in batch["cle"]:
+                found = ((f"{prefix}{key}", size, at) for key, size, at in tree(f"{lake.rstrip('/')}/{prefix}", depth))
+                for rows in batched(found, BATCH_ROWS):
+                    yield pd.DataFrame(rows, columns=["cle", "taille", "modifie_le"]).astype({"taille": "Int64"})
+
+    first = spark.createDataFrame([("",)], "cle string").mapInPandas(lambda b: listed(b, 1), schema)
+    folders = first.where("taille is null").select(F.concat("cle", F.lit("/")).alias("cle"))
+    below = folders.repartition("cle").mapInPandas(lambda b: listed(b, None), schema)
+    return first.where("taille is not null").unionByName(below).withColumn("modifie_le", F.timestamp_micros("modifie_le"))
 
 
 def zone_and_source(key: Column) -> tuple[Column, Column]:

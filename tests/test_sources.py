@@ -108,11 +108,15 @@ def test_inventory(spark, tmp_path):
     put(tmp_path / "raw/ventes/ingest_date=2026-10-02/b.csv", "123")
     put(tmp_path / "raw/notes.txt", "1")
     put(tmp_path / "curated/ca/part 0.parquet", "12")
+    put(tmp_path / "curated/ca/_SUCCESS", "")
+    put(tmp_path / "_ingestion/manifest.json", "{}")
+    put(tmp_path / "raw/ventes/.a.csv.crc", "x")
     objects = list_objects(spark, str(tmp_path))
     assert {r.cle for r in objects.collect()} == {
-        "raw/ventes/a.csv", "raw/ventes/ingest_date=2026-10-02/b.csv", "raw/notes.txt", "curated/ca/part 0.parquet"}
+        "raw/ventes/a.csv", "raw/ventes/ingest_date=2026-10-02/b.csv", "raw/notes.txt", "curated/ca/part 0.parquet",
+        "curated/ca/_SUCCESS", "_ingestion/manifest.json"}
     assert [tuple(r) for r in lake_inventory(objects).collect()] == [
-        ("curated", "ca", 1, 2), ("raw", "(racine)", 1, 1), ("raw", "ventes", 2, 8)]
+        ("_ingestion", "(racine)", 1, 2), ("curated", "ca", 2, 2), ("raw", "(racine)", 1, 1), ("raw", "ventes", 2, 8)]
 
 
 def test_text_preview(spark, tmp_path):
