@@ -28,6 +28,7 @@ from comptoir.sources.workbook import sheet_rows
 EMPTY_FILE = "fichier vide"
 JSON_SHAPE = "JSON inattendu : une liste d'objets est attendue"
 XML_SHAPE = "XML sans enregistrement"
+NO_HEADER = "aucune ligne d'en-tête"
 NO_EXTENSION = "(aucune)"
 NO_ROWS = "aucune ligne de données"
 BAD_EXTENSION = "extension %s inattendue pour %s (attendu : %s)"
@@ -64,10 +65,10 @@ def _lines(stream) -> Iterator[str]:
 
 
 def _header(rows: Iterator) -> list:
-    """First row; its absence is reported as the damage it is."""
+    """First row."""
     for row in rows:
         return row
-    raise IndexError("list index out of range")
+    raise Unsuitable(NO_HEADER)
 
 
 def _inspect_csv(stream) -> tuple[set, int]:
