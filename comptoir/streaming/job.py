@@ -64,12 +64,18 @@ class SalesStream:
     revenue: StreamingQuery
 
     def wait(self) -> None:
-        """Until either query ends; the other one is stopped, and a failure is raised."""
+        """Until both queries have ended; if one fails, the other is stopped and the failure raised."""
+        queries = (self.batches, self.revenue)
         try:
-            while self.batches.isActive and self.revenue.isActive:
-                self.batches.awaitTermination(1)
-        finally:
+            while active := [query for query in queries if query.isActive]:
+                active[0].awaitTermination(1)
+                self._raise_failure()
+        except Exception:
             self.stop()
+            raise
+        self._raise_failure()
+
+    def _raise_failure(self) -> None:
         for query in (self.batches, self.revenue):
             if query.exception() is not None:
                 raise query.exception()
