@@ -5,10 +5,14 @@ them; equal windows have equal seeds. Consecutive windows of one seed travel as
 segments whose seed is in two documents travel at all. A shard of seeds confirms which windows recur in
 different documents, compiles an automaton of them with pyahocorasick (a word is one letter), and streams
 all its segments through it; every hit of a window that a document with a smaller key has, too, covers its words.
+
+A common seed, one whose segments alone would fill a shard, is not routed: its windows are compared one by one, by
+digests that are combined before their shuffle and looked up in a join that splits hot keys.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -20,10 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.llm import words
+from comptoir.llm.shared import stored
+from comptoir.operators.joins import lookup
 
 GRAM = 5
-#: Words of the segments that one automaton is compiled for, on average; one seed stays together.
+#: Words of the segments that one automaton is compiled for, on average; a seed with as many is common.
 SHARD_WORDS = 400_000
+#: Common seeds are found in one of so many rows, by hash; in all rows of small tables.
+SAMPLE, SAMPLE_LETTERS = 64, 1 << 25
+#: Characters that can stand for a word.
+LETTERS = 0x110000 - 2049
 NO_KEY = (1 << 63) - 1
 
 
@@ -57,12 +67,87 @@ def letter(i: int) -> str:
     return chr(i + 1 if i + 1 < 0xD800 else i + 2049)
 
 
+class Copies:
+    """Texts that a task has met before under a smaller key."""
+
+    def __init__(self, hasher: words.Hasher) -> None:
+        self.hasher, self.met = hasher, {}
+
+    def again(self, data: np.ndarray, offsets: np.ndarray, owners: np.ndarray) -> np.ndarray:
+        full = np.flatnonzero(np.diff(offsets))
+        prints = np.zeros(len(owners), np.uint64)
+        prints[full] = self.hasher.spans(data, offsets[full], offsets[full + 1])
+        out = np.zeros(len(owners), bool)
+        for r in full.tolist():
+            own, seen = int(owners[r]), self.met.get(prints[r])
+            if seen is not None and seen < own:
+                out[r] = True
+            else:
+                self.met[prints[r]] = own
+        return out
+
+
+def among(seed: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which seeds are common; `common` is in order."""
+    if not len(common):
+        return np.zeros(len(seed), bool)
+    return common[np.minimum(np.searchsorted(common, seed), len(common) - 1)] == seed
+
+
+def common_seeds(rows: DataFrame, width: int, letters: int) -> np.ndarray:
+    """Seeds whose segments have SHARD_WORDS words or more, in order, estimated from rows by hash.
+
+    `rows` has `node, owner` and the text. This decides only which way a seed goes, not what is found.
+    """
+    every = max(1, min(SAMPLE, letters // SAMPLE_LETTERS))
+
+    def counted(batches):
+        hasher = words.Hasher()
+        copies = Copies(hasher)
+        for batch in batches:
+            owners = batch.column(1).to_numpy()
+            for first, last, data, offsets in words.chunks(batch.column(2)):
+                again = copies.again(data, offsets, owners[first:last])
+                seed, row, begin, end = segments(data, offsets, hasher, width)
+                new = ~again[row]
+                keys, place = np.unique(seed[new], return_inverse=True)
+                held = np.bincount(place, (end - begin + width)[new], len(keys)).astype(np.int64)
+                yield pa.RecordBatch.from_pydict({"seed": pa.array(keys.view(np.int64)), "held": pa.array(held)})
+
+    taken = rows.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).mapInArrow(counted, "seed long, held long")
+    found = taken.groupBy("seed").agg(F.sum("held").alias("held")).where(F.col("held") * every >= SHARD_WORDS)
+    return np.sort(np.array([r.seed for r in found.select("seed").collect()], np.int64).view(np.uint64))
+
+
+def looked_up(texts: list[list[str]], owners: list[int], width: int) -> Iterator[tuple[int, int, int]]:
+    """The same as `hits` for more words than there are characters: each window on its own."""
+    least: dict[tuple[str, ...], int] = {}
+    for text, owner in zip(texts, owners, strict=True):
+        for i in range(len(text) - width + 1):
+            window = tuple(text[i:i + width])
+            least[window] = min(owner, least.get(window, owner))
+    for k, (text, owner) in enumerate(zip(texts, owners, strict=True)):
+        begin = end = -1
+        for i in range(len(text) - width + 1):
+            if least[tuple(text[i:i + width])] < owner:
+                if begin >= 0 and i - 1 > end:
+                    yield k, begin, end
+                    begin = i
+                begin, end = i if begin < 0 else begin, i + width - 1
+        if begin >= 0:
+            yield k, begin, end
+
+
 def hits(texts: list[list[str]], owners: list[int], width: int) -> Iterator[tuple[int, int, int]]:
     """(segment, first and last word) of windows that a document with a smaller key has, too."""
     often = Counter()
     for text in texts:
         often.update(text)
-    letters = {w: letter(i) for i, w in enumerate(w for w, n in often.items() if n > 1)}
+    twice = [w for w, n in often.items() if n > 1]
+    if len(twice) > LETTERS:
+        yield from looked_up(texts, owners, width)
+        return
+    letters = {w: letter(i) for i, w in enumerate(twice)}
     lines = ["".join([letters.get(w, "\0") for w in text]) for text in texts]
     least: dict[str, int] = {}
     recurring: set[str] = set()
@@ -105,7 +190,7 @@ def deduplicated(docs: DataFrame, width: int = 13, key: str = "doc_id", text: st
     same order, as a stored table does.
 
     A text that a task has met before under a smaller key is removed as a whole without being routed, so
-    a group of copies sends each segment once per task.
+    a group of copies sends each segment once per task. With common seeds, their windows are stored in the shared folder.
     """
     spark = docs.sparkSession
     kept = docs.drop("n_words", "n_removed", "kept")
@@ -114,33 +199,46 @@ def deduplicated(docs: DataFrame, width: int = 13, key: str = "doc_id", text: st
     text, key = names[kept.columns.index(text)], names[kept.columns.index(key)]
 
     def seeded(batches):
-        hasher, met = words.Hasher(), {}
+        hasher = words.Hasher()
+        copies = Copies(hasher)
         for batch in batches:
             nodes, owners = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for first, last, data, offsets in words.chunks(batch.column(2)):
-                full = np.flatnonzero(np.diff(offsets))
-                prints = np.zeros(last - first, np.uint64)
-                prints[full] = hasher.spans(data, offsets[full], offsets[full + 1])
-                again = np.zeros(last - first, bool)
-                for r in full.tolist():
-                    own, seen = int(owners[first + r]), met.get(prints[r])
-                    if seen is not None and seen < own:
-                        again[r] = True
-                    else:
-                        met[prints[r]] = own
+                again = copies.again(data, offsets, owners[first:last])
                 seed, row, begin, end = segments(data, offsets, hasher, width)
                 copy = again[row]
                 # of a copy, one row that covers it whole
                 whole = np.flatnonzero(copy & np.r_[True, row[1:] != row[:-1]]) if len(row) else np.empty(0, np.int64)
                 stop = np.maximum.reduceat(end, np.flatnonzero(np.r_[True, row[1:] != row[:-1]])) if len(row) else end
                 rank = np.cumsum(np.r_[True, row[1:] != row[:-1]]) - 1 if len(row) else row
-                take = np.concatenate([np.flatnonzero(~copy), whole])
+                take = np.concatenate([np.flatnonzero(~copy & ~among(seed, common.value)), whole])
                 is_whole = np.arange(len(take)) >= len(take) - len(whole)
                 yield pa.RecordBatch.from_pydict({
                     "seed": pa.array(np.where(is_whole, words.mix(nodes[first + row[take]].astype(np.uint64)), seed[take]).view(np.int64)),
                     "node": pa.array(nodes[first + row[take]]),
                     "span": pa.array(np.where(is_whole, -1 - stop[rank[take]], (begin[take] << 32) | end[take]))})
 
+    def windows(batches):
+        """Windows of common seeds, by their digests."""
+        hasher = words.Hasher()
+        copies = Copies(hasher)
+        for batch in batches:
+            nodes, owners = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for first, last, data, offsets in words.chunks(batch.column(2)):
+                again = copies.again(data, offsets, owners[first:last])
+                seed, row, begin, end = segments(data, offsets, hasher, width)
+                take = np.flatnonzero(~again[row] & among(seed, common.value))
+                count, of, listed, digests = end[take] - begin[take] + 1, -1, [], []
+                for r, a, b in zip(row[take].tolist(), begin[take].tolist(), end[take].tolist(), strict=True):
+                    if r != of:
+                        of, listed = r, data[offsets[r]:offsets[r + 1]].tobytes().split()
+                    digests += [hashlib.blake2b(b" ".join(listed[i:i + width]), digest_size=16).digest()
+                                for i in range(a, b + 1)]
+                at = first + np.repeat(row[take], count)
+                yield pa.RecordBatch.from_pydict({
+                    "digest": pa.array(digests, pa.binary()), "owner": pa.array(owners[at]), "node": pa.array(nodes[at]),
+                    "first": pa.array(words.gather(begin[take], count).astype(np.int32))})
+
     def confirmed(batches):
         """Segments whose seed is in two rows, and whole texts."""
         table = pa.Table.from_batches(batches, pa.schema([("seed", pa.int64()), ("node", pa.int64()), ("span", pa.int64())]))
@@ -155,7 +253,9 @@ def deduplicated(docs: DataFrame, width: int = 13, key: str = "doc_id", text: st
 
     letters = rows.agg(F.sum(F.length(text))).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(letters / 32 / 1_000_000))
-    spots = rows.select("node", F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("owner"), text).mapInArrow(
+    slim = rows.select("node", F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("owner"), text)
+    common = spark.sparkContext.broadcast(common_seeds(slim, width, letters))
+    spots = slim.mapInArrow(
         seeded, "seed long, node long, span long").repartition(tasks, "seed").mapInArrow(
         confirmed, "seed long, node long, span long")
     by_row = spots.groupBy("node").agg(F.collect_list(F.struct("seed", "span")).alias("spots"))
@@ -185,7 +285,7 @@ def deduplicated(docs: DataFrame, width: int = 13, key: str = "doc_id", text: st
         table = pa.Table.from_batches(batches, pa.schema([
             ("seed", pa.int64()), ("owner", pa.int64()), ("node", pa.int64()), ("first", pa.int32()),
             ("last", pa.int32()), ("words", pa.string())]))
-        table = table.sort_by("seed")
+        table = table.set_column(5, "words", table.column(5).cast(pa.large_string())).sort_by("seed")
         seed, first = table.column(0).to_numpy(), table.column(3).to_numpy()
         node, last = table.column(2).to_numpy(), table.column(4).to_numpy()
         whole = last >= 0
@@ -209,8 +309,13 @@ def deduplicated(docs: DataFrame, width: int = 13, key: str = "doc_id", text: st
     all_columns = [*names, "node"]
     routed = rows.join(by_row, "node").select(*all_columns, "spots").mapInArrow(
         cut, "seed long, owner long, node long, first int, last int, words string")
-    covered = routed.repartition(tasks, "seed").mapInArrow(located, "node long, first int, last int").groupBy("node").agg(
-        F.collect_list(F.struct("first", "last")).alias("covered"))
+    found = routed.repartition(tasks, "seed").mapInArrow(located, "node long, first int, last int")
+    if len(common.value):
+        each = stored(slim.mapInArrow(windows, "digest binary, owner long, node long, first int"))
+        least = each.groupBy("digest").agg(F.min("owner").alias("least"), F.max("owner").alias("most")).where("least < most")
+        found = found.union(lookup(each, least, "digest", "inner").where("least < owner").select(
+            "node", "first", (F.col("first") + (width - 1)).alias("last")))
+    covered = found.groupBy("node").agg(F.collect_list(F.struct("first", "last")).alias("covered"))
 
     def removed(batches):
         for batch in batches:

@@ -69,3 +69,30 @@ def test_automaton_marks_only_what_came_before():
     assert list(hits([a, b], [2, 2], 3)) == []
     assert list(hits([a, b], [3, 2], 3)) == [(0, 3, 5)]
     assert passages.letter(0xD7FE) < "\ud800" and passages.letter(0xD7FF) == ""
+
+
+def test_common_run_is_no_large_group(spark, monkeypatch):
+    """A passage, and a run with other words around it, in a third of the rows: no automaton grows with the table."""
+    monkeypatch.setattr(passages, "SHARD_WORDS", 500)
+
+    def bounded(texts, owners, width, found=hits):
+        assert sum(map(len, texts)) < 2 * 500
+        return found(texts, owners, width)
+
+    monkeypatch.setattr(passages, "hits", bounded)
+    rng = random.Random(6)
+    passage, run = prose(rng, 30), prose(rng, 5)
+    contexts = [prose(rng, 9) + run + prose(rng, 9) for _ in range(40)]
+    rows = [(i * 7 % 601, " ".join(prose(rng, 20) + (passage if i % 3 == 0 else rng.choice(contexts) if i % 3 == 1 else [])
+                                   + prose(rng, 20))) for i in range(600)]
+    rows += [(None, rows[0][1]), (0, rows[1][1])]
+    assert ran(spark, rows) == brute(rows)
+
+
+def test_more_words_than_characters():
+    n = 1_150_000
+    text = [str(i) for i in range(n)]
+    assert list(hits([text, text], [1, 2], 3)) == [(1, 0, n - 1)]
+    a, b = ["a"] * 3 + ["x", "y", "z"], ["p", "x", "y", "z", "q", "x", "y", "z"]
+    for owners in ([1, 2], [2, 2], [3, 2]):
+        assert list(passages.looked_up([a, b], owners, 3)) == list(hits([a, b], owners, 3))
