@@ -6,6 +6,7 @@ and independently from that alphabet: chi-squared over cells of the alphabet, ru
 its middle, and lag-one serial correlation; Fisher's method makes one p-value of them. Random
 tokens have even p-values, others small ones, so the distinct tokens of the whole corpus tell, for
 each encoding and class of length, which p-values are rarely reached by tokens that are not random.
+A class too sparse to tell has a fixed threshold, by the law of random tokens alone.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ KEYWORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]+={0,2}", re.ASCII)
 #: Shorter tokens leave the tests without power.
-TOKEN_LEAST = 20
+TOKEN_LEAST = 16
 #: Symbols of the encodings, narrowest first; base64 holds both of its variants' last two symbols.
 ENCODINGS = (("hex", "0123456789abcdef"), ("HEX", "0123456789ABCDEF"),
              ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
@@ -46,10 +47,12 @@ ENCODINGS = (("hex", "0123456789abcdef"), ("HEX", "0123456789ABCDEF"),
              ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
              ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"))
 #: Upper ends of the classes of length.
-LENGTHS = (24, 32, 48, 64, 128)
+LENGTHS = (20, 24, 32, 48, 64, 128)
 BINS = 100
 #: Share of false discoveries, and distinct tokens that a class needs to tell.
 FALSE_SHARE, CLASS_LEAST = 0.05, 20
+#: Threshold of classes that cannot tell: p-values of random tokens are even, so as many of them are missed.
+SPARSE = 0.05
 
 _HEX = np.zeros(256, bool)
 _HEX[list(b"0123456789abcdef")] = True
@@ -148,7 +151,7 @@ def tokens(text: str) -> Iterator[tuple[int, int, int, float]]:
 
 def random_spans(text: str, limits: dict[int, float], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of random tokens that no base span already covers."""
-    return [(start, 3, end) for start, end, group, p in tokens(text) if p >= limits.get(group, math.inf)
+    return [(start, 3, end) for start, end, group, p in tokens(text) if p >= limits.get(group, SPARSE)
             and not any(a <= start and end <= b for a, _, b in base)]
 
 
@@ -157,8 +160,8 @@ def thresholds(docs: DataFrame, text: str = "text", share: float = FALSE_SHARE)
 
     Counts every distinct token of all texts once. Of the tokens above a threshold t, random ones are
     (1 - t) times those in the whole class, which are twice those above 1/2; what exceeds that is
-    false. A class with fewer than CLASS_LEAST tokens, or without a threshold that keeps the share,
-    discovers nothing. What is collected is a histogram of fixed size.
+    false. A class without a threshold that keeps the share discovers nothing; one with fewer than
+    CLASS_LEAST tokens is not listed, its threshold is SPARSE. What is collected is a histogram of fixed size.
     """
 
     def seen(batches):
@@ -183,8 +186,8 @@ def thresholds(docs: DataFrame, text: str = "text", share: float = FALSE_SHARE)
         even = 2 * above[BINS // 2] * (1 - np.arange(BINS) / BINS)
         false = np.maximum(above - even, 0) / np.maximum(above, 1)
         fit = np.flatnonzero((false <= share) & (above > 0))
-        if histogram.sum() >= CLASS_LEAST and len(fit):
-            out[kind] = float(fit[0] / BINS)
+        if histogram.sum() >= CLASS_LEAST:
+            out[kind] = float(fit[0] / BINS) if len(fit) else math.inf
     return out
 
 

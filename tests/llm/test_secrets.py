@@ -88,3 +88,20 @@ def test_query(spark, sf_dir):
         joined = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in base)
         assert got.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert set(joined.split(",")) - {""} <= set(got.spans.split(","))
+
+
+def test_sparse_classes_are_tested(spark):
+    """A key is found by itself as among others; also rare kinds and keys of 16 characters."""
+    rng = random.Random(8)
+    alphabets = dict(secrets.ENCODINGS)
+    keys = [random_token(rng, alphabets[name], n) for name, n in (
+        ("base64url", 140), ("HEX", 40), ("base62", 16), ("base62", 19), ("base36", 30), ("base64", 60)) for _ in range(10)]
+    keys = [k for k in keys if secrets.encoding(k) is not None]
+    regular = ["g1" * 20, "0123456789ABCDEF" * 3, "xyz1" * 30]
+    rows = [[(s.start, s.kind, s.end) for s in r.spans] for r in secrets.scan(
+        docs(spark, [f"see {k} here" for k in keys + regular])).orderBy("doc_id").collect()]
+    found = [r == [(4, "random", 4 + len(k))] for r, k in zip(rows, keys, strict=False)]
+    assert sum(found) >= 0.85 * len(keys) and rows[len(keys):] == [[]] * len(regular)
+    at = found.index(True)
+    assert [len(r.spans) for r in secrets.scan(docs(spark, [f"see {keys[at]} here"])).collect()] == [1]
+    assert secrets.redact(docs(spark, [f"see {keys[at]} here"])).first().text == "see [SECRET] here"
