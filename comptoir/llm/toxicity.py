@@ -7,7 +7,7 @@ Nyström features: similarities to landmarks, whitened by those among the landma
 linear in the subsequences, so it is folded into one table that scores any text in one pass.
 
 Labels are given to whole documents. A document is toxic if one of its sentences is, and a sentence if
-one of its units (words, or single letters in a row) is, so the machine learns from the unit that
+one of its units (words, or single letters in a row, with spaces and marks between) is, so the machine learns from the unit that
 best explains each toxic document, and from units of clean ones.
 """
 
@@ -38,6 +38,13 @@ SYMBOL = np.zeros(256, np.int32)
 SYMBOL[97:123] = SYMBOL[65:91] = np.arange(1, 27)
 SYMBOL[128:] = 27 + (np.arange(128, 256) & 31)
 CODES = 1 << 18
+#: First bytes of letters, as opposed to gaps and to the bytes that continue a letter.
+LETTER = SYMBOL > 0
+LETTER[128:192] = False
+_DIGIT = np.zeros(256, bool)
+_DIGIT[48:58] = True
+#: Bytes of a word of one letter and marks, and of white space between two of them, at most.
+SINGLE_BYTES, SPACES = 8, 4
 #: (second, third) places of a subsequence, from its first.
 PLACES = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 
@@ -59,9 +66,12 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     starts, ends, rows = words.spans(data, offsets, ~words.SPACE)
     if not len(starts):
         return starts, ends, rows, np.full(len(data), -1)
-    single = ends - starts == 1
+    letters = np.concatenate([[0], np.cumsum(LETTER[data])])
+    digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
+    single = ((letters[ends] - letters[starts] <= 1) & (digits[ends] == digits[starts])
+              & (ends - starts <= SINGLE_BYTES))
     joined = np.zeros(len(starts), bool)  # to the word before
-    joined[1:] = single[1:] & single[:-1] & (starts[1:] == ends[:-1] + 1) & (rows[1:] == rows[:-1])
+    joined[1:] = single[1:] & single[:-1] & (starts[1:] <= ends[:-1] + SPACES) & (rows[1:] == rows[:-1])
     first = np.flatnonzero(~joined)
     last = np.append(first[1:], len(starts)) - 1
     begin, end = starts[first], ends[last]
@@ -75,6 +85,14 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return begin, end, rows[first], unit
 
 
+def unfilled(data: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    """Bytes that are kept: of a run of gaps inside a unit only the first, so that SPAN bytes hold three letters."""
+    gap = (SYMBOL[data] == 0) & (unit >= 0)
+    keep = np.ones(len(data), bool)
+    keep[1:] = ~(gap[1:] & gap[:-1] & (unit[1:] == unit[:-1]))
+    return keep
+
+
 def decisions(data: np.ndarray, unit: np.ndarray, count: int, model: Model) -> np.ndarray:
     """Decision of each unit."""
     symbols = SYMBOL[data]
@@ -214,7 +232,8 @@ def document_decisions(texts: pa.Array, model: Model) -> tuple[np.ndarray, list[
         begin, end, rows, unit = units(data, offsets)
         if not len(begin):
             continue
-        values = decisions(data, unit, len(begin), model)
+        keep = unfilled(data, unit)
+        values = decisions(data[keep], unit[keep], len(begin), model)
         order = np.lexsort((-np.arange(len(rows)), values, rows))
         best = order[np.append(rows[order][1:] != rows[order][:-1], True)]
         out[first + rows[best]] = values[best]
@@ -229,8 +248,10 @@ def _units_of(batches):
         texts, toxic = batch.column(1), batch.column(2).to_pylist()
         keys = batch.column(0).to_pylist()
         for first, last, data, offsets in words.chunks(texts):
-            begin, end, rows, _ = units(data, offsets)
-            lowered = words.LOWER[data].tobytes()
+            begin, end, rows, unit = units(data, offsets)
+            keep = unfilled(data, unit)
+            before = np.concatenate([[0], np.cumsum(keep)])
+            begin, end, lowered = before[begin], before[end], words.LOWER[data[keep]].tobytes()
             seen = {(r, lowered[a:b]) for r, a, b in zip(rows.tolist(), begin.tolist(), end.tolist(), strict=True)
                     if 3 <= b - a <= 64}
             own = sorted(seen)

@@ -105,3 +105,20 @@ def test_query(spark, sf_dir):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
     import zlib
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+
+
+@pytest.mark.parametrize("insult", ["i--d--i--o--t", "m...o...r...o...n", "i. d. i. o. t", "i  d  i  o  t", "i - d - i - o - t"])
+def test_wide_gaps(spark, model, insult):
+    clean = sentence(40)
+    docs = spark.createDataFrame([(1, clean), (2, f"{clean} {insult} {clean}")], "doc_id long, text string")
+    low, high = (r.score for r in toxicity.score(docs, model).orderBy("doc_id").collect())
+    assert high >= 0.3 > low
+
+
+def test_spaced_letters_of_several_bytes_are_one_unit():
+    for text in ("é t é", "i. d. é", "i - d"):
+        data = np.frombuffer(text.encode(), np.uint8)
+        begin, end, _, unit = toxicity.units(data, np.array([0, len(data)]))
+        assert begin.tolist() == [0] and end.tolist() == [len(data)] and set(unit.tolist()) == {0}
+    data = np.frombuffer(b"a bc 1 2 d", np.uint8)
+    assert len(toxicity.units(data, np.array([0, len(data)]))[0]) == 5
