@@ -200,3 +200,37 @@ def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from comptoir.llm.embeddings import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; each seventh row first gets the next label."""
+    from comptoir.llm.negatives import mine
+    from comptoir.llm.topk import finite, whole_weights
+
+    vectors = table(spark, sf_dir, "embeddings").where(finite(F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    taken = vectors.select("vec_id", label.alias("label"), whole_weights(F.col("embedding"), 256.0).alias("weights"))
+    return mine(taken, F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op11_negatives"] = """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    s AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+               CAST(list_inner_product(a.w, c.w) AS BIGINT) AS score
+        FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+    p AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    n AS (
+        SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+            AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
