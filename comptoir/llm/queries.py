@@ -234,3 +234,38 @@ ORACLE["op11_negatives"] = """
             AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score)
     SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """
+
+
+def repeated_words(docs: DataFrame) -> DataFrame:
+    """Texts of which one in ten, by the hash of its id, repeats its words from some word on, with some period."""
+    h = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1).cast("long"))
+    listed = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n, g = F.size("w"), F.floor(h / 10).cast("long")
+    chosen = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, listed).alias("w"))
+    parts = chosen.select("doc_id", "text", "w", n.alias("n"), F.when(n > 0, (g % n).cast("int")).alias("a"), g.alias("g"))
+    period = (F.lit(1) + F.floor((F.col("n") - F.col("a")) / (F.lit(3) + F.col("g") % 8))).cast("int")
+    own = parts.select("doc_id", "text", "w", "n", "a", period.alias("p"))
+    back = F.transform(F.sequence(F.col("a"), F.col("n") - 1),
+                       lambda i: F.get("w", F.col("a") + F.pmod(i - F.col("a"), F.col("p"))))
+    text = F.when(F.col("n") > 0, F.array_join(F.concat(F.slice("w", 1, F.col("a")), back), " ")).otherwise(F.col("text"))
+    return own.select("doc_id", text.alias("text"))
+
+
+@query
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words of every document, the strongest one, and what is left without repetitions."""
+    from comptoir.llm.periodic import collapsed
+
+    out = collapsed(repeated_words(table(spark, sf_dir, "documents")))
+
+    def stronger(a, b):  # runs come by start, then period
+        return F.when(a.isNull() | (b["length"] * a["period"] > a["length"] * b["period"]), b).otherwise(a)
+
+    kind = "struct<start: bigint, length: bigint, period: bigint>"
+    best = F.aggregate("runs", F.lit(None).cast(kind), stronger)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                      F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")

@@ -1,0 +1,164 @@
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from comptoir.llm import periodic
+from comptoir.llm.periodic import collapsed, intervals, lcp_array, long_runs, maximal_runs, slices, suffix_array
+from comptoir.llm.queries import REGISTRY, repeated_words
+
+
+def plain_runs(listed, least_words=24, least_periods=3):
+    """Every period, by comparing each word with the one that many words before it."""
+    n, found, spans = len(listed), [], set()
+    for q in range(1, n // least_periods + 1):
+        i = q
+        while i < n:
+            if listed[i] != listed[i - q]:
+                i += 1
+                continue
+            j = i
+            while j < n and listed[j] == listed[j - q]:
+                j += 1
+            start, length = i - q, j - i + q
+            if length >= 2 * q and (start, j) not in spans:  # a smaller period comes first
+                spans.add((start, j))
+                if length >= max(least_words, least_periods * q):
+                    found.append((start, length, q))
+            i = j + 1
+    return sorted(found)
+
+
+def plain_left(listed, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(listed) if i not in gone)
+
+
+def in_arrays(listed, *limits):
+    numbers = np.array(listed, np.int64)
+    _, found = long_runs(numbers, np.zeros(len(numbers), np.int64), *(limits or (24, 3)))
+    return list(zip(*(x.tolist() for x in found), strict=True))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 2), max_size=60))
+def test_suffix_array_and_runs_of_short_strings(listed):
+    symbols = np.array(listed, np.int64)
+    n = len(listed)
+    if n > 1:
+        order, rank = suffix_array(symbols)
+        assert order.tolist() == sorted(range(n), key=lambda i: listed[i:])
+        assert rank[order].tolist() == list(range(n))
+        want = [0] + [next((k for k in range(n) if listed[a:a + k + 1] != listed[b:b + k + 1] or a + k >= n or b + k >= n))
+                      for a, b in zip(order[:-1].tolist(), order[1:].tolist())]
+        assert lcp_array(symbols, order, rank).tolist() == want
+    found = maximal_runs(symbols)
+    assert list(zip(*(x.tolist() for x in found), strict=True)) == plain_runs(listed, 2, 2)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(0, 3), min_size=1, max_size=14), st.integers(1, 9), st.integers(0, 13)),
+                max_size=6), st.integers(3, 5))
+def test_long_runs(pieces, periods):
+    listed = [w for unit, times, more in pieces for w in unit * times + unit[:more]]
+    assert in_arrays(listed) == plain_runs(listed)
+    assert in_arrays(listed, 9, periods) == plain_runs(listed, 9, periods)
+
+
+def test_intervals():
+    # banana with its end: a, ana, anana, banana, na, nana
+    assert sorted(map(tuple, intervals(np.array([0, 1, 3, 0, 0, 2])).tolist())) == [
+        (0, 3, 1, 1, 3), (1, 3, 3, 1, 2), (4, 6, 2, 4, 5)]
+
+
+@pytest.mark.parametrize("period", [1, 2, 7, 333])
+def test_long_run_of_one_period(period):
+    rng = np.random.default_rng(period)
+    unit = rng.integers(0, 1 << 40, period)
+    listed = np.r_[-1, np.tile(unit, 40_000 // period), -2]
+    assert in_arrays(listed) == [(1, 40_000 // period * period, period)]
+
+
+def test_texts(spark, monkeypatch):
+    monkeypatch.setattr(periodic, "SLICE", 64)
+    rng = np.random.default_rng(8)
+
+    def text():
+        parts = []
+        for _ in range(rng.integers(0, 9)):
+            unit = [str(w) for w in rng.integers(0, 12, rng.integers(1, 20))]
+            parts += (unit * int(rng.integers(1, 12)))[:int(rng.integers(1, 200))]
+        seps = [" ", "\n", "\t ", "\x0b", " x"]
+        return "".join(w + seps[int(rng.integers(0, 400)) // 100 if rng.random() < .99 else 4] for w in parts)
+
+    texts = [None, "", " ", "a", "a " * 24, "a " * 23, "é b " * 40, "a a a b " * 300, *(text() for _ in range(300))]
+    rows = [(i, t, 5, "keep", "n") for i, t in enumerate(texts)] + [(None, "b " * 30, 1, "k", None)] * 2
+    frame = spark.createDataFrame(rows, "doc_id long, text string, runs int, start string, `a.b` string").repartition(5)
+    out = collapsed(frame)
+    assert out.columns == ["doc_id", "text", "start", "a.b", "n_words", "runs", "collapsed"]
+    got = out.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        listed = re.findall(r"[^\x20\x09-\x0D]+", r.text or "")
+        want = plain_runs(listed)
+        assert (r.n_words, [tuple(x) for x in r.runs]) == (len(listed), want)
+        assert r["collapsed"] == plain_left(listed, want)
+        assert r.start in ("keep", "k")
+    assert any(len(r.runs) > 2 for r in got)
+
+
+def test_slices(monkeypatch):
+    monkeypatch.setattr(periodic, "SLICE", 5)
+    text = b"ab  cdefghijk\nl " * 9
+    assert [w for part in slices(text) for w in part] == text.split()
+
+
+def test_empty(spark):
+    frame = spark.createDataFrame([], "doc_id long, text string")
+    assert collapsed(frame).collect() == []
+
+
+def planted(doc_id, text):
+    """The contract's texts, in plain Python."""
+    listed = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(listed)
+    if h % 10 or not n:
+        return listed
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [listed[i] if i < a else listed[a + (i - a) % p] for i in range(n)]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_query(spark, sf_dir):
+    """All documents of the given tables against every period."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    out = REGISTRY["op12_periodic"](spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in out) == sorted(docs)
+    for r in out:
+        listed = planted(r.doc_id, docs[r.doc_id])
+        runs = plain_runs(listed)
+        best = min(runs, key=lambda x: (-x[1] * 10**12 // x[2], x[0], x[2]), default=(None,) * 3)
+        assert tuple(r)[1:] == (len(runs), *best, None if best[0] is None else 1000 * best[1] // best[2],
+                                sha("".join(f"{s},{n},{q}\n" for s, n, q in runs)), sha(plain_left(listed, runs)))
+
+
+def test_query_of_odd_rows(spark, tmp_path):
+    long = " ".join(["x y z"] * 100)
+    rows = [(None, long), (None, None), (30, None), (30, "")] + [(i, long + f" w{i}") for i in range(40)] * 2
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = REGISTRY["op12_periodic"](spark, str(tmp_path)).collect()
+    assert len(out) == len(rows)
+    assert {r.n_runs for r in out if r.doc_id is None} == {0, 1}
+    assert all((r.start, r.period) == (0, 3) for r in out if r.n_runs and zlib.crc32(str(r.doc_id).encode()) % 10)
+    texts = spark.createDataFrame([(i, f"a b c {i} d e") for i in range(60)], "doc_id long, text string")
+    for r in repeated_words(texts).collect():
+        assert re.findall(r"[^\x20\x09-\x0D]+", r.text) == planted(r.doc_id, f"a b c {r.doc_id} d e")
