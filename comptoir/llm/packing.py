@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import regex
@@ -12,14 +10,10 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 from comptoir.llm import words
+from comptoir.llm.shared import once
 
 END_ID = 2
 SEQUENCE = 4096
-#: A task reads this much of the input at least, if the cores of the session allow, so that few words are met anew.
-TASK_BYTES = 128 << 20
-#: Distinct units whose ids a task keeps; beyond it starts again with none.
-KNOWN_UNITS = 4_000_000
-
 # Classes of bytes: 0 white space, 1 ASCII letter, 2 ASCII digit, 3 other ASCII, 4 apostrophe, 5 beyond ASCII.
 _CLASS = np.full(256, 3, np.uint8)
 _CLASS[words.SPACE] = 0
@@ -51,7 +45,7 @@ class Units:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.special = [token.content for token in self.full.get_added_tokens_decoder().values()]
-        self.memo = words.Memo(KNOWN_UNITS)
+        self.memo = words.Memo()
 
     def _joined(self, tokenizer: Tokenizer, units: list[str]) -> list[np.ndarray]:
         """Units of one pre-token each; a token with a word end closes each."""
@@ -111,24 +105,13 @@ def piece_lengths(n: int, longest: int = SEQUENCE) -> list[int]:
     return [longest] * (n // longest) + [1 << k for k in range(longest.bit_length() - 2, -1, -1) if rest >> k & 1]
 
 
-def merged(frame: DataFrame) -> DataFrame:
-    """Fewer, larger tasks, down to the cores of the session or TASK_BYTES each; no shuffle."""
-    spark = frame.sparkSession
-    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    text = size.lower().removesuffix("b").removesuffix("i")
-    split = int(text[:-1]) * unit[text[-1]] if text[-1:] in unit else int(text)
-    least = max(spark.sparkContext.defaultParallelism,
-                math.ceil(frame.rdd.getNumPartitions() * split / TASK_BYTES))
-    return frame.coalesce(least)
-
-
 def pack(docs: DataFrame, tokenizer: str, longest: int = SEQUENCE, end_id: int = END_ID,
          key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every document as pieces of power-of-two length; each piece is a sequence of its own.
 
     Returns `doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id,
-    offset`; the bucket of a sequence is its length. A null or empty text is the end id alone;
+    offset, bucket`; a bucket holds the sequences of 2**bucket tokens, and each task lays its sequences out
+    bucket by bucket. A null or empty text is the end id alone;
     null and repeated keys are kept, each row is a document of its own. Other columns are not read.
     `longest` is a power of two. Nothing is shuffled: sequence ids are unique, not dense.
     """
@@ -136,7 +119,7 @@ def pack(docs: DataFrame, tokenizer: str, longest: int = SEQUENCE, end_id: int =
         raise ValueError("the longest sequence must be a power of two")
 
     def pieces(batches):
-        units = Units(tokenizer)
+        units = once(("units", tokenizer), lambda: Units(tokenizer))
         for batch in batches:
             for first, last, data, offsets in words.chunks(batch.column(1)):
                 ids, count = units.texts(data, offsets)
@@ -159,6 +142,8 @@ def pack(docs: DataFrame, tokenizer: str, longest: int = SEQUENCE, end_id: int =
                 yield pa.RecordBatch.from_pydict(out)
 
     kind = docs.schema[key].dataType.simpleString()
-    made = merged(docs.select(F.col(key), F.col(text))).mapInArrow(
+    made = docs.select(F.col(key), F.col(text)).mapInArrow(
         pieces, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long")
-    return made.select("*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    bucket = F.round(F.log2("length")).cast("int").alias("bucket")
+    return made.select("*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
+                       bucket).sortWithinPartitions("bucket")

@@ -33,7 +33,7 @@ def packed(docs: DataFrame) -> DataFrame:
     from comptoir.llm.packing import pack
 
     return pack(docs, tokenizer_path("word_bpe_49k.json")).select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
 @query
@@ -72,11 +72,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 8 shards, uniformly shuffled; counts at most one apart."""
     from comptoir.llm.sharding import shuffled
 
-    slim = table(spark, sf_dir, "documents").select(
+    sharded = shuffled(table(spark, sf_dir, "documents").select("doc_id", "text"), 8, stable=True)
+    return sharded.select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(1).cast("long")).alias("size"),
-        F.crc32(F.encode(F.coalesce("text", F.lit("")), "utf-8")).alias("text_crc32"))
-    return shuffled(slim, 8).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-                                    F.lit(None).cast("int").alias("grown_shard"))
+        F.crc32(F.encode(F.coalesce("text", F.lit("")), "utf-8")).alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 @query

@@ -9,6 +9,7 @@ checked against the SentencePiece library itself.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
 from comptoir.llm import words
-from comptoir.llm.packing import merged
+from comptoir.llm.shared import once
 
 SPACE = "▁"
 # Fixed values of the format: model types, and types of pieces.
@@ -151,10 +152,10 @@ class Codec:
         self.memo, self.checked, self.differing = words.Memo(), 0, 0
 
     def _parity(self, got: list[list[int]], expected: list[list[int]]) -> list[np.ndarray]:
-        """The library's own ids where the two differ, which is counted."""
+        """The rebuilt tokenizer's ids; where the library's own differ, that is counted."""
         self.checked += len(got)
         self.differing += sum(a != b for a, b in zip(got, expected, strict=True))
-        return [np.array(x, np.uint32) for x in expected]
+        return [np.array(x, np.uint32) for x in got]
 
     def _words(self, strings: list[str]) -> list[np.ndarray]:
         got = [x.ids for x in self.core.encode_batch_fast(strings, add_special_tokens=False)]
@@ -206,15 +207,15 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     """`doc_id, ids (little-endian unsigned 32-bit), n_ids, round_trip, n_differing` of every row.
 
     `round_trip`: the ids decode to the text again, byte by byte. `n_differing`: distinct words first
-    met in this row's chunk whose rebuilt encoding was not the SentencePiece library's own, whose ids
-    are then taken. A null or empty text has no ids. Keys are kept, null and repeated ones too;
+    met in this row's chunk whose ids are not those that the SentencePiece library gives. A null or empty text has no ids. Keys are kept, null and repeated ones too;
     other columns are not read. The file is sent along with the tasks; nothing is shuffled.
     """
     with open(path, "rb") as file:
-        model = docs.sparkSession.sparkContext.broadcast(file.read())
+        data = file.read()
+    model, digest = docs.sparkSession.sparkContext.broadcast(data), hashlib.sha256(data).hexdigest()
 
     def encoded(batches):
-        codec = Codec(model.value)
+        codec = once(("codec", digest), lambda: Codec(model.value))
         for batch in batches:
             for first, last, data, offsets in words.chunks(batch.column(1)):
                 before = codec.differing
@@ -237,17 +238,18 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
                     "n_differing": pa.array(np.full(last - first, codec.differing - before))})
 
     kind = docs.schema[key].dataType.simpleString()
-    return merged(docs.select(F.col(key), F.col(text))).mapInArrow(
+    return docs.select(F.col(key), F.col(text)).mapInArrow(
         encoded, f"doc_id {kind}, ids binary, n_ids long, round_trip boolean, n_differing long")
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """`doc_id, text` of every row's ids; null ids give null, invalid bytes the replacement character."""
     with open(path, "rb") as file:
-        model = encoded.sparkSession.sparkContext.broadcast(file.read())
+        data = file.read()
+    model, digest = encoded.sparkSession.sparkContext.broadcast(data), hashlib.sha256(data).hexdigest()
 
     def decoded(batches):
-        codec = Codec(model.value)
+        codec = once(("codec", digest), lambda: Codec(model.value))
         for batch in batches:
             column = pc.fill_null(batch.column(1), b"")
             count = pc.binary_length(column).to_numpy(zero_copy_only=False) // 4

@@ -50,19 +50,20 @@ def communication_matrix(rows: list[int], shards: list[int], seed: int) -> np.nd
     return out
 
 
-def shuffled(frame: DataFrame, shards: int = 8, seed: int = 0) -> DataFrame:
+def shuffled(frame: DataFrame, shards: int = 8, seed: int = 0, stable: bool = False) -> DataFrame:
     """The frame with `shard` and `slot`, a uniform shuffle into shards whose sizes differ by one at most.
 
     Every row counts, whatever its values: null, equal and repeated rows have places of their own.
     An empty frame gives an empty frame. Columns named `shard` or `slot` are replaced; others stay.
-    The frame is stored in the shared folder, so that a task that is run again sees the same rows in
-    the same order and draws the same numbers; pass slim rows, not whole texts.
+    A task that is run again must see the same rows in the same order, to draw the same numbers: a `stable` frame gives them,
+    as the scan of a stored table does; any other is stored in the shared folder first. Each row is shuffled once, whole.
     """
     spark = frame.sparkSession
     kept = [c for c in frame.columns if c not in ("shard", "slot")]
     names = [f"_{i}" for i in range(len(kept))]
-    fixed = checkpointed(frame.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(kept, names, strict=True))))
-    counted = dict(fixed.groupBy(F.spark_partition_id()).count().collect())
+    fixed = frame.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(kept, names, strict=True)))
+    fixed = fixed if stable else checkpointed(fixed)
+    counted = dict(fixed.groupBy(F.spark_partition_id().alias("part")).count().collect())
     order = sorted(counted)
     total = sum(counted.values())
     sizes = [total // shards + (i < total % shards) for i in range(shards)]
@@ -82,16 +83,19 @@ def shuffled(frame: DataFrame, shards: int = 8, seed: int = 0) -> DataFrame:
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(to[at:at + n]), pa.array(rng.integers(0, 1 << 62, n)),
-                 pa.array(np.arange(at, at + n) + (partition << 33))], [*names, "shard", "draw", "row"])
+                 pa.array(np.arange(at, at + n) + (partition << 33))], [*batch.schema.names, "shard", "draw", "row"])
             at += n
 
-    schema = ", ".join(f"{n} {frame.schema[c].dataType.simpleString()}" for n, c in zip(names, kept, strict=True))
-    dealt = fixed.mapInArrow(deal, schema + ", shard int, draw long, row long").withColumn(
-        "block", F.shiftright("draw", 62 - bits).cast("int"))
-    places = dealt.groupBy("shard", "block").agg(F.count("*").alias("n"))
+    def dealt(rows: DataFrame) -> DataFrame:
+        schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields)
+        return rows.mapInArrow(deal, schema + "shard int, draw long, row long").withColumn(
+            "block", F.shiftright("draw", 62 - bits).cast("int"))
+
+    # the same draws for the counts, without the rows' content
+    places = dealt(fixed.select(F.lit(0).alias("nothing"))).groupBy("shard", "block").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     places = places.select("shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
     within = Window.partitionBy("shard", "block").orderBy("draw", "row")
-    ranked = dealt.withColumn("place", F.row_number().over(within)).join(places, ["shard", "block"])
+    ranked = dealt(fixed).withColumn("place", F.row_number().over(within)).join(places, ["shard", "block"])
     return ranked.select(*(F.col(n).alias(c) for n, c in zip(names, kept, strict=True)),
                          "shard", (F.col("begin") + F.col("place") - 1).cast("long").alias("slot"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
@@ -32,3 +36,12 @@ def widened(frame: DataFrame, function, added: str = "") -> DataFrame:
     more = StructType.fromDDL(added).fields if added else []
     out = plain.mapInArrow(function, StructType([*plain.schema.fields, *more]))
     return out.toDF(*frame.columns, *(f.name for f in more))
+
+
+def once(key: tuple, make: Callable[[], Any]) -> Any:
+    """What `make` gives, made once in a worker process; the tasks of a worker share it, one after the other."""
+    kept = sys.__dict__.setdefault("_comptoir_kept", {})  # functions travel by value, so modules keep nothing
+    if key not in kept:
+        kept.clear()  # one at a time
+        kept[key] = make()
+    return kept[key]

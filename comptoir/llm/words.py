@@ -1,11 +1,12 @@
 """Words of many texts at once: positions and 64-bit fingerprints, read off Arrow string buffers.
 
-A fingerprint is a polynomial in the bytes of a word modulo 2**64, each byte replaced by a random
-64-bit value, and a final mix. Equal words have equal fingerprints in every task and on every machine.
+Equal words have equal fingerprints in every task and on every machine. Different words may share one, if hardly ever: where
+equality decides a result, bytes are compared.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +15,9 @@ import pyarrow.compute as pc
 
 #: Bytes and rows that are handled at once; a single longer text is a chunk of its own.
 CHUNK_BYTES, CHUNK_ROWS = 1 << 20, 1 << 15
-SEGMENT_BYTES = 1 << 20
+#: Bytes of a lane; spans up to so many bytes are hashed lane by lane.
+_LANE, LANES_BYTES = 8, 32
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(_LANE + 1)], np.uint64)
 #: White space of the contracts: \x20 and \x09 to \x0D.
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -23,10 +26,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SAME = np.arange(256, dtype=np.uint8)
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
 def mix(values: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values."""
     x = values.astype(np.uint64)
@@ -38,41 +37,75 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
-_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
 def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
-class Hasher:
-    """Fingerprints of byte spans; holds the powers it needs."""
+def lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each byte on as one number, little-endian; bytes past the end are 0."""
+    padded = np.zeros(len(data) + 2 * _LANE, np.uint8)
+    padded[:len(data)] = data
+    return np.ndarray((len(data) + _LANE,), "<u8", padded, strides=(1,))
 
-    def __init__(self) -> None:
-        self._up = self._down = np.ones(1, np.uint64)
 
-    def _room(self, n: int) -> None:
-        if len(self._up) < n:
-            size = max(n, SEGMENT_BYTES + 1024)
-            self._up, self._down = powers(_BASE, size), powers(_INVERSE, size)
+class Hasher:
+    """Fingerprints of byte spans.
+
+    Spans of less than eight bytes have fingerprints of their own that no other span has. Of longer ones those up to LANES_BYTES are
+    mixed eight bytes at a time, others by BLAKE2b.
+    """
 
     def spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
               fold: np.ndarray = SAME) -> np.ndarray:
-        """One fingerprint for each span; spans are in order and do not overlap."""
-        out, first, values = np.empty(len(starts), np.uint64), 0, _VALUES[fold]
-        while first < len(starts):
-            base = starts[first]
-            last = max(first + 1, int(np.searchsorted(starts, base + SEGMENT_BYTES)))
-            stop = ends[last - 1]
-            self._room(int(stop - base) + 1)
-            sums = np.zeros(int(stop - base) + 1, np.uint64)
-            np.cumsum(values[data[base:stop]] * self._up[: stop - base], out=sums[1:])
-            left, right = starts[first:last] - base, ends[first:last] - base
-            out[first:last] = (sums[right] - sums[left]) * self._down[left]
-            first = last
-        return mix(out + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        """One fingerprint for each span."""
+        folded = data if fold is SAME else fold[data]
+        return self._spans(folded, lanes(folded), starts, ends)
+
+    def _spans(self, data: np.ndarray, at: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        size = ends - starts
+        out = (at[starts] & _MASKS[np.minimum(size, _LANE)]) << np.uint64(4) | np.minimum(size, _LANE).astype(np.uint64) << np.uint64(1)
+        long = np.flatnonzero(size >= _LANE)
+        if len(long):
+            begin, left = starts[long], size[long]
+            sums = mix(left.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            for k in range(LANES_BYTES // _LANE):
+                still = np.flatnonzero(left > k * _LANE)
+                rest = np.minimum(left[still] - k * _LANE, _LANE)
+                lane = at[begin[still] + k * _LANE] & _MASKS[rest]
+                sums[still] = mix(sums[still] * np.uint64(0xA24BAED4963EE407) + mix(lane + np.uint64(k + 1)))
+            for i in np.flatnonzero(left > LANES_BYTES).tolist():
+                digest = hashlib.blake2b(data[begin[i]:begin[i] + left[i]], digest_size=8).digest()
+                sums[i] = int.from_bytes(digest, "little")
+            out[long] = sums << np.uint64(1) | np.uint64(1)
+        return mix(out)
+
+
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One index of each different span, and for each span which of these it equals, byte by byte."""
+    at = lanes(data)
+    _, first, inverse = np.unique(Hasher()._spans(data, at, starts, ends), return_index=True, return_inverse=True)
+    # short spans are told apart by their fingerprints alone
+    long = np.flatnonzero((ends - starts >= _LANE) & (first[inverse] != np.arange(len(starts))))
+    if _equal(data, at, starts[long], ends[long], starts[first[inverse[long]]], ends[first[inverse[long]]]):
+        return first, inverse
+    raw, known = data.tobytes(), {}
+    inverse = np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+    return np.unique(inverse, return_index=True)[1], inverse
+
+
+def _equal(data: np.ndarray, at: np.ndarray, a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray) -> bool:
+    """Whether all spans equal their partners."""
+    size = a_end - a
+    if (size != b_end - b).any():
+        return False
+    for k in range(LANES_BYTES // _LANE):
+        still = np.flatnonzero(size > k * _LANE)
+        mask = _MASKS[np.minimum(size[still] - k * _LANE, _LANE)]
+        if ((at[a[still] + k * _LANE] ^ at[b[still] + k * _LANE]) & mask).any():
+            return False
+    return all(np.array_equal(data[a[i]:a_end[i]], data[b[i]:b_end[i]]) for i in np.flatnonzero(size > LANES_BYTES).tolist())
 
 
 def windows(words: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,29 +164,43 @@ def gather(where: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(where - (ends - count), count)
 
 
-class Memo:
-    """Ids of byte spans, each distinct span encoded once; starts again with none beyond `limit` spans."""
+class _Generation:
+    """Spans and their ids."""
 
-    def __init__(self, limit: int = 4_000_000) -> None:
-        self.limit, self.hasher = limit, Hasher()
-        self._forget()
+    def __init__(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.where, self.count = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int64)
+        self.ids, self.used, self.held = np.empty(1 << 14, np.uint32), 0, 0
 
-    def _forget(self) -> None:
-        self.keys = np.empty(0, np.uint64)
-        self.where = self.count = np.empty(0, np.int64)
-        self.ids, self.used = np.empty(1 << 16, np.uint32), 0
+    def own(self, span: bytes) -> np.ndarray:
+        i = self.number[span]
+        return self.ids[self.where[i]:self.where[i] + self.count[i]]
 
-    def _learn(self, keys: np.ndarray, ids: list[np.ndarray]) -> None:
+    def learn(self, spans: list[bytes], ids: list[np.ndarray]) -> None:
+        if not spans:
+            return
         count = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
-        if self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids[:self.used], np.empty(2 * (self.used + len(flat)), np.uint32)])
-        self.ids[self.used:self.used + len(flat)] = flat
-        at = np.searchsorted(self.keys, keys)
-        self.where = np.insert(self.where, at, self.used + np.cumsum(count) - count)
-        self.count = np.insert(self.count, at, count)
-        self.keys = np.insert(self.keys, at, keys)
-        self.used += len(flat)
+        begin, more = len(self.number), int(count.sum())
+        for name, need in (("where", begin + len(spans)), ("count", begin + len(spans)), ("ids", self.used + more)):
+            old = getattr(self, name)
+            if need > len(old):
+                setattr(self, name, np.concatenate([old, np.empty(max(need - len(old), len(old) // 2), old.dtype)]))
+        self.where[begin:begin + len(spans)] = self.used + np.cumsum(count) - count
+        self.count[begin:begin + len(spans)] = count
+        self.ids[self.used:self.used + more] = np.concatenate(ids)
+        self.number.update(zip(spans, range(begin, begin + len(spans)), strict=True))
+        self.used += more
+        self.held += sum(map(len, spans)) + 160 * len(spans) + 6 * more
+
+
+class Memo:
+    """Ids of byte spans, each distinct span encoded once; told apart by their bytes.
+
+    Beyond half of `limit` bytes a new generation begins; what is met again moves over from the last one.
+    """
+
+    def __init__(self, limit: int = 48 << 20) -> None:
+        self.limit, self.young, self.old = limit, _Generation(), _Generation()
 
     def look_up(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, encode,
                 fold: np.ndarray = SAME) -> tuple[np.ndarray, np.ndarray]:
@@ -161,17 +208,18 @@ class Memo:
 
         `encode` makes arrays of ids of a list of strings: the spans not met before, folded.
         """
-        keys, first, inverse = np.unique(self.hasher.spans(data, starts, ends, fold),
-                                         return_index=True, return_inverse=True)
-        if len(self.keys) > self.limit:
-            self._forget()
-        at = np.searchsorted(self.keys, keys)
-        new = np.ones(len(keys), bool)
-        near = at < len(self.keys)
-        new[near] = self.keys[at[near]] != keys[near]
-        folded = fold[data].tobytes()
-        self._learn(keys[new], encode([folded[a:b].decode() for a, b in zip(
-            starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]))
-        at = np.searchsorted(self.keys, keys)
-        where, count = self.where[at][inverse], self.count[at][inverse]
-        return self.ids[gather(where, count)], count
+        folded = data if fold is SAME else fold[data]
+        first, inverse = distinct(folded, starts, ends)
+        raw = folded.tobytes()
+        spans = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        if self.young.held > self.limit // 2:
+            self.young, self.old = _Generation(), self.young
+        young, old = self.young, self.old
+        missing = [s for s in spans if s not in young.number]
+        met = [s for s in missing if s in old.number]
+        young.learn(met, [old.own(s) for s in met])
+        new = [s for s in missing if s not in young.number]
+        young.learn(new, encode([s.decode() for s in new]) if new else [])
+        at = np.fromiter(map(young.number.__getitem__, spans), np.int64, len(spans))[inverse]
+        where, count = young.where[at], young.count[at]
+        return young.ids[gather(where, count)], count
