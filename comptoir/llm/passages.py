@@ -2,91 +2,106 @@
 
 Windows of `width` words are routed by their seed, the least fingerprint of the GRAM-word runs inside
 them; equal windows have equal seeds. Consecutive windows of one seed travel as one segment, and only
-segments whose seed is in two documents travel at all. A shard of seeds confirms which windows recur in
-different documents, compiles an automaton of them with pyahocorasick (a word is one letter), and streams
-all its segments through it; every hit of a window that a document with a smaller key has, too, covers its words.
+segments whose seed is in two documents travel at all. Of equal segments the one with the smallest key is
+examined, and all others are covered by it. A shard of seeds confirms in arrays which windows a document with a smaller key has, too, merges
+those that one document has to passages, compiles an automaton of the passages with pyahocorasick (a word is one
+letter), and streams all its segments through it: an occurrence of a passage of a document with a smaller key covers its words.
 
-A common seed, one whose segments alone would fill a shard, is not routed: its windows are compared one by one, by
-digests that are combined before their shuffle and looked up in a join that splits hot keys.
+A common seed, one whose segments alone would fill a shard, is not a seed: each of its windows travels by itself, routed by a
+fingerprint of the whole window, and a task that has met the window under a smaller key sends only that it is covered.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.llm import words
-from comptoir.llm.shared import stored
-from comptoir.operators.joins import lookup
 
 GRAM = 5
 #: Words of the segments that one automaton is compiled for, on average; a seed with as many is common.
 SHARD_WORDS = 400_000
+#: For the size of a shard, which is taken by bytes.
+LETTERS_A_WORD = 6
 #: Common seeds are found in one of so many rows, by hash; in all rows of small tables.
 SAMPLE, SAMPLE_LETTERS = 64, 1 << 25
-#: Characters that can stand for a word.
+#: Characters that can stand for a word, but for the one that stands for none.
 LETTERS = 0x110000 - 2049
 NO_KEY = (1 << 63) - 1
 
 
-def segments(data: np.ndarray, offsets: np.ndarray, hasher: words.Hasher, width: int
-             ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Seed, row, first and last window of all longest runs of windows with one seed."""
+class Segments(NamedTuple):
+    """Longest runs of windows with one seed: seed, text, first and last window; and the words of all texts."""
+
+    seed: np.ndarray
+    row: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    first_word: np.ndarray
+    keys: np.ndarray
+    word_row: np.ndarray
+
+
+def segments(data: np.ndarray, offsets: np.ndarray, width: int) -> Segments:
     starts, ends, row = words.spans(data, offsets, ~words.SPACE)
-    keys = hasher.spans(data, starts, ends)
+    keys = words.Hasher().spans(data, starts, ends)
+    begin_of = np.searchsorted(row, np.arange(len(offsets) - 1))
+    none = np.empty(0, np.int64)
     gram = min(GRAM, width)
     grams, first = words.windows(keys, row, gram)
     spread = width - gram  # a window is `spread` + 1 grams in a row
     n = len(grams) - spread
     if n <= 0:
-        return np.empty(0, np.uint64), *(np.empty(0, np.int64),) * 3
+        return Segments(np.empty(0, np.uint64), none, none, none, starts, ends, begin_of, keys, row)
     least = grams[:n].copy()
     for k in range(1, spread + 1):
         np.minimum(least, grams[k:k + n], out=least)
     whole = np.flatnonzero(row[first[:n]] == row[first[spread:]])  # within one text
     seed, owner = least[whole], row[first[whole]]
-    begin_of = np.searchsorted(row, np.arange(len(offsets) - 1))
     at = first[whole] - begin_of[owner]
     if not len(seed):
-        return seed, owner, at, at
+        return Segments(seed, owner, at, at, starts, ends, begin_of, keys, row)
     begin = np.flatnonzero(np.r_[True, (seed[1:] != seed[:-1]) | (owner[1:] != owner[:-1])])
     last = np.append(begin[1:], len(seed)) - 1
-    return seed[begin], owner[begin], at[begin], at[last]
-
-
-def letter(i: int) -> str:
-    """A character for each word; 0 is for words that occur once."""
-    return chr(i + 1 if i + 1 < 0xD800 else i + 2049)
+    return Segments(seed[begin], owner[begin], at[begin], at[last], starts, ends, begin_of, keys, row)
 
 
 class Copies:
-    """Texts that a task has met before under a smaller key."""
-
-    def __init__(self, hasher: words.Hasher) -> None:
-        self.hasher, self.met = hasher, {}
-
-    def again(self, data: np.ndarray, offsets: np.ndarray, owners: np.ndarray) -> np.ndarray:
-        full = np.flatnonzero(np.diff(offsets))
-        prints = np.zeros(len(owners), np.uint64)
-        prints[full] = self.hasher.spans(data, offsets[full], offsets[full + 1])
-        out = np.zeros(len(owners), bool)
-        for r in full.tolist():
-            own, seen = int(owners[r]), self.met.get(prints[r])
-            if seen is not None and seen < own:
-                out[r] = True
-            else:
-                self.met[prints[r]] = own
+    """Texts, or windows, that a task has met before under a smaller key; told apart by 128-bit BLAKE2b digests."""
+
+    def __init__(self) -> None:
+        self.met: dict[bytes, int] = {}
+
+    def again(self, contents: list[bytes], owners: list[int]) -> np.ndarray:
+        """Which contents have been met; empty ones have not."""
+        out = np.zeros(len(contents), bool)
+        for r in sorted(range(len(owners)), key=owners.__getitem__):
+            if contents[r]:
+                digest = hashlib.blake2b(contents[r], digest_size=16).digest()
+                seen = self.met.get(digest)
+                if seen is not None and seen < owners[r]:
+                    out[r] = True
+                elif seen is None or seen > owners[r]:
+                    self.met[digest] = owners[r]
         return out
 
 
+def _texts(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    raw = data.tobytes()
+    return [raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+
+
 def among(seed: np.ndarray, common: np.ndarray) -> np.ndarray:
     """Which seeds are common; `common` is in order."""
     if not len(common):
@@ -102,16 +117,15 @@ def common_seeds(rows: DataFrame, width: int, letters: int) -> np.ndarray:
     every = max(1, min(SAMPLE, letters // SAMPLE_LETTERS))
 
     def counted(batches):
-        hasher = words.Hasher()
-        copies = Copies(hasher)
+        copies = Copies()
         for batch in batches:
-            owners = batch.column(1).to_numpy()
+            owners = batch.column(1).to_pylist()
             for first, last, data, offsets in words.chunks(batch.column(2)):
-                again = copies.again(data, offsets, owners[first:last])
-                seed, row, begin, end = segments(data, offsets, hasher, width)
-                new = ~again[row]
-                keys, place = np.unique(seed[new], return_inverse=True)
-                held = np.bincount(place, (end - begin + width)[new], len(keys)).astype(np.int64)
+                again = copies.again(_texts(data, offsets), owners[first:last])
+                found = segments(data, offsets, width)
+                new = ~again[found.row]
+                keys, place = np.unique(found.seed[new], return_inverse=True)
+                held = np.bincount(place, (found.end - found.begin + width)[new], len(keys)).astype(np.int64)
                 yield pa.RecordBatch.from_pydict({"seed": pa.array(keys.view(np.int64)), "held": pa.array(held)})
 
     taken = rows.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).mapInArrow(counted, "seed long, held long")
@@ -119,65 +133,82 @@ def common_seeds(rows: DataFrame, width: int, letters: int) -> np.ndarray:
     return np.sort(np.array([r.seed for r in found.select("seed").collect()], np.int64).view(np.uint64))
 
 
-def looked_up(texts: list[list[str]], owners: list[int], width: int) -> Iterator[tuple[int, int, int]]:
-    """The same as `hits` for more words than there are characters: each window on its own."""
-    least: dict[tuple[str, ...], int] = {}
-    for text, owner in zip(texts, owners, strict=True):
-        for i in range(len(text) - width + 1):
-            window = tuple(text[i:i + width])
-            least[window] = min(owner, least.get(window, owner))
-    for k, (text, owner) in enumerate(zip(texts, owners, strict=True)):
-        begin = end = -1
-        for i in range(len(text) - width + 1):
-            if least[tuple(text[i:i + width])] < owner:
-                if begin >= 0 and i - 1 > end:
-                    yield k, begin, end
-                    begin = i
-                begin, end = i if begin < 0 else begin, i + width - 1
-        if begin >= 0:
-            yield k, begin, end
-
-
-def hits(texts: list[list[str]], owners: list[int], width: int) -> Iterator[tuple[int, int, int]]:
-    """(segment, first and last word) of windows that a document with a smaller key has, too."""
-    often = Counter()
-    for text in texts:
-        often.update(text)
-    twice = [w for w, n in often.items() if n > 1]
-    if len(twice) > LETTERS:
-        yield from looked_up(texts, owners, width)
+def numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each word of all texts, one after the other, equal for equal words only; and how many each text has."""
+    data, offsets = words.buffer(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+    starts, ends, row = words.spans(data, offsets, ~words.SPACE)
+    return words.distinct(data, starts, ends)[1], np.bincount(row, minlength=len(texts))
+
+
+def window_classes(number: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """A class for each window of the texts, equal for equal windows only; and the first word of each window."""
+    prints, first = words.windows(words.mix(number.astype(np.uint64)), row, width)
+    _, of, cls = np.unique(prints, return_index=True, return_inverse=True)
+    twice = np.flatnonzero(of[cls] != np.arange(len(first)))
+    a, b = first[twice], first[of[cls[twice]]]
+    if all((number[a + k] == number[b + k]).all() for k in range(width)):
+        return cls, first
+    known: dict[bytes, int] = {}  # a fingerprint of two windows
+    return np.array([known.setdefault(number[i:i + width].tobytes(), len(known)) for i in first.tolist()], np.int64), first
+
+
+def hits(texts: list[bytes], owners: list[int], width: int) -> Iterator[tuple[int, int, int]]:
+    """(text, first and last word) of passages whose windows a text with a smaller owner has, too."""
+    number, count = numbered(texts)
+    row = np.repeat(np.arange(len(texts)), count)
+    cls, first = window_classes(number, row, width)
+    if not len(first):
         return
-    letters = {w: letter(i) for i, w in enumerate(twice)}
-    lines = ["".join([letters.get(w, "\0") for w in text]) for text in texts]
-    least: dict[str, int] = {}
-    recurring: set[str] = set()
-    for line, owner in zip(lines, owners, strict=True):
-        for part in line.split("\0") if "\0" in line else (line,):
-            for i in range(len(part) - width + 1):
-                window = part[i:i + width]
-                known = least.setdefault(window, owner)
-                if known != owner:
-                    recurring.add(window)
-                    if owner < known:
-                        least[window] = owner
-    if not recurring:
+    owner = np.array(owners, np.int64)[row[first]]
+    order = np.argsort(cls, kind="stable")
+    begin = np.flatnonzero(np.r_[True, np.diff(cls[order]) != 0])
+    least = np.empty(int(cls.max()) + 1, np.int64)
+    least[cls[order][begin]] = np.minimum.reduceat(owner[order], begin)
+    least = least[cls]
+    known = least < owner
+    if not known.any():
         return
-    automaton = ahocorasick.Automaton()
-    for window in recurring:
-        automaton.add_word(window, least[window])
-    automaton.make_automaton()
-    for k, (line, owner) in enumerate(zip(lines, owners, strict=True)):
-        begin = end = -1
-        for at, first in automaton.iter(line):
-            if first < owner:
-                if begin >= 0 and at - width <= end:
-                    end = at
-                else:
-                    if begin >= 0:
-                        yield k, begin, end
-                    begin, end = at - width + 1, at
-        if begin >= 0:
-            yield k, begin, end
+    # passages: windows in a row that one text with a smaller owner has
+    same = np.r_[False, known[1:] & known[:-1] & (least[1:] == least[:-1]) & (first[1:] == first[:-1] + 1)
+                 & (row[first[1:]] == row[first[:-1]])]
+    begin, end = first[known & ~same], first[known & ~np.r_[same[1:], False]] + width
+    value = least[known & ~same]
+    longest = max(LETTERS // 4, 2 * width)
+    parts = -(-(end - begin - width + 1) // (longest - width + 1))  # each window is in a part
+    begin = np.repeat(begin, parts) + words.gather(np.zeros(len(parts), np.int64), parts) * (longest - width + 1)
+    yield from _located(number, count, begin, np.minimum(np.repeat(end, parts), begin + longest), np.repeat(value, parts), owners)
+
+
+def _located(number: np.ndarray, count: np.ndarray, begin: np.ndarray, end: np.ndarray, value: np.ndarray, owners: list[int]) -> Iterator[tuple[int, int, int]]:
+    """Occurrences of the passages number[begin:end] in all texts whose owner is greater than the passage's value."""
+    starts = np.cumsum(count) - count
+    # no more different words at once than there are characters
+    lot = np.cumsum(end - begin) // (LETTERS // 2)
+    for some in np.split(np.arange(len(begin)), np.flatnonzero(np.diff(lot)) + 1):
+        own = np.unique(number[words.gather(begin[some], end[some] - begin[some])])
+        letter = np.zeros(int(number.max()) + 1, np.uint32)  # 0: in no passage
+        letter[own] = np.arange(1, len(own) + 1)
+        letter[letter >= 0xD800] += 2048  # no surrogates
+        line = letter[number].astype("<u4").tobytes().decode("utf-32-le")
+        automaton = ahocorasick.Automaton()
+        for a, b, v in zip(begin[some].tolist(), end[some].tolist(), value[some].tolist(), strict=True):
+            passage = line[a:b]
+            old = automaton.get(passage, None)
+            if old is None or v < old[0]:
+                automaton.add_word(passage, (v, b - a))
+        automaton.make_automaton()
+        for k, (a, n) in enumerate(zip(starts.tolist(), count.tolist(), strict=True)):
+            first = last = -1
+            for at, (v, size) in automaton.iter(line[a:a + n]):
+                if v < owners[k]:
+                    if first >= 0 and at - size + 1 <= last + 1:
+                        first, last = min(first, at - size + 1), at
+                    else:
+                        if first >= 0:
+                            yield k, first, last
+                        first, last = at - size + 1, at
+            if first >= 0:
+                yield k, first, last
 
 
 def deduplicated(docs: DataFrame, width: int = 13, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -185,62 +216,58 @@ def deduplicated(docs: DataFrame, width: int = 13, key: str = "doc_id", text: st
 
     A word is removed if it lies in a window of `width` words that also begins in a row with a smaller key;
     windows are judged on the input. `kept` are the words that stay, joined by one space; null and empty texts have
-    none. Rows with one key do not remove from each other; a null key is greater than all others. Columns
+    none. Keys are whole numbers; a null key is greater than all others, and 2**63 - 1 counts as null. Rows with one key do not
+    remove from each other. Columns
     named like the new ones are replaced. `docs` is read several times and must give the same rows in the
     same order, as a stored table does.
 
     A text that a task has met before under a smaller key is removed as a whole without being routed, so
-    a group of copies sends each segment once per task. With common seeds, their windows are stored in the shared folder.
+    a group of copies sends each segment once per task; so it is with windows of common seeds.
     """
     spark = docs.sparkSession
+    if docs.schema[key].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError("keys must be whole numbers")
     kept = docs.drop("n_words", "n_removed", "kept")
     names = [f"_{i}" for i in range(len(kept.columns))]
     rows = kept.toDF(*names).withColumn("node", F.monotonically_increasing_id())
     text, key = names[kept.columns.index(text)], names[kept.columns.index(key)]
 
     def seeded(batches):
-        hasher = words.Hasher()
-        copies = Copies(hasher)
-        for batch in batches:
-            nodes, owners = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for first, last, data, offsets in words.chunks(batch.column(2)):
-                again = copies.again(data, offsets, owners[first:last])
-                seed, row, begin, end = segments(data, offsets, hasher, width)
-                copy = again[row]
-                # of a copy, one row that covers it whole
-                whole = np.flatnonzero(copy & np.r_[True, row[1:] != row[:-1]]) if len(row) else np.empty(0, np.int64)
-                stop = np.maximum.reduceat(end, np.flatnonzero(np.r_[True, row[1:] != row[:-1]])) if len(row) else end
-                rank = np.cumsum(np.r_[True, row[1:] != row[:-1]]) - 1 if len(row) else row
-                take = np.concatenate([np.flatnonzero(~copy & ~among(seed, common.value)), whole])
-                is_whole = np.arange(len(take)) >= len(take) - len(whole)
-                yield pa.RecordBatch.from_pydict({
-                    "seed": pa.array(np.where(is_whole, words.mix(nodes[first + row[take]].astype(np.uint64)), seed[take]).view(np.int64)),
-                    "node": pa.array(nodes[first + row[take]]),
-                    "span": pa.array(np.where(is_whole, -1 - stop[rank[take]], (begin[take] << 32) | end[take]))})
-
-    def windows(batches):
-        """Windows of common seeds, by their digests."""
-        hasher = words.Hasher()
-        copies = Copies(hasher)
+        copies, met = Copies(), Copies()
         for batch in batches:
-            nodes, owners = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            nodes, owners = batch.column(0).to_numpy(), batch.column(1).to_pylist()
             for first, last, data, offsets in words.chunks(batch.column(2)):
-                again = copies.again(data, offsets, owners[first:last])
-                seed, row, begin, end = segments(data, offsets, hasher, width)
-                take = np.flatnonzero(~again[row] & among(seed, common.value))
-                count, of, listed, digests = end[take] - begin[take] + 1, -1, [], []
-                for r, a, b in zip(row[take].tolist(), begin[take].tolist(), end[take].tolist(), strict=True):
-                    if r != of:
-                        of, listed = r, data[offsets[r]:offsets[r + 1]].tobytes().split()
-                    digests += [hashlib.blake2b(b" ".join(listed[i:i + width]), digest_size=16).digest()
-                                for i in range(a, b + 1)]
-                at = first + np.repeat(row[take], count)
+                again = copies.again(_texts(data, offsets), owners[first:last])
+                found = segments(data, offsets, width)
+                copy, often = again[found.row], among(found.seed, common.value)
+                take = np.flatnonzero(~copy & ~often)
+                seed, row, span = [found.seed[take]], [found.row[take]], [(found.begin[take] << 32) | found.end[take]]
+                # a copy is covered from its first to its last word
+                gone = np.flatnonzero(again)
+                count = np.diff(np.append(found.first_word, len(found.starts)))
+                gone = gone[count[gone] >= width]
+                seed.append(words.mix(nodes[first + gone].astype(np.uint64)))
+                row.append(gone)
+                span.append(-count[gone])
+                take = np.flatnonzero(~copy & often)
+                if len(take):  # windows by themselves
+                    n = found.end[take] - found.begin[take] + 1
+                    of, at = np.repeat(found.row[take], n), words.gather(found.begin[take], n)
+                    begin = found.first_word[of] + at
+                    raw, starts, ends = data.tobytes(), found.starts.tolist(), found.ends.tolist()
+                    windows = [b" ".join([raw[starts[j]:ends[j]] for j in range(i, i + width)]) for i in begin.tolist()]
+                    covered = met.again(windows, [owners[first + r] for r in of.tolist()])
+                    prints, place = words.windows(found.keys, found.word_row, width)
+                    own = prints[np.searchsorted(place, begin)]
+                    seed.append(np.where(covered, words.mix(nodes[first + of].astype(np.uint64)), own))
+                    row.append(of)
+                    span.append(np.where(covered, -1 - ((at << 32) | (at + width - 1)), (at << 32) | at))
                 yield pa.RecordBatch.from_pydict({
-                    "digest": pa.array(digests, pa.binary()), "owner": pa.array(owners[at]), "node": pa.array(nodes[at]),
-                    "first": pa.array(words.gather(begin[take], count).astype(np.int32))})
+                    "seed": pa.array(np.concatenate(seed).view(np.int64)), "node": pa.array(nodes[first + np.concatenate(row)]),
+                    "span": pa.array(np.concatenate(span))})
 
     def confirmed(batches):
-        """Segments whose seed is in two rows, and whole texts."""
+        """Segments whose seed is in two rows, and what is covered already."""
         table = pa.Table.from_batches(batches, pa.schema([("seed", pa.int64()), ("node", pa.int64()), ("span", pa.int64())]))
         seed, node, whole = (table.column(0).to_numpy(), table.column(1).to_numpy(), table.column(2).to_numpy() < 0)
         order = np.lexsort((whole, seed))
@@ -261,60 +288,84 @@ def deduplicated(docs: DataFrame, width: int = 13, key: str = "doc_id", text: st
     by_row = spots.groupBy("node").agg(F.collect_list(F.struct("seed", "span")).alias("spots"))
 
     def cut(batches):
+        """Segments with their words, as they stand in the text."""
         at_text, at_key = names.index(text), names.index(key)
         for batch in batches:
-            out: list[tuple] = []
-            spots = batch.column(len(names) + 1)
-            owners = batch.column(at_key).cast(pa.int64()).to_pylist()
-            for r, (node, owner) in enumerate(zip(batch.column(len(names)).to_pylist(), owners, strict=True)):
-                own = spots[r].values
-                owner, listed = NO_KEY if owner is None else owner, None
-                for seed, span in zip(own.field(0).to_pylist(), own.field(1).to_pylist(), strict=True):
-                    if span < 0:
-                        out.append((seed, owner, node, 0, width - 2 - span, None))
-                    else:
-                        listed = listed or batch.column(at_text)[r].as_py().encode().split()
-                        first, last = span >> 32, span & 0xFFFFFFFF
-                        out.append((seed, owner, node, first, -1, b" ".join(listed[first:last + width]).decode()))
-            columns = zip(*out, strict=True) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (
-                pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string()), strict=True)],
-                ["seed", "owner", "node", "first", "last", "words"])
+            own = batch.column(len(names) + 1)
+            held = np.diff(own.offsets.to_numpy())
+            below = own.offsets.to_numpy()
+            flat = own.flatten()
+            nodes = batch.column(len(names)).to_numpy()
+            owners = pc.fill_null(batch.column(at_key).cast(pa.int64()), NO_KEY).to_numpy()
+            for top, bottom, data, offsets in words.chunks(batch.column(at_text)):
+                some = slice(int(below[top] - below[0]), int(below[bottom] - below[0]))
+                row = np.repeat(np.arange(bottom - top), held[top:bottom])
+                seed, span = (flat.field(f).to_numpy()[some] for f in ("seed", "span"))
+                starts, ends, of = words.spans(data, offsets, ~words.SPACE)
+                begin_of = np.searchsorted(of, np.arange(bottom - top))
+                covered = span < 0
+                place = np.where(covered, -1 - span, span)
+                first, last = place >> 32, place & 0xFFFFFFFF
+                begin = begin_of[row] + first
+                sent = np.flatnonzero(~covered)
+                raw, listed = data.tobytes(), np.full(len(span), None, object)
+                listed[sent] = [raw[a:b] for a, b in zip(starts[begin[sent]].tolist(), ends[
+                    (begin + last - first)[sent] + width - 1].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(seed), pa.array(owners[top + row]), pa.array(nodes[top + row]), pa.array(first.astype(np.int32)),
+                    pa.array(np.where(covered, last, -1).astype(np.int32)), pa.array(listed, pa.binary())],
+                    ["seed", "owner", "node", "first", "last", "words"])
 
     def located(batches):
         table = pa.Table.from_batches(batches, pa.schema([
             ("seed", pa.int64()), ("owner", pa.int64()), ("node", pa.int64()), ("first", pa.int32()),
-            ("last", pa.int32()), ("words", pa.string())]))
-        table = table.set_column(5, "words", table.column(5).cast(pa.large_string())).sort_by("seed")
-        seed, first = table.column(0).to_numpy(), table.column(3).to_numpy()
-        node, last = table.column(2).to_numpy(), table.column(4).to_numpy()
-        whole = last >= 0
-        yield pa.RecordBatch.from_pydict({"node": pa.array(node[whole]), "first": pa.array(first[whole]), "last": pa.array(last[whole])})
+            ("last", pa.int32()), ("words", pa.binary())]))
+        table = table.set_column(5, "words", table.column(5).cast(pa.large_binary()))
+
+        def covers(node, first, last):
+            return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(first, pa.int32()), pa.array(last, pa.int32())],
+                                              ["node", "first", "last"])
+
+        whole = pc.greater_equal(table.column(4), 0)
+        done, table = table.filter(whole), table.filter(pc.invert(whole)).sort_by("seed")
+        yield covers(*(done.column(i).to_numpy() for i in (2, 3, 4)))
+        if not table.num_rows:
+            return
+        owner, node, first = (table.column(i).to_numpy() for i in (1, 2, 3))
+        once = table.column(5).combine_chunks().dictionary_encode()
+        code, contents = once.indices.to_numpy(), once.dictionary
+        least = np.full(len(contents), NO_KEY)
+        np.minimum.at(least, code, owner)
+        # equal segments: those with greater keys are covered by the first
+        later = np.flatnonzero(owner > least[code])
+        size = np.zeros(len(contents), np.int64)
+        lead = np.flatnonzero(owner == least[code])
+        by_code = lead[np.argsort(code[lead], kind="stable")]
+        bounds = np.searchsorted(code[by_code], np.arange(len(contents) + 1))
+        letters_of = pc.binary_length(contents).to_numpy()
+        # contents are in order of their seeds; those of one seed stay together
+        seeds = table.column(0).to_numpy()[np.unique(code, return_index=True)[1]]
+        ends = np.append(np.flatnonzero(seeds[1:] != seeds[:-1]) + 1, len(contents))
+        held = np.cumsum(letters_of)[ends - 1]
         at = 0
-        while at < len(seed):
-            texts, held, stop = [], 0, at
-            while stop < len(seed) and (held < SHARD_WORDS or seed[stop] == seed[stop - 1]):
-                line = table.column(5)[stop].as_py()
-                texts.append(line.split(" ") if line is not None else [])
-                held += len(texts[-1])
-                stop += 1
-            found = list(hits(texts, table.column(1)[at:stop].to_pylist(), width))
-            k = np.array([f[0] for f in found], np.int64) + at
-            yield pa.RecordBatch.from_pydict({
-                "node": pa.array(node[k]), "first": pa.array((first[k] + [f[1] for f in found]).astype(np.int32)),
-                "last": pa.array((first[k] + [f[2] for f in found]).astype(np.int32))})
+        while at < len(contents):
+            reach = (held[np.searchsorted(ends, at) - 1] if at else 0) + SHARD_WORDS * LETTERS_A_WORD
+            stop = int(ends[min(max(np.searchsorted(held, reach), np.searchsorted(ends, at, "right")), len(ends) - 1)])
+            texts = contents.slice(at, stop - at).to_pylist()
+            size[at:stop] = [len(t.split()) for t in texts]
+            found = np.array(list(hits(texts, least[at:stop].tolist(), width)), np.int64).reshape(-1, 3)
+            k = found[:, 0] + at
+            times = bounds[k + 1] - bounds[k]
+            to = by_code[words.gather(bounds[k], times)]
+            yield covers(node[to], first[to] + np.repeat(found[:, 1], times), first[to] + np.repeat(found[:, 2], times))
             at = stop
+        yield covers(node[later], first[later], first[later] + size[code[later]] - 1)
 
     # both joins take all columns of the rows, so that these are shuffled once
     all_columns = [*names, "node"]
     routed = rows.join(by_row, "node").select(*all_columns, "spots").mapInArrow(
-        cut, "seed long, owner long, node long, first int, last int, words string")
+        cut, "seed long, owner long, node long, first int, last int, words binary")
     found = routed.repartition(tasks, "seed").mapInArrow(located, "node long, first int, last int")
-    if len(common.value):
-        each = stored(slim.mapInArrow(windows, "digest binary, owner long, node long, first int"))
-        least = each.groupBy("digest").agg(F.min("owner").alias("least"), F.max("owner").alias("most")).where("least < most")
-        found = found.union(lookup(each, least, "digest", "inner").where("least < owner").select(
-            "node", "first", (F.col("first") + (width - 1)).alias("last")))
     covered = found.groupBy("node").agg(F.collect_list(F.struct("first", "last")).alias("covered"))
 
     def removed(batches):

@@ -2,6 +2,8 @@ import random
 import re
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from comptoir.llm import passages
 from comptoir.llm.passages import deduplicated, hits
@@ -63,12 +65,47 @@ def test_edges(spark):
     assert ran(spark, rows, width=5) == brute(rows, 5)
 
 
+def in_bytes(*texts):
+    return [" ".join(t).encode() for t in texts]
+
+
 def test_automaton_marks_only_what_came_before():
     a, b = ["a"] * 3 + ["x", "y", "z"], ["p", "x", "y", "z", "q", "x", "y", "z"]
-    assert list(hits([a, b], [1, 2], 3)) == [(1, 1, 3), (1, 5, 7)]
-    assert list(hits([a, b], [2, 2], 3)) == []
-    assert list(hits([a, b], [3, 2], 3)) == [(0, 3, 5)]
-    assert passages.letter(0xD7FE) < "\ud800" and passages.letter(0xD7FF) == ""
+    assert list(hits(in_bytes(a, b), [1, 2], 3)) == [(1, 1, 3), (1, 5, 7)]
+    assert list(hits(in_bytes(a, b), [2, 2], 3)) == []
+    assert list(hits(in_bytes(a, b), [3, 2], 3)) == [(0, 3, 5)]
+
+
+def plain_hits(texts, owners, width):
+    """Covered words of each text, by comparing all windows."""
+    least = {}
+    for t, o in zip(texts, owners, strict=True):
+        for i in range(len(t) - width + 1):
+            least[tuple(t[i:i + width])] = min(o, least.get(tuple(t[i:i + width]), o))
+    return {(k, j) for k, (t, o) in enumerate(zip(texts, owners, strict=True)) for i in range(len(t) - width + 1)
+            if least[tuple(t[i:i + width])] < o for j in range(i, i + width)}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.sampled_from("abc"), max_size=25), st.integers(0, 4)), max_size=6), st.integers(1, 4))
+def test_passages_of_any_owners(pairs, width):
+    texts, owners = [t for t, _ in pairs], [o for _, o in pairs]
+    found = hits(in_bytes(*texts), owners, width) if texts else []
+    assert {(k, j) for k, a, b in found for j in range(a, b + 1)} == plain_hits(texts, owners, width)
+
+
+def test_windows_with_one_fingerprint(monkeypatch):
+    own = passages.words.windows
+
+    def coarse(*args):
+        prints, first = own(*args)
+        return prints & passages.np.uint64(1), first
+
+    monkeypatch.setattr(passages.words, "windows", coarse)
+    rng = random.Random(2)
+    texts = [[rng.choice("abcd") for _ in range(30)] for _ in range(6)]
+    found = hits(in_bytes(*texts), list(range(6)), 3)
+    assert {(k, j) for k, a, b in found for j in range(a, b + 1)} == plain_hits(texts, list(range(6)), 3)
 
 
 def test_common_run_is_no_large_group(spark, monkeypatch):
@@ -76,7 +113,7 @@ def test_common_run_is_no_large_group(spark, monkeypatch):
     monkeypatch.setattr(passages, "SHARD_WORDS", 500)
 
     def bounded(texts, owners, width, found=hits):
-        assert sum(map(len, texts)) < 2 * 500
+        assert sum(len(t.split()) for t in texts) < 2 * 500
         return found(texts, owners, width)
 
     monkeypatch.setattr(passages, "hits", bounded)
@@ -91,8 +128,16 @@ def test_common_run_is_no_large_group(spark, monkeypatch):
 
 def test_more_words_than_characters():
     n = 1_150_000
-    text = [str(i) for i in range(n)]
-    assert list(hits([text, text], [1, 2], 3)) == [(1, 0, n - 1)]
-    a, b = ["a"] * 3 + ["x", "y", "z"], ["p", "x", "y", "z", "q", "x", "y", "z"]
-    for owners in ([1, 2], [2, 2], [3, 2]):
-        assert list(passages.looked_up([a, b], owners, 3)) == list(hits([a, b], owners, 3))
+    text = " ".join(str(i) for i in range(n)).encode()
+    covered = [(k, a, b) for k, a, b in hits([text, text], [1, 2], 3)]
+    assert {k for k, _, _ in covered} == {1}
+    assert sorted((a, b) for _, a, b in covered)[0][0] == 0 and max(b for _, _, b in covered) == n - 1
+    reached = -1
+    for _, a, b in sorted(covered):
+        assert a <= reached + 1
+        reached = max(reached, b)
+
+
+def test_keys_are_whole_numbers(spark):
+    with pytest.raises(TypeError):
+        deduplicated(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
