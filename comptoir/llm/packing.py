@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
@@ -14,6 +15,8 @@ from comptoir.llm.shared import once
 
 END_ID = 2
 SEQUENCE = 4096
+_LATIN = re.compile(r"[a-zÀ-ÖØ-öø-ÿ]+")
+
 # Classes of bytes: 0 white space, 1 ASCII letter, 2 ASCII digit, 3 other ASCII, 4 apostrophe, 5 beyond ASCII.
 _CLASS = np.full(256, 3, np.uint8)
 _CLASS[words.SPACE] = 0
@@ -54,8 +57,8 @@ class Units:
         encoded = tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)
         for line, one in zip(lines, encoded, strict=True):
             ids = np.array(one.ids, np.uint32)
-            parts = np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1)
-            out += parts if len(parts) == len(line) else self._whole(line)
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            out += [ids[a:b] for a, b in zip([0, *cuts], cuts, strict=False)] if len(cuts) == len(line) else self._whole(line)
         return out
 
     def _whole(self, units: list[str]) -> list[np.ndarray]:
@@ -67,7 +70,7 @@ class Units:
             if unit.isascii():
                 kinds[0 if unit.isalpha() and unit.islower() else 2].append(i)
             else:  # Latin letters: composed, and lower case has no context
-                kinds[1 if regex.fullmatch(r"[a-zÀ-ÖØ-öø-ÿ]+", unit) else 2].append(i)
+                kinds[1 if _LATIN.fullmatch(unit) else 2].append(i)
         out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(units)
         for kind, own in zip(kinds, (lambda x: self._joined(self.plain, x),
                                      lambda x: self._joined(self.latin, [u.lower() for u in x]),

@@ -172,14 +172,12 @@ class _Generation:
         self.where, self.count = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int64)
         self.ids, self.used, self.held = np.empty(1 << 14, np.uint32), 0, 0
 
-    def own(self, span: bytes) -> np.ndarray:
-        i = self.number[span]
-        return self.ids[self.where[i]:self.where[i] + self.count[i]]
-
-    def learn(self, spans: list[bytes], ids: list[np.ndarray]) -> None:
-        if not spans:
-            return
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
+    def of(self, spans: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of known spans are, and how many."""
+        at = np.fromiter(map(self.number.__getitem__, spans), np.int64, len(spans))
+        return self.where[at], self.count[at]
+
+    def learn(self, spans: list[bytes], flat: np.ndarray, count: np.ndarray) -> None:
         begin, more = len(self.number), int(count.sum())
         for name, need in (("where", begin + len(spans)), ("count", begin + len(spans)), ("ids", self.used + more)):
             old = getattr(self, name)
@@ -187,7 +185,7 @@ class _Generation:
                 setattr(self, name, np.concatenate([old, np.empty(max(need - len(old), len(old) // 2), old.dtype)]))
         self.where[begin:begin + len(spans)] = self.used + np.cumsum(count) - count
         self.count[begin:begin + len(spans)] = count
-        self.ids[self.used:self.used + more] = np.concatenate(ids)
+        self.ids[self.used:self.used + more] = flat
         self.number.update(zip(spans, range(begin, begin + len(spans)), strict=True))
         self.used += more
         self.held += sum(map(len, spans)) + 160 * len(spans) + 6 * more
@@ -199,7 +197,7 @@ class Memo:
     Beyond half of `limit` bytes a new generation begins; what is met again moves over from the last one.
     """
 
-    def __init__(self, limit: int = 48 << 20) -> None:
+    def __init__(self, limit: int = 96 << 20) -> None:
         self.limit, self.young, self.old = limit, _Generation(), _Generation()
 
     def look_up(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, encode,
@@ -217,9 +215,13 @@ class Memo:
         young, old = self.young, self.old
         missing = [s for s in spans if s not in young.number]
         met = [s for s in missing if s in old.number]
-        young.learn(met, [old.own(s) for s in met])
+        if met:
+            where, count = old.of(met)
+            young.learn(met, old.ids[gather(where, count)], count)
         new = [s for s in missing if s not in young.number]
-        young.learn(new, encode([s.decode() for s in new]) if new else [])
-        at = np.fromiter(map(young.number.__getitem__, spans), np.int64, len(spans))[inverse]
-        where, count = young.where[at], young.count[at]
+        if new:
+            ids = encode([s.decode() for s in new])
+            young.learn(new, np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
+        where, count = young.of(spans)
+        where, count = where[inverse], count[inverse]
         return young.ids[gather(where, count)], count
