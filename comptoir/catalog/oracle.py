@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from comptoir.catalog import landing
 from comptoir.catalog.inputs import source_sql
 from comptoir.schemas import ENRICHED_COLUMNS
 
@@ -342,4 +343,4 @@ def oracle() -> dict[str, str]:
         if "copies" in sources:
             ctes = [f"ventes AS ({source_sql('ventes')})", f"copies AS ({COPIES})"]
         statements[name] = f"WITH {', '.join(ctes)}\n{body.strip()}"
-    return statements
+    return {**statements, **{name: text.strip() for name, text in landing.ORACLE.items()}}

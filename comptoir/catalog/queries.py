@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.catalog import files as W
+from comptoir.catalog import landing
 from comptoir.catalog.inputs import source
 from comptoir.functions import city_standard
 from comptoir.operators import cleaning, control, enrichment, ingestion, versions
 from comptoir.operators import profiling as P
 from comptoir.operators.joins import all_of, lookup
 from comptoir.operators.revenue import revenue_by
-from comptoir.plans.batch import CURATED, run_batch
+from comptoir.plans.batch import CURATED, has_breaks, run_batch
 from comptoir.schemas import KEYS
 from comptoir.session import work_folder
 from comptoir.sinks import replace_table
@@ -236,7 +237,7 @@ def outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def file_control(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return control.control_files(arrived(spark, sf_dir)).drop("chemin")
+    return control.control_files(arrived(spark, sf_dir)).drop("chemin", "disposition", "coupures")
 
 
 @query
@@ -246,7 +247,7 @@ def file_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ingest_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outcome(spark, sf_dir).drop("chemin", "lignes", "date")
+    return outcome(spark, sf_dir).drop("chemin", "lignes", "date", "disposition", "coupures")
 
 
 @query
@@ -259,6 +260,51 @@ def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingestion.summary_of(outcome(spark, sf_dir))
 
 
+def second_runs(spark: SparkSession, sf_dir: str) -> tuple[str, list]:
+    folder = work_folder(spark)
+    return f"{folder}/lake", landing.two_runs(spark, sf_dir, folder)
+
+
+@query
+def ingest_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of a run that meets contents, keys and names of an earlier one, and files that came again."""
+    return second_runs(spark, sf_dir)[1][1].outcomes.select(
+        "source", "fichier", "sha256", "taille", "lignes", "statut", "motif", "destination", "rangement")
+
+
+@query
+def ingest_known_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest as it has grown over two runs."""
+    return second_runs(spark, sf_dir)[1][1].manifest
+
+
+@query
+def ingest_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The journal of two runs, as it is stored."""
+    lake, _ = second_runs(spark, sf_dir)
+    return spark.read.schema("date string, source string, fichier string, destination string, taille_octets bigint, "
+                             "statut string, motif string").json(f"{lake}/_ingestion/journal").drop("lot")
+
+
+@query
+def ingest_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each run returns: 1 if it has refused a file."""
+    return spark.createDataFrame([(n, run.code) for n, run in enumerate(second_runs(spark, sf_dir)[1], 1)], "tour int, code int")
+
+
+@query
+def ingest_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that the accepted files hold by their control, and those that the readers of the raw zone find."""
+    lake, runs = second_runs(spark, sf_dir)
+    held = runs[1].manifest.groupBy("source").agg(F.sum("lignes").alias("lignes"))
+    raw = {"ventes": lots.read_filed_sales(spark, f"{lake}/raw/ventes", has_breaks(spark, lake, by_hand=False)),
+           "clients": lots.read_customers(spark, f"{lake}/raw/clients"),
+           "produits": lots.read_products(spark, f"{lake}/raw/produits")}
+    read = all_of([rows.agg(F.count(F.lit(1)).alias("lues")).select(F.lit(name).alias("source"), "lues")
+                   for name, rows in raw.items()])
+    return held.join(read, "source", "full")
+
+
 REGISTRY["lake_inventory"] = lambda spark, sf_dir: lake_inventory(arrived(spark, sf_dir).select(
     F.when(F.length("fichier") > 19, F.concat_ws("/", F.lit("raw"), "source", "fichier"))
     .otherwise(F.concat_ws("/", F.lit("raw"), "fichier")).alias("cle"), "taille"))

@@ -36,7 +36,9 @@ UNREADABLE = "fichier corrompu ou format illisible ({}: {})"
 FIELDS_MISSING = "champs obligatoires absents : "
 ERROR_CHARACTERS = 80
 
-FINDINGS = "sha256 string, champs array<string>, lignes bigint, defaut string"
+FINDINGS = "sha256 string, champs array<string>, lignes bigint, defaut string, disposition string, coupures boolean"
+#: A reader takes the columns it needs from so many first columns of a lot.
+WIDEST = 256
 
 
 class Unsuitable(Exception):
@@ -71,10 +73,23 @@ def _header(rows: Iterator) -> list:
     raise Unsuitable(NO_HEADER)
 
 
-def _inspect_csv(stream) -> tuple[set, int]:
+def _inspect_csv(stream) -> tuple[list, int, bool]:
+    """Names in order, records, and whether one of these goes over several lines."""
     records = csv.reader(_lines(stream))
     header = _header(records)
-    return {name.strip() for name in header}, sum(1 for _ in records)
+    rows = sum(1 for _ in records)
+    return [name.strip() for name in header], rows, records.line_num > rows + 1
+
+
+def layout(names: list[str]) -> str | None:
+    """Where a sales lot has the required columns, '1-0-2-…'; null if it begins with them in their order."""
+    required = REQUIRED_FIELDS["ventes"]
+    if names[:len(required)] == required or not set(required) <= set(names):
+        return None
+    places = [names.index(name) for name in required]
+    if max(places) >= WIDEST:
+        raise Unsuitable(UNREADABLE.format("TooManyColumns", f"a required column after the {WIDEST}th"))
+    return "-".join(map(str, places))
 
 
 def _inspect_json(stream) -> tuple[set, int]:
@@ -117,29 +132,29 @@ INSPECTORS = {
 }
 
 
-def _inspect(stream, extension: str) -> tuple[list[str] | None, int | None, str | None]:
-    """(fields, data rows, defect) of one opened file."""
+def _inspect(stream, extension: str) -> tuple[list[str] | None, int | None, str | None, str | None, bool | None]:
+    """(fields, data rows, defect, layout, records over several lines) of one opened file."""
     solid = False
     while not solid and (piece := stream.read(CHUNK)):
         solid = bool(piece.strip())
     if not solid:
-        return None, None, EMPTY_FILE
+        return None, None, EMPTY_FILE, None, None
     stream.seek(0)
     try:
-        fields, rows = INSPECTORS[extension](stream)
-        return sorted(fields), rows, None
+        fields, rows, *breaks = INSPECTORS[extension](stream)
+        return sorted(set(fields)), rows, None, *((layout(fields), *breaks) if breaks else (None, None))
     except Unsuitable as reason:
-        return None, None, str(reason)
+        return None, None, str(reason), None, None
     except Exception as error:  # whatever the parser of a damaged file raises
-        return None, None, UNREADABLE.format(type(error).__name__, str(error)[:ERROR_CHARACTERS])
+        return None, None, UNREADABLE.format(type(error).__name__, str(error)[:ERROR_CHARACTERS]), None, None
 
 
 def _examine(path: str, extension: str | None, content: bytes | None) -> tuple:
-    """(fingerprint, fields, data rows, defect); a file with a foreign extension is not parsed."""
+    """(fingerprint, fields, data rows, defect, layout, breaks); a file with a foreign extension is not parsed."""
     with open_input(path) if content is None else io.BytesIO(content) as stream:
         digest = hashlib.file_digest(stream, "sha256").hexdigest()
         if not extension:
-            return digest, None, None, None
+            return digest, None, None, None, None, None
         stream.seek(0)
         return digest, *_inspect(stream, extension)
 
@@ -175,12 +190,14 @@ def inspect_files(files: DataFrame) -> DataFrame:
         for batch in batches:
             contents = batch["content"] if "content" in batch else [None] * len(batch)
             found = [_examine(*file) for file in zip(batch["chemin"], batch["extension"], contents)]
-            prints, fields, rows, defects = ([f[i] for f in found] for i in range(4))
+            prints, fields, rows, defects, layouts, breaks = ([f[i] for f in found] for i in range(6))
             yield batch[[f.name for f in kept]].assign(
                 sha256=prints,
                 champs=pd.Series(fields, index=batch.index, dtype=object),
                 lignes=pd.array(rows, dtype="Int64"),
-                defaut=pd.Series(defects, index=batch.index, dtype=object))
+                defaut=pd.Series(defects, index=batch.index, dtype=object),
+                disposition=pd.Series(layouts, index=batch.index, dtype=object),
+                coupures=pd.array(breaks, dtype="boolean"))
 
     return (files.withColumn("extension", F.when(readable, extension))
             .mapInPandas(inspect, schema))
@@ -200,6 +217,10 @@ def control_reason(inspected: DataFrame) -> Column:
 
 
 def control_files(files: DataFrame) -> DataFrame:
-    """One row per file with ``sha256``, ``lignes`` and the ``motif`` of a refusal."""
+    """One row per file with ``sha256``, ``lignes`` and the ``motif`` of a refusal.
+
+    Of a sales lot also the ``disposition`` of its columns, null for the usual one, and whether records go over
+    several lines (``coupures``).
+    """
     inspected = inspect_files(files)
     return inspected.withColumn("motif", control_reason(inspected)).drop("champs", "defaut")

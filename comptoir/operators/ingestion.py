@@ -35,9 +35,12 @@ def with_inserted(name: Column, insertion: Column) -> Column:
 
 
 def destination(day: str) -> Column:
-    """Key in the raw zone. A name that readers would not see, for its underscore, gets another begin."""
+    """Key in the raw zone. A name that readers would not see, for its underscore, gets another begin.
+
+    A sales lot with another order of columns gets a folder that says where they are, so that readers need not open it to know.
+    """
     return F.concat_ws("/", F.lit("raw"), "source", F.lit(f"ingest_date={day}"),
-                       F.regexp_replace("fichier", "^_", "lot_"))
+                       F.concat(F.lit("disposition="), "disposition"), F.regexp_replace("fichier", "^_", "lot_"))
 
 
 def decide(controlled: DataFrame, manifest: DataFrame, taken: DataFrame, filed: DataFrame,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from comptoir.operators import enrichment
 from comptoir.operators.cleaning import CLEANERS
 from comptoir.operators.revenue import revenue_by_axes, revenue_of_axis
-from comptoir.plans.intake import Intake, ingest
+from comptoir.plans.intake import Intake, ingest, read_outcomes
 from comptoir.schemas import ENRICHED_COLUMNS
 from comptoir.sinks import replace_table
 from comptoir.sources.lots import read_raw, read_table
@@ -35,8 +35,13 @@ def read_rejected(spark: SparkSession, lake: str) -> DataFrame:
     return _matched(spark, lake, "false").distinct()
 
 
-def clean_zone(spark: SparkSession, raw: str, lake: str, cleaners: dict = CLEANERS) -> None:
-    for source, rows in read_raw(spark, raw).items():
+def has_breaks(spark: SparkSession, lake: str, by_hand: bool) -> bool:
+    """Whether a sales lot may have records over several lines: by the findings of the ingestion, or if lots came by hand."""
+    return by_hand or not read_outcomes(spark, lake).where("source = 'ventes' AND coalesce(coupures, false)").isEmpty()
+
+
+def clean_zone(spark: SparkSession, raw: str, lake: str, cleaners: dict = CLEANERS, by_hand: bool = True) -> None:
+    for source, rows in read_raw(spark, raw, has_breaks(spark, lake, by_hand)).items():
         replace_table(cleaners[source](rows), processed(lake, source))
 
 
@@ -68,9 +73,12 @@ def curate_zone(spark: SparkSession, lake: str) -> None:
 
 
 def run_batch(spark: SparkSession, lake: str, raw: str | None = None,
-              cleaners: dict = CLEANERS) -> None:
-    """Each step reads the tables the one before has written, so no lineage spans the job."""
-    clean_zone(spark, raw or f"{lake}/raw", lake, cleaners)
+              cleaners: dict = CLEANERS, by_hand: bool = True) -> None:
+    """Each step reads the tables the one before has written, so no lineage spans the job.
+
+    Say ``by_hand=False`` if the ingestion has filed every lot: what it found tells how lots can be read.
+    """
+    clean_zone(spark, raw or f"{lake}/raw", lake, cleaners, by_hand)
     match_zone(spark, lake)
     curate_zone(spark, lake)
 
@@ -78,5 +86,5 @@ def run_batch(spark: SparkSession, lake: str, raw: str | None = None,
 def run_all(spark: SparkSession, landing: str, lake: str, at: datetime | None = None) -> Intake:
     """Ingestion, then the batch, which runs also when files were rejected."""
     intake = ingest(spark, landing, lake, at)
-    run_batch(spark, lake)
+    run_batch(spark, lake, by_hand=False)
     return intake

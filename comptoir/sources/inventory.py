@@ -38,6 +38,18 @@ def list_objects(spark: SparkSession, lake: str) -> DataFrame:
     return first.where("taille is not null").unionByName(below).withColumn("modifie_le", F.timestamp_micros("modifie_le"))
 
 
+def list_folders(spark: SparkSession, path: str) -> DataFrame:
+    """(cle) of the folders that lie directly in a folder."""
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for folder in batch["chemin"]:
+                for rows in batched((key for key, size, _ in tree(folder, 1) if size is None), BATCH_ROWS):
+                    yield pd.DataFrame({"cle": rows})
+
+    return spark.createDataFrame([(path,)], "chemin string").mapInPandas(listed, "cle string")
+
+
 def zone_and_source(key: Column) -> tuple[Column, Column]:
     parts = F.split(key, "/")
     return parts[0], F.when(F.size(parts) > 2, parts[1]).otherwise(ROOT_SOURCE)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import csv
 import io
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from comptoir import schemas as S
-from comptoir.operators.joins import all_of
+from comptoir.operators.control import WIDEST
+from comptoir.operators.joins import lookup
 from comptoir.sources.files import open_input
 from comptoir.sources.workbook import workbook_rows
 
@@ -32,16 +34,11 @@ def with_origin(rows: DataFrame, path: str = "_metadata.file_path") -> DataFrame
 
 
 def clean_header(names: list[str]) -> list[str]:
-    return [name.replace("\ufeff", "").strip() for name in names]
-
-
-def literal_path(path: str) -> str:
-    """A path whose name may hold characters that a reader would take for a pattern."""
-    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+    return [name.strip() for name in names]
 
 
 def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, file_path, header) of every CSV lot; the tasks read the first record only."""
+    """(file_path, header) of every CSV lot; the tasks read the first record only."""
 
     def first_record(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -50,50 +47,75 @@ def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
                 with open_input(path) as stream:
                     lines = csv.reader(io.TextIOWrapper(stream, "utf-8-sig", newline=""))
                     headers.append(clean_header(next(lines, [])))
-            yield batch.assign(header=headers)
+            yield batch[["file_path"]].assign(header=headers)
 
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", "*.[cC][sS][vV]").load(folder).select("path", "_metadata.file_path"))
-    return files.mapInPandas(first_record, "path string, file_path string, header array<string>")
+    return files.mapInPandas(first_record, "file_path string, header array<string>")
 
 
-def scan_sales(spark: SparkSession, header: list[str], paths, strict: bool = False) -> DataFrame:
-    """Lots of one header: the required columns as text, and the file."""
-    columns = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    rows = (spark.read.schema(columns).option("header", True).option("enforceSchema", not strict)
-            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]")
-            .option("multiLine", True).option("escape", '"').csv(paths))
-    fields = [F.col(f) if f in header else F.lit(None).cast("string").alias(f)
-              for f in S.REQUIRED_FIELDS["ventes"]]
-    return rows.select(*fields, "_metadata.file_path")
+def scan_by_position(spark: SparkSession, folder: str, columns: int, header: bool, breaks: bool) -> DataFrame:
+    """The first columns of every CSV lot as `_c0`, `_c1`, …, and the file.
+
+    Without ``breaks`` a lot is read by several tasks if it is large, and no record may go over several lines.
+    """
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(columns)])
+    return (spark.read.schema(schema).option("header", header).option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.[cC][sS][vV]").option("multiLine", breaks).option("escape", '"')
+            .csv(folder).select("*", "_metadata.file_path"))
+
+
+def _required(place: Callable[[int], Column]) -> list[Column]:
+    """The required columns, the i-th taken from where `place` has it."""
+    return [place(i).alias(name) for i, name in enumerate(S.REQUIRED_FIELDS["ventes"])]
+
+
+def _taken(places: Column) -> list[Column]:
+    cells = F.array(*(F.col(f"_c{i}") for i in range(WIDEST)))
+    return _required(lambda i: F.get(cells, F.get(places, F.lit(i))))
+
+
+def read_filed_sales(spark: SparkSession, folder: str, breaks: bool = True) -> DataFrame:
+    """All lots that the ingestion has filed, columns taken by name; no file is opened to learn its header.
+
+    A lot in a folder ``disposition=…`` has its columns where the folder says; any other begins with the required columns in their order,
+    and one that does not, laid down by hand, fails the scan. The two kinds are two scans, each of its own files.
+    Say ``breaks=False`` if no lot has records over several lines: lots are then split over tasks.
+    """
+    required = S.REQUIRED_FIELDS["ventes"]
+    other = F.col("file_path").contains("/disposition=")
+    plain = scan_by_position(spark, folder, len(required), False, breaks).where(~other)
+    cells = [F.trim(f"_c{i}") for i in range(len(required))]
+    usual = reduce(and_, [F.coalesce(c == name, F.lit(False)) for c, name in zip(cells, required)])
+    names = sum(F.when(c.isin(*required), 1).otherwise(0) for c in cells)
+    foreign = F.raise_error(F.concat(F.lit("not filed by the ingestion, and its columns are in another order: "), "file_path"))
+    rows = plain.where(F.when(usual, False).when(names * 2 >= len(required), foreign.isNull()).otherwise(True))
+    placed = F.split(F.regexp_extract("file_path", "/disposition=([0-9-]+)/", 1), "-").cast("array<int>")
+    elsewhere = scan_by_position(spark, folder, WIDEST, True, breaks).where(other)
+    return with_origin(rows.select(*_required(lambda i: F.col(f"_c{i}")), "file_path").unionByName(
+        elsewhere.select(*_taken(placed), "file_path")), "file_path")
 
 
 def read_sales(spark: SparkSession, folder: str, by_name: bool = True) -> DataFrame:
-    """All CSV lots, columns taken by name.
+    """All CSV lots of a folder, also those laid down by hand, columns taken by name.
 
-    Spark binds the columns of several CSV files by position. The folder is therefore scanned
-    with the commonest header, without the lots that have another one; those, usually none, are
-    scanned by their paths, which is all the driver learns of them.
+    Spark binds the columns of several CSV files by position. Each lot's header is therefore read by a task and met with its
+    rows in a join by file; the driver learns nothing of the lots. A required column that a lot lacks is null.
 
     Without ``by_name`` no task opens a file by itself: every lot must have the required columns
     in their order, and one that has not fails the scan.
     """
+    required = S.REQUIRED_FIELDS["ventes"]
     if not by_name:
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in required])
         return with_origin(
-            scan_sales(spark, S.REQUIRED_FIELDS["ventes"], folder, strict=True), "file_path")
-    headers = csv_headers(spark, folder).where(F.size("header") > 0)
-    layouts = headers.groupBy("header").count().orderBy(F.desc("count"), "header").collect()
-    if len(layouts) <= 1:
-        header = layouts[0].header if layouts else S.REQUIRED_FIELDS["ventes"]
-        return with_origin(scan_sales(spark, header, folder), "file_path")
-    odd: dict[tuple, list] = {}
-    for lot in headers.where(F.col("header") != F.lit(layouts[0].header)).toLocalIterator():
-        odd.setdefault(tuple(lot.header), []).append(lot)
-    elsewhere = [lot.file_path for lots in odd.values() for lot in lots]
-    scans = [scan_sales(spark, layouts[0].header, folder).where(~F.col("file_path").isin(elsewhere))]
-    scans += [scan_sales(spark, list(header), [literal_path(lot.path) for lot in lots])
-              for header, lots in odd.items()]
-    return with_origin(all_of(scans), "file_path")
+            spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]")
+            .option("multiLine", True).option("escape", '"').csv(folder).select("*", "_metadata.file_path"), "file_path")
+    places = F.array(*(F.nullif(F.array_position("header", name) - 1, F.lit(-1)).cast("int") for name in required))
+    headers = csv_headers(spark, folder).where(F.size("header") > 0).select("file_path", places.alias("places"))
+    rows = lookup(scan_by_position(spark, folder, WIDEST, True, True), headers, "file_path", "inner")
+    return with_origin(rows.select(*_taken(F.col("places")), "file_path"), "file_path")
 
 
 def read_customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -115,16 +137,17 @@ def read_stores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 READERS = {
-    "ventes": read_sales,
+    "ventes": read_filed_sales,
     "clients": read_customers,
     "produits": read_products,
     "magasins": read_stores,
 }
 
 
-def read_raw(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
-    """The four sources by name, each from its folder of the raw zone."""
-    return {source: reader(spark, f"{raw}/{source}") for source, reader in READERS.items()}
+def read_raw(spark: SparkSession, raw: str, breaks: bool = True) -> dict[str, DataFrame]:
+    """The four sources by name, each from its folder of the raw zone. `breaks`: see `read_filed_sales`."""
+    own = {"ventes": {"breaks": breaks}}
+    return {source: reader(spark, f"{raw}/{source}", **own.get(source, {})) for source, reader in READERS.items()}
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

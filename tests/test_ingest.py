@@ -78,10 +78,11 @@ def test_damage_has_one_reason_however_it_is_read(monkeypatch, size):
     from comptoir.operators import control
     monkeypatch.setattr(control, "CHUNK", size)
     content = "é,b\n".encode() * 20 + b"x\xe9y\n"
-    assert control._inspect(io.BytesIO(content), ".csv") == (None, None, (
+    assert control._inspect(io.BytesIO(content), ".csv")[:3] == (None, None, (
         "fichier corrompu ou format illisible (UnicodeDecodeError: 'utf-8' codec can't decode byte 0xe9 "
         "in position 101: invalid continuation byte)"))
-    fields, rows, defect = control._inspect(io.BytesIO("\ufeffa,b\r\n1,\"x\ny\"\n2,é".encode()), ".csv")
+    fields, rows, defect, layout, breaks = control._inspect(io.BytesIO("\ufeffa,b\r\n1,\"x\ny\"\n2,é".encode()), ".csv")
+    assert layout is None and breaks
     assert (fields, rows, defect) == (["a", "b"], 2, None)
 
 
