@@ -173,7 +173,17 @@ SELECT o.* EXCLUDE (range_en), CASE WHEN EXISTS (SELECT 1 FROM o x WHERE x.tour
   CASE o.tour WHEN 1 THEN '{AT[0]}' ELSE '{AT[1]}' END AS date
 FROM o"""
 
+_LAID = f"""
+SELECT source, fichier, CAST(octet_length(contenu) AS BIGINT) AS taille, starts_with(fichier, 'copie') AS en_zone
+FROM ({landed_sql()}) WHERE tour = 1 OR starts_with(fichier, 'copie')"""
+
 ORACLE = {
+    "inventory_of_files": f"""
+SELECT 'raw' AS zone, CASE WHEN en_zone THEN '(racine)' ELSE source END AS source, count(*) AS objets,
+  CAST(sum(taille) AS BIGINT) AS octets FROM ({_LAID}) GROUP BY 1, 2""",
+    "object_metadata": f"""
+SELECT CASE WHEN en_zone THEN 'raw/' || fichier ELSE 'raw/' || source || '/ingest_date=2026-10-02/' || fichier END AS cle,
+  taille, TRUE AS recent FROM ({_LAID})""",
     "ingest_second_run": f"""
 SELECT source, fichier, sha256, taille, lignes, statut, motif, destination, rangement FROM ({OUTCOMES}) WHERE tour = 2""",
     "ingest_known_contents": f"""

@@ -301,6 +301,7 @@ FROM (SELECT *, length(fichier) AS octets_nom FROM fichiers) GROUP BY 1, 2""", [
     "typed_events": (TYPED, ["messages"]),
     "offset_ranges": (STATISTICS, ["messages"]),
     "stream_revenue": (both_axes(TYPED), ["messages"]),
+    "stream_restart": (both_axes(TYPED), ["messages"]),
     "stream_valid_events": (TYPED, ["messages"]),
     "stream_rejected_events": (f'SELECT message, partition, "offset" FROM ({JUDGED}) WHERE NOT conforme',
                                ["messages"]),

@@ -18,13 +18,13 @@ from comptoir.operators.revenue import revenue_by
 from comptoir.plans.batch import CURATED, has_breaks, run_batch
 from comptoir.schemas import KEYS
 from comptoir.session import work_folder
-from comptoir.sinks import replace_table
+from comptoir.sinks import replace_table, write_new
 from comptoir.sources import lots
-from comptoir.sources.inventory import data_line_counts, lake_inventory
+from comptoir.sources.inventory import data_line_counts, lake_inventory, list_objects
 from comptoir.sources.messages import file_messages
 from comptoir.sources.workbook import workbook_rows
 from comptoir.streaming import events
-from comptoir.streaming.job import AVAILABLE_NOW, read_history, start_sales_stream
+from comptoir.streaming.job import AVAILABLE_NOW, read_history, read_revenue, start_sales_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -49,8 +49,10 @@ def matched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def priced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Usable sales as revenue needs them: the customer adds nothing and is not joined."""
-    sales, products, stores = (
-        cleaning.CLEANERS[name](source(spark, sf_dir, name)) for name in ("ventes", "produits", "magasins"))
+    sales = cleaning.clean_sales(source(spark, sf_dir, "ventes"))
+    # no file has a product or a store twice, so no other column need decide
+    products = cleaning.clean_products(source(spark, sf_dir, "produits"), ties=())
+    stores = cleaning.clean_stores(source(spark, sf_dir, "magasins"), ties=())
     joined = lookup(lookup(sales, products, "id_produit"), stores, "id_magasin")
     return (enrichment.fill_references(joined).where(enrichment.usable())
             .withColumn("montant", enrichment.amount()))
@@ -230,7 +232,7 @@ def arrived(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     findings = f"{work_folder(spark)}/controles"
-    replace_table(control.control_files(arrived(spark, sf_dir)), findings)
+    write_new(control.control_files(arrived(spark, sf_dir)), findings)
     nothing = spark.createDataFrame([], f"{ingestion.MANIFEST_SCHEMA}, rangement string")
     return ingestion.decide(spark.read.parquet(findings), nothing, nothing, nothing, AT)
 
@@ -305,6 +307,27 @@ def ingest_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.join(read, "source", "full")
 
 
+def laid_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing of a lake with the landed lots in it: empty ones and underscore names too, copies directly in the zone."""
+    lake = work_folder(spark)
+    place = F.when(F.col("fichier").startswith("copie"), F.lit("raw")).otherwise(
+        F.concat(F.lit("raw/"), "source", F.lit("/ingest_date=2026-10-02")))
+    landing.arrive(landing.landed(spark, sf_dir).where("tour = 1 OR fichier LIKE 'copie%'").withColumn("source", place), lake)
+    return list_objects(spark, lake, levels=3)
+
+
+@query
+def inventory_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lake_inventory(laid_down(spark, sf_dir))
+
+
+@query
+def object_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key and size of every object, and whether its modification lies in this run."""
+    recent = F.col("modifie_le").between(F.current_timestamp() - F.expr("INTERVAL 1 DAY"), F.current_timestamp() + F.expr("INTERVAL 1 DAY"))
+    return laid_down(spark, sf_dir).select("cle", "taille", recent.alias("recent"))
+
+
 REGISTRY["lake_inventory"] = lambda spark, sf_dir: lake_inventory(arrived(spark, sf_dir).select(
     F.when(F.length("fichier") > 19, F.concat_ws("/", F.lit("raw"), "source", "fichier"))
     .otherwise(F.concat_ws("/", F.lit("raw"), "fichier")).alias("cle"), "taille"))
@@ -363,7 +386,32 @@ def offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return both_axes(spark, f"{streamed(spark, sf_dir)}/curated/streaming")
+    return revenue_axes(spark, streamed(spark, sf_dir))
+
+
+def revenue_axes(spark: SparkSession, lake: str) -> DataFrame:
+    return all_of([read_revenue(spark, lake, name).select(
+        F.lit(name).alias("axe"), F.col(key).alias("cle"), "nb_ventes", "quantite_totale", "chiffre_affaires")
+        for name, key in CURATED.items()])
+
+
+@query
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue of a stream that ran on its trigger over a part of the messages, was stopped, and started again from its
+    checkpoint when the others had come."""
+    folder = work_folder(spark)
+    sent = messages(spark, sf_dir)
+    for part in (0, 1):
+        sent.where((F.col("offset") % 3 == 0) == (part == 0)).write.mode("append").parquet(f"{folder}/messages")
+        trigger = {"processingTime": "1 second"} if part == 0 else AVAILABLE_NOW
+        stream = start_sales_stream(file_messages(spark, f"{folder}/messages"), f"{folder}/lake", f"{folder}/checkpoint", trigger)
+        if part == 0:
+            for started in (stream.batches, stream.revenue):
+                started.processAllAvailable()
+            stream.stop()
+        else:
+            stream.wait()
+    return revenue_axes(spark, f"{folder}/lake")
 
 
 @query

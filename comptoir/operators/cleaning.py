@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +46,8 @@ def label_sales(sales: DataFrame) -> DataFrame:
     ]))
 
 
-def clean_sales(rows: DataFrame) -> DataFrame:
-    return label_sales(type_sales(latest_version(rows, "id_vente")))
+def clean_sales(rows: DataFrame, ties: Sequence[str] | None = None) -> DataFrame:
+    return label_sales(type_sales(latest_version(rows, "id_vente", ties)))
 
 
 def type_customers(rows: DataFrame) -> DataFrame:
@@ -78,16 +80,16 @@ def type_stores(rows: DataFrame) -> DataFrame:
 # A dimension is unique by identifier once it is versioned: versions are grouped by exactly the
 # identifier that is output, so a second de-duplication would only add a shuffle.
 
-def clean_customers(rows: DataFrame) -> DataFrame:
-    return type_customers(latest_version(rows, "id_client"))
+def clean_customers(rows: DataFrame, ties: Sequence[str] | None = None) -> DataFrame:
+    return type_customers(latest_version(rows, "id_client", ties))
 
 
-def clean_products(rows: DataFrame) -> DataFrame:
-    return type_products(latest_version(rows, "id_produit"))
+def clean_products(rows: DataFrame, ties: Sequence[str] | None = None) -> DataFrame:
+    return type_products(latest_version(rows, "id_produit", ties))
 
 
-def clean_stores(rows: DataFrame) -> DataFrame:
-    return type_stores(latest_version(rows, "id_magasin"))
+def clean_stores(rows: DataFrame, ties: Sequence[str] | None = None) -> DataFrame:
+    return type_stores(latest_version(rows, "id_magasin", ties))
 
 
 CLEANERS = {

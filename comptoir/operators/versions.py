@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,16 +11,17 @@ from comptoir.functions import identifier
 from comptoir.schemas import INGEST_DATE, SOURCE_FILE
 
 
-def latest_version(rows: DataFrame, key: str) -> DataFrame:
+def latest_version(rows: DataFrame, key: str, ties: Sequence[str] | None = None) -> DataFrame:
     """Keep the whole row of the most recently ingested lot for every identifier.
 
     Identifiers are compared without case and surrounding spaces, and rows without one form a
-    single group. Inside one file the remaining columns decide, so that a re-run task picks the
-    same row. The rank filter becomes a group limit in front of the shuffle: however many
+    single group. Inside one file the columns `ties` decide, the greatest value first, by default all that remain, so that a
+    re-run task picks the same row. Name only what tells rows apart (nothing, if no file has two rows of an
+    identifier): columns that neither decide nor are used later are not read. The rank filter becomes a group limit in front of the shuffle: however many
     versions a hot identifier has, each task sends one row of it.
     """
     recency = [INGEST_DATE, SOURCE_FILE]
-    tie_breakers = [name for name in rows.columns if name not in recency]
+    tie_breakers = [name for name in (rows.columns if ties is None else ties) if name not in recency]
     newest_first = Window.partitionBy(identifier(key)).orderBy(
         *[F.col(name).desc_nulls_last() for name in recency + tie_breakers])
     return (rows.select("*", F.row_number().over(newest_first).alias("_version"))

@@ -15,7 +15,7 @@ from comptoir.operators import control, ingestion
 from comptoir.operators.joins import all_of
 from comptoir.schemas import EXTENSIONS
 from comptoir.session import exists, qualified
-from comptoir.sinks import keys, replace_partition, replace_table, run
+from comptoir.sinks import keys, replace_partition, run, write_new
 from comptoir.sources.files import copy_file
 from comptoir.sources.inventory import list_folders, list_objects
 from comptoir.sources.landing import LISTED, landing_files, spread
@@ -142,19 +142,19 @@ def ingest(spark: SparkSession, landing: str, lake: str, at: datetime | None = N
     lot = f"{moment:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"  # runs may share their moment
     runs = recorded_runs(spark, lake)
     listing = f"{lake}/_ingestion/listes/lot={lot}"
-    replace_table(landing_files(spark, landing), listing)
+    write_new(landing_files(spark, landing), listing)
     table = keys.key_table(spark, lake)
     files = pending_files(spark.read.schema(LISTED).parquet(listing), table, runs)
 
     findings = f"{lake}/_ingestion/controles/lot={lot}"
-    replace_table(control.control_files(spread(files)), findings)
+    write_new(control.control_files(spread(files)), findings)
     controlled = spark.read.parquet(findings)
 
     taken = taken_keys(spark, lake, f"{moment:%Y-%m-%d}", runs)
     decided = ingestion.decide(controlled, known_contents(controlled, table, runs), taken,
                                names_filed(controlled, table, runs), moment.strftime("%Y-%m-%d %H:%M:%S"))
     decisions = f"{lake}/_ingestion/decisions/lot={lot}"
-    replace_table(decided, decisions)
+    write_new(decided, decisions)
     outcome = spark.read.parquet(decisions).withColumn("lot", F.lit(lot))
 
     accepted = outcome.where(F.col("statut") == ingestion.SUCCESS)

@@ -24,6 +24,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return filesystem.makeQualified(hadoop_path).toString()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """A folder and all that is in it; nothing if it is not there."""
+    filesystem, hadoop_path = _located(spark, path)
+    filesystem.delete(hadoop_path, True)
+
+
 def work_folder(spark: SparkSession) -> str:
     """New folder for intermediate tables, in the shared folder the cluster names.
 

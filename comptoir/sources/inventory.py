@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import batched
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from comptoir.session import work_folder
+from comptoir.sinks import write_new
 from comptoir.sources.files import tree
 
 BATCH_ROWS = 10_000
@@ -17,11 +20,12 @@ BATCH_ROWS = 10_000
 ROOT_SOURCE = "(racine)"
 
 
-def list_objects(spark: SparkSession, lake: str) -> DataFrame:
+def list_objects(spark: SparkSession, lake: str, levels: int = 1) -> DataFrame:
     """(cle, taille, modifie_le) of every object under the lake, keys relative to it.
 
-    Empty objects and names with an underscore count too, which Spark's own listing leaves out. One
-    task lists the first level, and one each of the folders there.
+    Empty objects and names with an underscore count too, which Spark's own listing leaves out. The first
+    `levels` are listed level by level, the folders of a level dealt evenly over tasks, and then each folder that is left with all
+    below it by one task: with enough levels a zone with nearly all objects is listed by many.
     """
     schema = "cle string, taille bigint, modifie_le bigint"
 
@@ -32,10 +36,19 @@ def list_objects(spark: SparkSession, lake: str) -> DataFrame:
                 for rows in batched(found, BATCH_ROWS):
                     yield pd.DataFrame(rows, columns=["cle", "taille", "modifie_le"]).astype({"taille": "Int64"})
 
-    first = spark.createDataFrame([("",)], "cle string").mapInPandas(lambda b: listed(b, 1), schema)
-    folders = first.where("taille is null").select(F.concat("cle", F.lit("/")).alias("cle"))
-    below = folders.repartition("cle").mapInPandas(lambda b: listed(b, None), schema)
-    return first.where("taille is not null").unionByName(below).withColumn("modifie_le", F.timestamp_micros("modifie_le"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folders, files = spark.createDataFrame([("",)], "cle string"), []
+    for level in range(levels):
+        found = folders.mapInPandas(lambda b: listed(b, 1), schema)
+        if levels > 1:  # each level is listed once
+            path = f"{work_folder(spark)}/niveau={level}"
+            write_new(found, path)
+            found = spark.read.schema(schema).parquet(path)
+        files.append(found.where("taille is not null"))
+        folders = found.where("taille is null").select(F.concat("cle", F.lit("/")).alias("cle"))
+        folders = folders.repartition(tasks) if levels > 1 else folders.repartition("cle")
+    files.append(folders.mapInPandas(lambda b: listed(b, None), schema))
+    return reduce(DataFrame.unionByName, files).withColumn("modifie_le", F.timestamp_micros("modifie_le"))
 
 
 def list_folders(spark: SparkSession, path: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from comptoir import schemas as S
 from comptoir.operators.control import WIDEST
 from comptoir.operators.joins import lookup
+from comptoir.sinks import read_table
 from comptoir.sources.files import open_input
 from comptoir.sources.workbook import workbook_rows
 
@@ -150,5 +151,4 @@ def read_raw(spark: SparkSession, raw: str, breaks: bool = True) -> dict[str, Da
     return {source: reader(spark, f"{raw}/{source}", **own.get(source, {})) for source, reader in READERS.items()}
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+__all__ = ["read_customers", "read_filed_sales", "read_products", "read_raw", "read_sales", "read_stores", "read_table"]

@@ -1,8 +1,8 @@
 """The streaming job: raw log, rejects, valid events and cumulative revenue.
 
 Two queries over one stream, each with its own checkpoint. The first writes what every
-micro-batch holds; the second keeps the revenue per city and category as state, so a micro-batch
-costs what it brings and not what the history holds.
+micro-batch holds; the second keeps the revenue per city and category as state and writes the keys that changed, so
+a micro-batch costs what it brings and not what the history holds.
 """
 
 from __future__ import annotations
@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from comptoir.operators.revenue import revenue_by, revenue_by_axes
-from comptoir.plans.batch import CURATED, write_curated
+from comptoir.operators.revenue import MEASURES, revenue_by, revenue_by_axes
+from comptoir.plans.batch import CURATED
 from comptoir.session import exists
-from comptoir.sinks import replace_partition
+from comptoir.sinks import read_keyed, replace_partition, upsert
 from comptoir.streaming import events
 
 EVERY_20_SECONDS = {"processingTime": "20 seconds"}
 AVAILABLE_NOW = {"availableNow": True}
+#: Rows of a file, at most on average.
+FILE_ROWS = 1_000_000
 RAW_COLUMNS = ["message", "partition", "offset", "kafka_timestamp"]
 HISTORY_SCHEMA = (
     "partition int, offset bigint, schema_version int, id_vente string, horodatage timestamp, "
@@ -32,26 +34,50 @@ HISTORY_SCHEMA = (
 def write_batch(messages: DataFrame, batch_id: int, lake: str) -> None:
     """Write one micro-batch; writing it again replaces its own partitions and nothing else.
 
-    Messages are fetched and parsed once for the four outputs. Rebalancing joins the crumbs of
-    many source partitions to files of a sensible size.
+    Messages are fetched and parsed once for the four outputs. The statistics come first: they fill the cache, tell whether there is
+    anything to write, and how many files of a sensible size that makes. No output is shuffled.
     """
     judged = events.judge_events(messages).persist()
     try:
-        if judged.isEmpty():
-            return
-        outputs = {
-            "raw/ventes_stream": (judged.select(*RAW_COLUMNS), "json"),
-            "raw/rejets_stream": (events.rejected_events(judged), "json"),
-            "processed/ventes_stream": (events.typed_events(events.valid_events(judged)), "parquet"),
-            "processed/statistiques_stream": (events.batch_statistics(judged), "parquet"),
-        }
-        for table, (rows, file_format) in outputs.items():
-            replace_partition(rows.hint("rebalance").withColumn("micro_batch", F.lit(batch_id)),
-                              f"{lake}/{table}", "micro_batch", file_format)
+        statistics = events.batch_statistics(judged)
+        counted = statistics.collect()  # a row per partition of the topic
+        outputs = [
+            ("raw/ventes_stream", judged.select(*RAW_COLUMNS), "json", "recus"),
+            ("raw/rejets_stream", events.rejected_events(judged), "json", "rejetes"),
+            ("processed/ventes_stream", events.typed_events(events.valid_events(judged)), "parquet", "valides"),
+        ]
+        if counted:
+            outputs.append(("processed/statistiques_stream", judged.sparkSession.createDataFrame(
+                counted, statistics.schema), "parquet", None))
+        for table, rows, file_format, count in outputs:
+            held = sum(r[count] for r in counted) if count else 1
+            if held:
+                replace_partition(rows.coalesce(-(-held // FILE_ROWS)).withColumn("micro_batch", F.lit(batch_id)),
+                                  f"{lake}/{table}", "micro_batch", file_format)
     finally:
         judged.unpersist()
 
 
+def write_revenue(changed: DataFrame, lake: str) -> None:
+    """New totals of the keys that a micro-batch has changed, into the table of each axis."""
+    changed = changed.persist()
+    try:
+        for table, key in CURATED.items():
+            upsert(changed.where(F.col("axe") == table).select(F.col("cle").alias(key), *MEASURES),
+                   f"{lake}/curated/streaming/{table}", key, revenue_schema(key))
+    finally:
+        changed.unpersist()
+
+
+def revenue_schema(key: str) -> str:
+    return f"{key} string, nb_ventes bigint, quantite_totale bigint, chiffre_affaires double"
+
+
+def read_revenue(spark: SparkSession, lake: str, table: str) -> DataFrame:
+    """Cumulative revenue of one axis as of the last micro-batch."""
+    return read_keyed(spark, f"{lake}/curated/streaming/{table}", revenue_schema(CURATED[table]))
+
+
 def cumulative_revenue(messages: DataFrame) -> DataFrame:
     """Revenue by city and by category in one aggregation, one state store."""
     typed = events.typed_events(events.valid_events(events.judge_events(messages)))
@@ -93,8 +119,8 @@ def start_sales_stream(messages: DataFrame, lake: str, checkpoint: str,
                .foreachBatch(lambda rows, batch_id: write_batch(rows, batch_id, lake))
                .option("checkpointLocation", f"{checkpoint}/lots").trigger(**every).start())
     revenue = (cumulative_revenue(messages).writeStream.queryName("ventes_cumul")
-               .outputMode("complete")
-               .foreachBatch(lambda rows, _: write_curated(rows, f"{lake}/curated/streaming"))
+               .outputMode("update")
+               .foreachBatch(lambda rows, _: write_revenue(rows, lake))
                .option("checkpointLocation", f"{checkpoint}/cumul").trigger(**every).start())
     return SalesStream(batches, revenue)
 

@@ -11,6 +11,7 @@ from comptoir.streaming import events
 from comptoir.streaming.job import (
     AVAILABLE_NOW,
     read_history,
+    read_revenue,
     revenue_from_history,
     start_sales_stream,
     write_batch,
@@ -89,7 +90,7 @@ def run(spark, root):
 
 def curated(spark, root, name):
     return {row[0]: tuple(row)[1:]
-            for row in spark.read.parquet(f"{root}/lake/curated/streaming/{name}").collect()}
+            for row in read_revenue(spark, f"{root}/lake", name).collect()}
 
 
 def test_batches_restart_and_cumulative_revenue(spark, tmp_path):
