@@ -1,6 +1,6 @@
 """Secret scans: fixed patterns, and a randomness test battery with false-discovery control.
 
-A token is a run of characters that encodings use, with digits and letters in it. Its encoding is
+A token is a run of characters that encodings use, unless it looks like a word or a number. Its encoding is
 inferred from the characters it has. Three tests ask whether its symbols could be drawn evenly
 and independently from that alphabet: chi-squared over cells of the alphabet, runs above and below
 its middle, and lag-one serial correlation; Fisher's method makes one p-value of them. Random
@@ -11,6 +11,7 @@ A class too sparse to tell has a fixed threshold, by the law of random tokens al
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -43,23 +44,25 @@ ENCODINGS = (("hex", "0123456789abcdef"), ("HEX", "0123456789ABCDEF"),
              ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
              ("BASE36", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
              ("base36", "0123456789abcdefghijklmnopqrstuvwxyz"),
+             ("base52", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
              ("base62", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
              ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
              ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"))
 #: Upper ends of the classes of length.
 LENGTHS = (20, 24, 32, 48, 64, 128)
 BINS = 100
-#: Share of false discoveries, and distinct tokens that a class needs to tell.
-FALSE_SHARE, CLASS_LEAST = 0.05, 20
-#: Threshold of classes that cannot tell: p-values of random tokens are even, so as many of them are missed.
-SPARSE = 0.05
+#: Share of false discoveries. Each class counts as if it had PRIOR random tokens besides its own; no threshold is under LEAST
+#: (p-values of random tokens are even, so at least that share of them is missed).
+FALSE_SHARE, PRIOR, LEAST = 0.05, 60, 0.05
+#: Rises from a small to a capital letter that a token of letters alone needs: names have one or two, words none.
+RISES = 3
 
 _HEX = np.zeros(256, bool)
 _HEX[list(b"0123456789abcdef")] = True
 _TOKEN = np.zeros(256, bool)
 _TOKEN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] = True
-_DIGIT = np.zeros(256, bool)
-_DIGIT[48:58] = True
+_DIGIT, _SMALL, _CAPITAL = (np.zeros(256, bool) for _ in range(3))
+_DIGIT[48:58] = _SMALL[97:123] = _CAPITAL[65:91] = True
 
 
 def _chi_tail(x: float, df: float) -> float:
@@ -73,9 +76,14 @@ def _two_sided(z: float) -> float:
 
 
 def encoding(token: str) -> int | None:
-    """Place in ENCODINGS of the narrowest alphabet that holds the token; None without a digit or a letter."""
+    """Place in ENCODINGS of the narrowest alphabet that holds the token; None for what looks like a word or a number.
+
+    A token needs a letter, and a digit or RISES rises from a small to a capital letter.
+    """
     body = token.rstrip("=")
-    if not any(c.isdigit() for c in body) or not any(c.isalpha() for c in body):
+    digits = any(c.isdigit() for c in body)
+    if not any(c.isalpha() for c in body) or not digits and sum(
+            a.islower() and b.isupper() for a, b in itertools.pairwise(body)) < RISES:
         return None
     have = set(body)
     return next((i for i, (_, symbols) in enumerate(ENCODINGS) if have <= set(symbols)), None)
@@ -127,7 +135,9 @@ def _rows(texts: pa.Array) -> Iterator[tuple[int, bool, bool]]:
         starts, ends, rows = words.spans(data, offsets, _TOKEN)
         long = ends - starts >= TOKEN_LEAST - 2
         digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
-        tokens = set(rows[long][digits[ends[long]] > digits[starts[long]]].tolist())
+        rises = np.concatenate([[0, 0], np.cumsum(_SMALL[data[:-1]] & _CAPITAL[data[1:]])])
+        begin, end = starts[long], ends[long]
+        tokens = set(rows[long][(digits[end] > digits[begin]) | (rises[end] - rises[begin + 1] >= RISES)].tolist())
         for row in sorted(base | tokens):
             yield first + row, row in base, row in tokens
 
@@ -151,17 +161,27 @@ def tokens(text: str) -> Iterator[tuple[int, int, int, float]]:
 
 def random_spans(text: str, limits: dict[int, float], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of random tokens that no base span already covers."""
-    return [(start, 3, end) for start, end, group, p in tokens(text) if p >= limits.get(group, SPARSE)
+    return [(start, 3, end) for start, end, group, p in tokens(text) if p >= limits.get(group, LEAST)
             and not any(a <= start and end <= b for a, _, b in base)]
 
 
+def threshold(histogram: np.ndarray, share: float = FALSE_SHARE) -> float:
+    """Least p-value of a discovery in a class whose tokens' p-values have this histogram."""
+    rest = 1 - np.arange(BINS) / BINS
+    above = histogram[::-1].cumsum()[::-1]
+    false = above - 2 * above[BINS // 2] * rest - 2 * np.sqrt(above + 1)
+    fit = np.flatnonzero((false <= share * (above + PRIOR * rest)) & (np.arange(BINS) >= LEAST * BINS))
+    return float(fit[0] / BINS)
+
+
 def thresholds(docs: DataFrame, text: str = "text", share: float = FALSE_SHARE) -> dict[int, float]:
     """Least p-value of a discovery, by class of encoding and length.
 
     Counts every distinct token of all texts once. Of the tokens above a threshold t, random ones are
-    (1 - t) times those in the whole class, which are twice those above 1/2; what exceeds that is
-    false. A class without a threshold that keeps the share discovers nothing; one with fewer than
-    CLASS_LEAST tokens is not listed, its threshold is SPARSE. What is collected is a histogram of fixed size.
+    (1 - t) times those in the whole class, which are twice those above 1/2; what exceeds that by more than twice its
+    own deviation is false. The threshold is the least one from LEAST on that keeps the share of the false among the tokens above it, those of
+    the PRIOR included: one rule for classes of every size, a class without tokens among them. It never exceeds 1/2. What is
+    collected is a histogram of fixed size.
     """
 
     def seen(batches):
@@ -182,12 +202,7 @@ def thresholds(docs: DataFrame, text: str = "text", share: float = FALSE_SHARE)
         counts.setdefault(kind, np.zeros(BINS))[place] = n
     out = {}
     for kind, histogram in counts.items():
-        above = histogram[::-1].cumsum()[::-1]
-        even = 2 * above[BINS // 2] * (1 - np.arange(BINS) / BINS)
-        false = np.maximum(above - even, 0) / np.maximum(above, 1)
-        fit = np.flatnonzero((false <= share) & (above > 0))
-        if histogram.sum() >= CLASS_LEAST:
-            out[kind] = float(fit[0] / BINS) if len(fit) else math.inf
+        out[kind] = threshold(histogram, share)
     return out
 
 

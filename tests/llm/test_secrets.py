@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from comptoir.llm import secrets
@@ -105,3 +106,42 @@ def test_sparse_classes_are_tested(spark):
     at = found.index(True)
     assert [len(r.spans) for r in secrets.scan(docs(spark, [f"see {keys[at]} here"])).collect()] == [1]
     assert secrets.redact(docs(spark, [f"see {keys[at]} here"])).first().text == "see [SECRET] here"
+
+
+def test_one_decision_whatever_else_there_is(spark):
+    """A key is decided alike with none, some or many other tokens of its class, random ones or regular ones."""
+    rng = random.Random(11)
+    symbols = dict(secrets.ENCODINGS)["base62"]
+    drawn = [random_token(rng, symbols, 40) for _ in range(400)]
+    p = {k: secrets.randomness(k, symbols) for k in drawn}
+    keys = [min(drawn, key=lambda k, t=t: abs(p[k] - t)) for t in (0.1, 0.2, 0.42, 0.7)]
+    regular = [f"{chr(97 + i % 26)}{i % 10}A" * 12 + f"{i:04d}" for i in range(200)]
+    assert all(secrets.encoding(x) == secrets.encoding(keys[0]) for x in regular)
+    others = {"random": [k for k in drawn if k not in keys], "regular": regular}
+    for kind, rest in others.items():
+        for n in (0, 18, 19, 20, 25, 200):
+            texts = [f"see {k} here" for k in keys + rest[:n]]
+            found = [len(r.spans) for r in secrets.scan(docs(spark, texts)).orderBy("doc_id").limit(len(keys)).collect()]
+            assert found == [1] * len(keys), (kind, n)
+
+
+def test_threshold_rises_with_what_is_false():
+    even = np.full(secrets.BINS, 10.0)
+    assert secrets.threshold(np.zeros(secrets.BINS)) == secrets.threshold(even) == secrets.LEAST
+    low = even.copy()
+    low[5:20] += 40  # far more between 0.05 and 0.2 than random tokens would have
+    assert 0.15 <= secrets.threshold(low) <= 0.25
+    steps = [secrets.threshold(np.where(np.arange(secrets.BINS) < 30, n, 0.0)) for n in range(60)]
+    assert steps == sorted(steps) and max(steps) <= 0.5
+
+
+@pytest.mark.parametrize(("name", "n", "most"), [("base62", 16, 0.02), ("base62", 20, 0.01), ("base64", 16, 0.03), ("base36", 16, 0.01),
+                                                ("hex", 16, 0.01), ("base32", 16, 0.08)])
+def test_few_random_tokens_look_like_words(name, n, most):
+    """The share of random tokens that have neither a digit nor enough rises, and are not tested."""
+    rng = random.Random(5)
+    symbols = dict(secrets.ENCODINGS)[name]
+    drawn = [random_token(rng, symbols, n) for _ in range(20_000)]
+    assert sum(secrets.encoding(k) is None for k in drawn) / len(drawn) < most
+    for word in ("internationalization", "Donaudampfschifffahrt", "THELONGESTWORDINCAPITALS", "some_snake_case_name_x"):
+        assert secrets.encoding(word) is None
