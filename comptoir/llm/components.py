@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from comptoir.llm.shared import checkpointed
+from comptoir.operators.joins import lookup
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -40,4 +41,4 @@ def components(links: DataFrame) -> DataFrame:
         then = later.select(F.col("node").alias("component"), "to")
         out = out.join(then, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
     least = out.groupBy("component").agg(F.min("node").alias("least"))
-    return out.join(least, "component").select("node", F.col("least").alias("component"))
+    return lookup(out, least, "component", "inner").select("node", F.col("least").alias("component"))

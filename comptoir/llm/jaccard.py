@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from comptoir.llm import words
 from comptoir.llm.components import components
-from comptoir.llm.shared import stored
+from comptoir.llm.shared import free_name, stored
+from comptoir.operators.joins import lookup
 
 #: Groups up to this size are compared pair by pair.
 SMALL_GROUP = 3
@@ -33,12 +34,11 @@ SMALL_GROUP = 3
 GROUP_ROWS = 1_000_000
 #: Rows of a part of a large group, on average, and rows that are compared with each other at once.
 PART_ROWS, BLOCK = 4096, 1024
-_LOW48 = np.uint64((1 << 48) - 1)
 
 
 def sets_of(data: np.ndarray, offsets: np.ndarray, hasher: words.Hasher, size: int = 5
             ) -> tuple[np.ndarray, np.ndarray]:
-    """Features (48 bits) of all rows in order of row and value, each once, and how many each row has."""
+    """Features (64 bits) of all rows in order of row and value, each once, and how many each row has."""
     n = len(offsets) - 1
     starts, ends, row = words.spans(data, offsets, ~words.SPACE)
     keys = hasher.spans(data, starts, ends, words.LOWER)
@@ -52,8 +52,14 @@ def sets_of(data: np.ndarray, offsets: np.ndarray, hasher: words.Hasher, size: i
             whole, begin = words.windows(keys, row, k)
             shingles = np.concatenate([shingles, whole[np.searchsorted(begin, at)] + np.uint64(k)])
             owner = np.concatenate([owner, rows])
-    packed = np.unique((owner.astype(np.uint64) << np.uint64(48)) | (words.mix(shingles) & _LOW48))
-    return packed & _LOW48, np.bincount((packed >> np.uint64(48)).astype(np.int64), minlength=n)
+    feature = words.mix(shingles)
+    order = np.argsort(feature)
+    # a chunk has no more rows than 16 bits count, and these are sorted by their digits
+    order = order[np.argsort(owner[order].astype(np.uint16 if n <= 1 << 16 else np.int64), kind="stable")]
+    feature, owner = feature[order], owner[order]
+    first = np.ones(len(feature), bool)
+    first[1:] = (feature[1:] != feature[:-1]) | (owner[1:] != owner[:-1])
+    return feature[first], np.bincount(owner[first], minlength=n)
 
 
 class Scheme:
@@ -197,7 +203,7 @@ def join(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_id",
     """`doc_id, n_shingles, component_id` of every row: see `classes`."""
     placed = classes(docs, percent, size, key, text)
     least = placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
-    return placed.join(least, "component", "left").select(
+    return lookup(placed, least, "component").select(
         "doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
@@ -209,9 +215,10 @@ def representatives(docs: DataFrame, percent: int = 80, size: int = 5, key: str
     placed = classes(docs, percent, size, key, text).where("component is not null")
     order = F.struct(F.col("doc_id").isNull().alias("no_key"), "doc_id", "node")
     least = placed.groupBy("component").agg(F.min(order)["node"].alias("stays"))
-    gone = placed.join(least, "component").where("node <> stays").select(F.col("node").alias("__node"))
-    numbered = docs.withColumn("__node", F.monotonically_increasing_id())
-    return numbered.join(gone, "__node", "left_anti").drop("__node")
+    own = free_name(docs, "node")
+    gone = lookup(placed, least, "component", "inner").where("node <> stays").select(F.col("node").alias(own))
+    numbered = docs.withColumn(own, F.monotonically_increasing_id())
+    return numbered.join(gone, own, "left_anti").drop(own)
 
 
 def classes(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -223,7 +230,7 @@ def classes(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_i
     Repeated keys are rows of their own; null keys count for no minimum. Other columns are not read.
     `docs` is read several times and must give the same rows in the same order, as a stored table does.
 
-    Features are told apart by 48-bit fingerprints within a pair. Signatures, memberships of groups,
+    Features are told apart by 64-bit fingerprints within a pair. Signatures, memberships of groups,
     candidate pairs and components stay distributed; sets are shuffled for candidates alone.
     """
     spark = docs.sparkSession

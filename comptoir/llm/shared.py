@@ -38,6 +38,14 @@ def widened(frame: DataFrame, function, added: str = "") -> DataFrame:
     return out.toDF(*frame.columns, *(f.name for f in more))
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """The name, or one like it that no column of the frame has."""
+    taken = {c.lower() for c in frame.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def once(key: tuple, make: Callable[[], Any]) -> Any:
     """What `make` gives, made once in a worker process; the tasks of a worker share it, one after the other."""
     kept = sys.__dict__.setdefault("_comptoir_kept", {})  # functions travel by value, so modules keep nothing

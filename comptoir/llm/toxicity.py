@@ -30,8 +30,12 @@ TOXIC_SAMPLE, CLEAN_SAMPLE = 2000, 4000
 #: Units of clean documents that are learned from: by hash, by frequency, and the most alike to toxic ones.
 BY_HASH, BY_COUNT, HARD = 6000, 3000, 3000
 LANDMARKS = 320
-#: A unit that explains a toxic document is in as many of them, at least.
-WITNESS_LEAST = 2
+#: A unit counts for each toxic document that it explains, and then n / (n + DOUBT) of that, for n of them that hold it.
+DOUBT = 4
+#: A toxic unit must be decided above all but so many of the clean ones; those that are not are left out, in so many rounds.
+BEYOND, ROUNDS = 5, 4
+#: Longer units are learned from in pieces that overlap by half.
+PIECE = 64
 
 # Symbols: a-z 1 to 26, bytes beyond ASCII 27 to 58 (both cases of a Latin letter alike), others 0: a gap.
 SYMBOL = np.zeros(256, np.int32)
@@ -194,9 +198,11 @@ def machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-
     return w
 
 
-def fit_units(toxic: list[bytes], clean: list[bytes], seed: int = 0) -> Model:
-    """Machine over units; probabilities are not set yet."""
+def fit_units(toxic: list[bytes], clean: list[bytes], seed: int = 0, trust: list[float] | None = None) -> Model:
+    """Machine over units; probabilities are not set yet. `trust`: how much each toxic unit counts."""
     positive, negative = toxic + disturbed(toxic, seed), clean + disturbed(clean[:len(clean) // 8], seed + 1)
+    sure = np.ones(len(toxic)) if trust is None else np.array(trust)
+    sure = np.r_[sure, np.repeat(sure, [4 if len(s) >= 4 else 0 for s in toxic])]
     landmarks = spread_out(positive, LANDMARKS // 2)
     landmarks += spread_out(negative[:3000], LANDMARKS - len(landmarks))
     values, vectors = np.linalg.eigh(similarities(landmarks, landmarks))
@@ -204,7 +210,7 @@ def fit_units(toxic: list[bytes], clean: list[bytes], seed: int = 0) -> Model:
     whiten = vectors[:, keep] / np.sqrt(values[keep])
     x = np.vstack([similarities(positive, landmarks), similarities(negative, landmarks)]) @ whiten
     y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
-    each = np.where(y > 0, 0.5 / len(positive), 0.5 / max(len(negative), 1)) * len(y)
+    each = np.r_[0.5 * sure / sure.sum(), np.full(len(negative), 0.5 / max(len(negative), 1))] * len(y)
     w = machine(x, y, each)
     who, code, weight = occurrences(landmarks)
     beta = whiten @ w[:-1]
@@ -243,7 +249,7 @@ def document_decisions(texts: pa.Array, model: Model) -> tuple[np.ndarray, list[
 
 
 def _units_of(batches):
-    """(document, toxic, unit) once for each unit of a document; units of 3 to 64 bytes, in lower case."""
+    """(document, toxic, unit) once for each unit of a document, in lower case; of 3 bytes at least, long ones in pieces."""
     for batch in batches:
         texts, toxic = batch.column(1), batch.column(2).to_pylist()
         keys = batch.column(0).to_pylist()
@@ -252,8 +258,8 @@ def _units_of(batches):
             keep = unfilled(data, unit)
             before = np.concatenate([[0], np.cumsum(keep)])
             begin, end, lowered = before[begin], before[end], words.LOWER[data[keep]].tobytes()
-            seen = {(r, lowered[a:b]) for r, a, b in zip(rows.tolist(), begin.tolist(), end.tolist(), strict=True)
-                    if 3 <= b - a <= 64}
+            seen = {(r, lowered[i:min(i + PIECE, b)]) for r, a, b in zip(rows.tolist(), begin.tolist(), end.tolist(), strict=True)
+                    if b - a >= 3 for i in range(a, max(b - PIECE // 2, a + 1), PIECE // 2)}
             own = sorted(seen)
             yield pa.RecordBatch.from_pydict({
                 "doc": pa.array([keys[first + r] for r, _ in own], pa.int64()),
@@ -290,10 +296,11 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: tuple[int
         _units_of, "doc long, toxic int, unit binary"))
     counts = stored(pairs.groupBy("unit").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))).withColumn(
         "gain", F.col("t") * F.log((F.col("t") + 0.5) * (n_clean + 1) / ((F.col("c") + 0.5) * (n_toxic + 1))))
-    strong = counts.where((F.col("t") >= (WITNESS_LEAST if n_toxic >= 20 else 1)) & (F.col("gain") > 0))
+    strong = counts.where((F.col("t") > 0) & (F.col("gain") > 0))
     best = pairs.where("toxic = 1").join(strong, "unit").groupBy("doc").agg(
-        F.max(F.struct("gain", "unit"))["unit"].alias("unit"))
-    toxic = [bytes(r.unit) for r in best.groupBy("unit").count().orderBy(F.desc("count"), "unit").collect()]
+        F.max(F.struct("gain", "unit", "t")).alias("best"))
+    found = best.groupBy("best.unit", "best.t").count().orderBy(F.desc("count"), "unit").collect()  # one a toxic document at most
+    toxic, trust = [bytes(r.unit) for r in found], [r["count"] * r.t / (r.t + DOUBT) for r in found]
     if not toxic:
         return None
     usual = counts.where((F.col("c") > 0) & (F.col("t") * n_clean <= 4 * F.col("c") * n_toxic)).select(
@@ -301,7 +308,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: tuple[int
     first = [bytes(r.unit) for r in usual.orderBy("h", "unit").limit(BY_HASH).collect()]
     first += [bytes(r.unit) for r in usual.orderBy(F.desc("c"), "unit").limit(BY_COUNT).collect()]
     first = list(dict.fromkeys(first)) or [b"the"]
-    rough = fit_units(toxic, first, seed)
+    rough = fit_units(toxic, first, seed, trust)
 
     def alike(batches):
         for batch in batches:
@@ -310,7 +317,15 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: tuple[int
 
     hard = usual.select("unit").mapInArrow(alike, "unit binary, value double").orderBy(
         F.desc("value"), "unit").limit(HARD).collect()
-    model = fit_units(toxic, list(dict.fromkeys([bytes(r.unit) for r in hard] + first)), seed)
+    clean = list(dict.fromkeys([bytes(r.unit) for r in hard] + first))
+    model = fit_units(toxic, clean, seed, trust)
+    for _ in range(ROUNDS):  # what clean texts say as well explains nothing
+        values, usual_values = (document_decisions(pa.array([u.decode("utf-8", "replace") for u in x]), model)[0] for x in (toxic, clean))
+        apart = values > np.sort(usual_values)[-min(BEYOND, len(usual_values))]
+        if apart.all() or not apart.any():
+            break
+        toxic, trust = ([x for x, keep in zip(own, apart, strict=True) if keep] for own in (toxic, trust))
+        model = fit_units(toxic, clean, seed, trust)
 
     def scored(batches):
         for batch in batches:

@@ -1,0 +1,23 @@
+"""Labels that the classifiers have not seen, on the given tables."""
+
+import pytest
+
+from comptoir.llm.queries import REGISTRY
+
+GIVEN = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize(("name", "label", "least"), [("op2_toxicity", "toxic", 0.92), ("op3_quality", "quality", 0.95)])
+def test_held_out_labels(spark, name, label, least):
+    found = {r.doc_id: r for r in REGISTRY[name](spark, GIVEN).collect()}
+    labels = spark.read.parquet(f"{GIVEN}/labels.parquet").where(f"{label} is not null").collect()
+    held = [(found[r.doc_id].predicted, r[label]) for r in labels if found[r.doc_id].held_out]
+    assert len(held) > 20
+    right = sum(a == b for a, b in held) / len(held)
+    caught = [a for a, b in held if b == 1]
+    wrong = [a for a, b in held if b == 0]
+    print(name, len(held), right, sum(caught), len(caught), sum(wrong), len(wrong))
+    assert right >= least
+    assert sum(wrong) <= 0.05 * len(wrong) + 1
+    if name == "op2_toxicity":
+        assert sum(caught) >= 0.6 * len(caught)

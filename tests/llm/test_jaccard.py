@@ -138,3 +138,12 @@ def test_components(spark):
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {k: v for k, v in part.items() if any(k in p and p[0] != p[1] for p in links)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_representatives_keep_columns_of_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, 7, 8, 9), (2, text, 7, 8, 9), (3, "other", 7, 8, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node int, __node int, component int").coalesce(1)
+    out = jaccard.representatives(docs)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect())) == [rows[0], rows[2]]
