@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.llm import jaccard, passages, queries, secrets, toxicity
-from comptoir.llm.shared import stored
+from comptoir.llm.shared import free_name, stored
 
 #: A machine that is fitted on labels cannot be written in SQL.
 ORACLE_SQL = None
@@ -15,8 +15,8 @@ TOXIC = 0.3
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of being toxic is below TOXIC."""
-    model = queries.toxicity_model(spark, docs, sf_dir)
-    return toxicity.score(docs, model, column="__score").where(F.col("__score") < TOXIC).drop("__score")
+    model, score = queries.toxicity_model(spark, docs, sf_dir), free_name(docs, "score")
+    return toxicity.score(docs, model, column=score).where(F.col(score) < TOXIC).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
