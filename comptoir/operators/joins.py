@@ -21,7 +21,7 @@ def unclustered(rows: DataFrame) -> DataFrame:
     return rows.coalesce(NO_PARTITION_LIMIT)
 
 
-def lookup(rows: DataFrame, reference: DataFrame, key: str, how: str = "left") -> DataFrame:
+def lookup(rows: DataFrame, reference: DataFrame, key: str | list[str], how: str = "left") -> DataFrame:
     """Join many rows with a reference that has few rows per key, skew on the side of the many.
 
     No hint: Catalyst, and at run time adaptive execution, broadcast the reference if its size
