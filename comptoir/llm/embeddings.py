@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from comptoir.llm.components import components
 from comptoir.llm.shared import stored
 from comptoir.llm.topk import finite
+from comptoir.operators.joins import lookup
 
 #: Vectors that centroids and codes are fitted on, the ones with the least hashes.
 SAMPLE = 16384
@@ -136,14 +137,16 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, key: str = "vec_id"
     v = F.transform("v", lambda x: x.cast("double") + F.lit(0.0))  # no negative zero
     takes_part = finite(F.col("v")) & F.col("vec_id").isNotNull() & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False))
     numbered = rows.select("vec_id", F.when(takes_part, v).alias("v")).select(
-        "vec_id", "v", F.when(F.col("v").isNotNull(), F.xxhash64("v")).alias("node"))
-    nodes = stored(numbered.where("node is not null").groupBy("node").agg(
-        F.count("*").alias("weight"), F.first("v").alias("v")))
+        "vec_id", "v", *(F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(i), "v")).alias(f"hash{i}") for i in (0, 1)))
+    hashes = ["hash0", "hash1"]
+    one = F.when(F.min("v") == F.max("v"), F.min("v")).otherwise(F.raise_error(F.lit("two vectors with one hash of 128 bits")))
+    nodes = stored(numbered.where("v is not null").groupBy(*hashes).agg(
+        F.count("*").alias("weight"), one.alias("v")).withColumn("node", F.monotonically_increasing_id()))
     numbered = numbered.drop("v")
     sizes = nodes.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
     index = None
     if sizes is not None:
-        chosen = nodes.where(F.size("v") == sizes[0]).orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("v").collect()
+        chosen = nodes.where(F.size("v") == sizes[0]).orderBy(*hashes).limit(SAMPLE).select("v").collect()
         sample = _unit(np.array([r.v for r in chosen], float))
         index = fit_index(sample, max(1, min(LISTS, math.ceil(sizes[1] / LIST_ROWS))), seed)
     shared = spark.sparkContext.broadcast(index)
@@ -171,7 +174,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, key: str = "vec_id"
                 "codes": pa.array([c for o in out for c in o[3]], pa.binary()),
                 "missed": pa.array(np.concatenate([o[4] for o in out]) if out else np.empty(0), pa.float64())})
 
-    listed = stored(nodes.mapInArrow(indexed, "node long, weight long, x binary, probes array<int>, codes binary, missed double"))
+    listed = stored(nodes.select("node", "weight", "v").mapInArrow(indexed, "node long, weight long, x binary, probes array<int>, codes binary, missed double"))
     members = listed.withColumn("list", F.col("probes")[0])
     queries = listed.select("node", "weight", "x", "probes", F.explode("probes").alias("list"))
     parts = members.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("m")).join(
@@ -220,10 +223,11 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, key: str = "vec_id"
         compared, "node long, n long, other long"))
     parts_of = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")))
     links = found.groupBy("node").agg(F.sum("n").alias("others"))
-    full = numbered.join(nodes.select("node", "weight"), "node", "left").join(links, "node", "left").join(parts_of, "node", "left")
-    full = full.withColumn("group", F.coalesce("component", "node"))
+    known = nodes.select(*hashes, "node", "weight").join(links, "node", "left").join(parts_of, "node", "left").withColumn(
+        "group", F.coalesce("component", "node"))
+    full = lookup(numbered, known, hashes)  # rows of equal vectors, however many, are split
     smallest = full.where("group is not null").groupBy("group").agg(F.min("vec_id").alias("first"))
-    return full.join(smallest, "group", "left").select(
+    return lookup(full, smallest, "group").select(
         "vec_id", (F.coalesce("others", F.lit(0)) + F.coalesce(F.col("weight") - 1, F.lit(0))).cast("long").alias("n_links"),
         F.coalesce("first", "vec_id").alias("component_id"),
         F.coalesce(F.col("vec_id") == F.coalesce("first", "vec_id"), F.lit(True)).alias("kept"))
