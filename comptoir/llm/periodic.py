@@ -19,7 +19,6 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from comptoir.llm import words
 from comptoir.llm.shared import widened

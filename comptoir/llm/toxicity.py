@@ -13,7 +13,6 @@ best explains each toxic document, and from units of clean ones.
 
 from __future__ import annotations
 
-import math
 from typing import NamedTuple
 
 import numpy as np
