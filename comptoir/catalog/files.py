@@ -43,6 +43,15 @@ PARTS = {
 }
 
 
+#: Rows that a task turns into files, and of a lot, at most.
+LOT_ROWS = 250_000
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows over as many tasks as they need: a table in one piece would be written by one task."""
+    return rows.repartition(-(-count // LOT_ROWS)) if (count := rows.count()) > LOT_ROWS else rows
+
+
 def workbook(rows: list[list]) -> bytes:
     """A workbook of one sheet: text cells as inline strings, numbers as numbers."""
 
@@ -72,7 +81,7 @@ def _workbook_of(table: pd.DataFrame) -> bytes:
 
 
 def _json_array_of(table: pd.DataFrame) -> bytes:
-    return json.dumps(table.to_dict("records"), ensure_ascii=False, indent=1).encode()
+    return json.dumps(table.to_dict("records"), ensure_ascii=False).encode()
 
 
 def _as_files(rows: DataFrame, source: str, extension: str, encode) -> DataFrame:
@@ -86,7 +95,7 @@ def _as_files(rows: DataFrame, source: str, extension: str, encode) -> DataFrame
             yield pd.DataFrame({"path": [f"{source}-{part:06d}-{number:06d}.{extension}"],
                                 "content": [encode(table)]})
 
-    return rows.select(*fields).mapInPandas(pack, "path string, content binary")
+    return _dealt(rows.select(*fields)).mapInPandas(pack, "path string, content binary")
 
 
 def _store_files(files: DataFrame, folder: str) -> None:
@@ -103,6 +112,7 @@ def _store_files(files: DataFrame, folder: str) -> None:
 
 def write_sales_csv(rows: DataFrame, folder: str) -> None:
     (rows.select(*REQUIRED_FIELDS["ventes"]).write.mode("overwrite").option("header", True)
+     .option("maxRecordsPerFile", LOT_ROWS)  # a lot whose records may go over several lines is read by one task
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder))
 
 
@@ -118,7 +128,7 @@ def write_lots(rows: DataFrame, folder: str, write) -> None:
 
 
 def write_products_xml(rows: DataFrame, folder: str) -> None:
-    (rows.select(*REQUIRED_FIELDS["produits"]).write.mode("overwrite").format("xml")
+    (_dealt(rows).select(*REQUIRED_FIELDS["produits"]).write.mode("overwrite").format("xml")
      .option("rootTag", "produits").option("rowTag", "produit").save(folder))
 
 

@@ -21,6 +21,10 @@ from comptoir.sources.files import open_input
 from comptoir.sources.workbook import workbook_rows
 
 
+#: Headers of so many lots are sent to the tasks that read rows; with more, both meet in a shuffle.
+HEADERS_SENT = 50_000
+
+
 def ingest_date(path: Column) -> Column:
     """Date in an ``ingest_date=`` folder; lots laid down by hand count as the oldest."""
     found = F.regexp_extract(path, r"ingest_date=(\d{4}-\d{2}-\d{2})", 1)
@@ -71,8 +75,8 @@ def _required(place: Callable[[int], Column]) -> list[Column]:
     return [place(i).alias(name) for i, name in enumerate(S.REQUIRED_FIELDS["ventes"])]
 
 
-def _taken(places: Column) -> list[Column]:
-    cells = F.array(*(F.col(f"_c{i}") for i in range(WIDEST)))
+def _taken(places: Column, columns: int = WIDEST) -> list[Column]:
+    cells = F.array(*(F.col(f"_c{i}") for i in range(columns)))
     return _required(lambda i: F.get(cells, F.get(places, F.lit(i))))
 
 
@@ -101,7 +105,8 @@ def read_sales(spark: SparkSession, folder: str, by_name: bool = True) -> DataFr
     """All CSV lots of a folder, also those laid down by hand, columns taken by name.
 
     Spark binds the columns of several CSV files by position. Each lot's header is therefore read by a task and met with its
-    rows in a join by file; the driver learns nothing of the lots. A required column that a lot lacks is null.
+    rows in a join by file; the driver learns how many lots there are, and how far their required columns reach: cells beyond are
+    not parsed. The headers of not too many lots are sent to the rows. A required column that a lot lacks is null.
 
     Without ``by_name`` no task opens a file by itself: every lot must have the required columns
     in their order, and one that has not fails the scan.
@@ -115,8 +120,11 @@ def read_sales(spark: SparkSession, folder: str, by_name: bool = True) -> DataFr
             .option("multiLine", True).option("escape", '"').csv(folder).select("*", "_metadata.file_path"), "file_path")
     places = F.array(*(F.nullif(F.array_position("header", name) - 1, F.lit(-1)).cast("int") for name in required))
     headers = csv_headers(spark, folder).where(F.size("header") > 0).select("file_path", places.alias("places"))
-    rows = lookup(scan_by_position(spark, folder, WIDEST, True, True), headers, "file_path", "inner")
-    return with_origin(rows.select(*_taken(F.col("places")), "file_path"), "file_path")
+    lots, last = headers.agg(F.count(F.lit(1)), F.max(F.array_max("places"))).first()
+    columns = min(WIDEST, 1 + (last or 0))
+    rows = scan_by_position(spark, folder, columns, True, True)
+    met = rows.join(F.broadcast(headers), "file_path") if lots <= HEADERS_SENT else lookup(rows, headers, "file_path", "inner")
+    return with_origin(met.select(*_taken(F.col("places"), columns), "file_path"), "file_path")
 
 
 def read_customers(spark: SparkSession, folder: str) -> DataFrame:
