@@ -18,6 +18,9 @@ REJECTED_FOLDER = "_rejected"
 ROWS_TAKEN = "%d enregistrement(s)"
 ALREADY_TAKEN = "contenu identique déjà ingéré le %s (%s)"
 
+#: So many keys in use are sent to the tasks that ask for them; with more, files and keys meet in a shuffle.
+KEYS_SENT = 100_000
+
 MANIFEST_SCHEMA = ("sha256 string, fichier string, source string, destination string, "
                    "taille bigint, lignes bigint, date string")
 
@@ -43,6 +46,20 @@ def destination(day: str) -> Column:
                        F.concat(F.lit("disposition="), "disposition"), F.regexp_replace("fichier", "^_", "lot_"))
 
 
+def _count_of(rows: DataFrame) -> int:
+    """Rows, counted as far as it matters whether they can be sent."""
+    return rows.limit(KEYS_SENT + 1).count()
+
+
+def _with_use(rows: DataFrame, used: DataFrame, key: str) -> DataFrame:
+    """Rows with `_pris`, true if their key is among those in use. Files are shuffled only for keys that are too many to send."""
+    held = _count_of(used)
+    if held == 0:
+        return rows.withColumn("_pris", F.lit(None).cast("boolean"))
+    in_use = used.select(key, F.lit(True).alias("_pris")).distinct()
+    return rows.join(F.broadcast(in_use), key, "left") if held <= KEYS_SENT else lookup(rows, in_use, key)
+
+
 def decide(controlled: DataFrame, manifest: DataFrame, taken: DataFrame, filed: DataFrame,
            at: str) -> DataFrame:
     """Outcome of every file.
@@ -51,35 +68,35 @@ def decide(controlled: DataFrame, manifest: DataFrame, taken: DataFrame, filed:
     raw zone, ``filed`` (rangement) the names used when filing, ``at`` is 'yyyy-MM-dd HH:mm:ss'.
     Refusals come first, then known contents; of equal contents inside one run the first in
     source and name order is taken. That first one is found by an aggregation and joined back,
-    so many copies of one content meet in no single task.
+    so many copies of one content meet in no single task. Only these two steps shuffle the files, by the bytes of
+    the fingerprint; what earlier runs know is sent to the tasks as long as it is small.
     """
     kept = [name for name in controlled.columns if name != "motif"]
     refused = controlled.where(F.col("motif").isNotNull()).select(
         *kept, F.lit(REJECTED).alias("statut"), "motif", F.lit("").alias("destination"))
 
     sound = controlled.where(F.col("motif").isNull()).withColumn("rang", source_rank(F.col("source")))
-    # Only the part of the manifest that this run asks for goes on.
-    asked = manifest.join(sound.select("sha256").distinct(), "sha256", "left_semi")
-    known = asked.select(
-        "sha256",
+    if _count_of(manifest) > KEYS_SENT:  # only the part that this run asks for goes on
+        manifest = manifest.join(sound.select("sha256").distinct(), "sha256", "left_semi")
+    known = manifest.select(
+        F.unhex("sha256").alias("_empreinte"),
         F.struct(F.lit(0).cast("bigint").alias("rang"), "fichier", "source", "destination", "date")
         .alias("premier"))
     plain = sound.select("*", destination(at[:10]).alias("destination"))
-    in_use = taken.select("destination", F.lit(True).alias("_pris")).distinct()
-    free = (lookup(plain, in_use, "destination")
+    free = (_with_use(plain, taken, "destination")
             .withColumn("destination", F.when(F.col("_pris"), with_inserted(
                 F.col("destination"), F.concat(F.lit("__"), F.left("sha256", F.lit(8)))))
                 .otherwise(F.col("destination")))
-            .drop("_pris"))
-    candidates = free.select("sha256", F.struct(
+            .withColumn("_empreinte", F.unhex("sha256")).drop("_pris", "sha256"))
+    candidates = free.select("_empreinte", F.struct(
         "rang", "fichier", "source", "destination", F.lit(at).alias("date")).alias("premier"))
     # Rank 0 puts what the manifest knows before anything of this run.
-    firsts = (known.unionByName(candidates).groupBy("sha256")
+    firsts = (known.unionByName(candidates).groupBy("_empreinte")
               .agg(F.min("premier").alias("premier")))
 
     first = F.col("premier")
     is_first = ((first["rang"] == F.col("rang")) & (first["fichier"] == F.col("fichier")))
-    judged = lookup(free, firsts, "sha256").select(
+    judged = lookup(free, firsts, "_empreinte").withColumn("sha256", F.lower(F.hex("_empreinte"))).select(
         *kept,
         F.when(is_first, SUCCESS).otherwise(DUPLICATE).alias("statut"),
         F.when(is_first, F.format_string(ROWS_TAKEN, "lignes"))
@@ -92,9 +109,8 @@ def _file_away(outcome: DataFrame, filed: DataFrame, at: str) -> DataFrame:
     """Where the arrived file belongs afterwards; a name already used there gets a time suffix."""
     folder = F.when(F.col("statut") == REJECTED, REJECTED_FOLDER).otherwise(ARCHIVE_FOLDER)
     stamp = "_" + "".join(c for c in at if c.isdigit())
-    in_use = filed.select("rangement", F.lit(True).alias("_pris")).distinct()
     placed = outcome.withColumn("rangement", F.concat_ws("/", folder, "source", "fichier"))
-    return (lookup(placed, in_use, "rangement")
+    return (_with_use(placed, filed, "rangement")
             .withColumn("rangement", F.when(F.col("_pris"), with_inserted(
                 F.col("rangement"), F.lit(stamp))).otherwise(F.col("rangement")))
             .withColumn("date", F.lit(at))
