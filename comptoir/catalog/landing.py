@@ -10,13 +10,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import datetime
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.catalog.inputs import table
 from comptoir.plans.intake import Intake, ingest
-from comptoir.sinks import run
 from comptoir.sources.files import write_file
 
 AT = ("2026-10-02 08:30:00", "2026-10-02 09:00:00")
@@ -115,15 +113,16 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def arrive(files: DataFrame, folder: str) -> None:
-    """Files into their source's folder, from the tasks that hold them."""
+    """Files into their source's folder, from the tasks that hold them.
 
-    def store(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for source, name, content in zip(batch["source"], batch["fichier"], batch["contenu"]):
-                write_file(f"{folder}/{source}/{name}", content)
-            yield batch[["fichier"]]
+    Rows reach Python in batches of a few MB, whatever a file holds; a batch of Arrow has its rows counted, not weighed.
+    """
 
-    run(files.select("source", "fichier", "contenu").mapInPandas(store, "fichier string"))
+    def store(rows: Iterator[Row]) -> None:
+        for source, name, content in rows:
+            write_file(f"{folder}/{source}/{name}", content)
+
+    files.select("source", "fichier", "contenu").rdd.foreachPartition(store)
 
 
 def two_runs(spark: SparkSession, sf_dir: str, folder: str) -> list[Intake]:
