@@ -24,7 +24,7 @@ from comptoir.sources.inventory import data_line_counts, lake_inventory, list_ob
 from comptoir.sources.messages import file_messages
 from comptoir.sources.workbook import workbook_rows
 from comptoir.streaming import events
-from comptoir.streaming.job import AVAILABLE_NOW, read_history, read_revenue, start_sales_stream
+from comptoir.streaming.job import AVAILABLE_NOW, FILE_ROWS, read_history, read_revenue, start_sales_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -352,7 +352,7 @@ def shown(typed: DataFrame) -> DataFrame:
 def streamed(spark: SparkSession, sf_dir: str) -> str:
     """Lake that a stream over all messages has filled."""
     folder = work_folder(spark)
-    messages(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/messages")
+    messages(spark, sf_dir).write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).parquet(f"{folder}/messages")
     stream = start_sales_stream(file_messages(spark, f"{folder}/messages"), f"{folder}/lake",
                                 f"{folder}/checkpoint", AVAILABLE_NOW)
     stream.wait()
@@ -402,7 +402,8 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark)
     sent = messages(spark, sf_dir)
     for part in (0, 1):
-        sent.where((F.col("offset") % 3 == 0) == (part == 0)).write.mode("append").parquet(f"{folder}/messages")
+        sent.where((F.col("offset") % 3 == 0) == (part == 0)).write.mode("append").option(
+            "maxRecordsPerFile", FILE_ROWS).parquet(f"{folder}/messages")
         trigger = {"processingTime": "1 second"} if part == 0 else AVAILABLE_NOW
         stream = start_sales_stream(file_messages(spark, f"{folder}/messages"), f"{folder}/lake", f"{folder}/checkpoint", trigger)
         if part == 0:

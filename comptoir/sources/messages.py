@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from comptoir.schemas import ENVELOPE_SCHEMA
 
+#: Bytes of the files that a micro-batch of an archive takes.
+BATCH_BYTES = 256 * 1024 * 1024
 ENVELOPE = ["value", "partition", "offset", "timestamp"]
 
 
@@ -29,10 +31,14 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str = "ventes",
     return spark.readStream.format("kafka").options(**options).load().select(*ENVELOPE)
 
 
-def file_messages(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """The same stream from Parquet files of messages, as a replay of an archive."""
-    return (spark.readStream.schema(ENVELOPE_SCHEMA)
-            .option("maxFilesPerTrigger", files_per_batch).parquet(folder))
+def file_messages(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """The same stream from Parquet files of messages, as a replay of an archive.
+
+    A micro-batch holds files of about BATCH_BYTES, so that what its tasks hold and read does not grow with the archive, or
+    ``files_per_batch`` files. A larger file is a micro-batch of its own.
+    """
+    name, most = ("maxBytesPerTrigger", BATCH_BYTES) if files_per_batch is None else ("maxFilesPerTrigger", files_per_batch)
+    return spark.readStream.schema(ENVELOPE_SCHEMA).option(name, most).parquet(folder)
 
 
 def topic_partition(key, partitions: int):
