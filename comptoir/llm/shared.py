@@ -6,11 +6,14 @@ import sys
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from comptoir.session import work_folder
 
+BATCH_BYTES = 8 * 1024 * 1024
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def checkpointed(frame: DataFrame) -> DataFrame:
     """The frame, stored partition by partition in the shared folder, so that its lineage ends here."""
@@ -27,6 +30,15 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on rows go to Python, and come back, by BATCH_BYTES at once, unless the session says how many.
+
+    Each task holds several batches, in both of its processes; Spark's own bound is 64 MB.
+    """
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def widened(frame: DataFrame, function, added: str = "") -> DataFrame:
     """`function` over Arrow batches of all columns of the frame, whatever their names, and columns it adds.
 
@@ -34,7 +46,12 @@ def widened(frame: DataFrame, function, added: str = "") -> DataFrame:
     """
     plain = frame.toDF(*(f"_{i}" for i in range(len(frame.columns))))
     more = StructType.fromDDL(added).fields if added else []
-    out = plain.mapInArrow(function, StructType([*plain.schema.fields, *more]))
+
+    def alone(batches):
+        sys.__dict__.get("_comptoir_kept", {}).clear()  # what another operator has kept in this worker (`once`)
+        return function(batches)
+
+    out = plain.mapInArrow(alone, StructType([*plain.schema.fields, *more]))
     return out.toDF(*frame.columns, *(f.name for f in more))
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.llm import jaccard, passages, queries, secrets, toxicity
-from comptoir.llm.shared import free_name, stored
+from comptoir.llm.shared import free_name, small_batches, stored
 
 #: A machine that is fitted on labels cannot be written in SQL.
 ORACLE_SQL = None
@@ -47,8 +49,20 @@ def _with_text(columns: list[str], docs: DataFrame, text) -> DataFrame:
     return out.select(*(F.col(f"`{c}`") for c in columns))
 
 
-STAGES = [("toxicity", drop_toxic), ("n-gram Jaccard join", drop_near_duplicates),
-          ("substring dedup", cut_passages), ("secret scans", hide_secrets), ("packing", pack)]
+def lean(stage):
+    """The stage, its rows going to Python in small batches: the stages share executors whose memory the ones before have touched."""
+
+    @wraps(stage)
+    def begun(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return begun
+
+
+STAGES = [(name, lean(stage)) for name, stage in (
+    ("toxicity", drop_toxic), ("n-gram Jaccard join", drop_near_duplicates), ("substring dedup", cut_passages),
+    ("secret scans", hide_secrets), ("packing", pack))]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 import re
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from comptoir.llm import jaccard, queries, secrets, toxicity
+from comptoir.llm import jaccard, queries, secrets, shared, toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -82,3 +83,30 @@ def test_edges(spark, sf_dir):
             frame = corpus_pipeline.stored(stage(spark, frame, sf_dir))
             assert frame.count() == n
         assert (corpus_pipeline.STAGES[-1][1](spark, frame, sf_dir).count() > 0) == (counts[0] > 0)
+
+
+def test_rows_go_to_python_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    try:
+        docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+        for own in (None, "1234567"):  # what the session says holds
+            spark.conf.unset(name) if own is None else spark.conf.set(name, own)
+            dict(corpus_pipeline.STAGES)["packing"](spark, docs, "")
+            assert spark.conf.get(name) == (own or str(8 << 20))
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def test_what_another_operator_keeps_goes_when_a_worker_turns_to_texts(spark):
+    def kept(batches):
+        shared.once(("own",), lambda: "kept")
+        yield from batches
+
+    def left(batches):
+        import sys
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(sys.__dict__["_comptoir_kept"])] * len(batch), pa.int64())], ["_0", "n"])
+
+    rows = spark.range(0, 4, 1, 1)
+    assert [r.n for r in shared.widened(rows.mapInArrow(kept, "id long").repartition(1), left, "n long").collect()] == [0] * 4
