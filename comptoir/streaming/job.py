@@ -21,8 +21,8 @@ from comptoir.streaming import events
 
 EVERY_20_SECONDS = {"processingTime": "20 seconds"}
 AVAILABLE_NOW = {"availableNow": True}
-#: Rows of a file, at most on average.
-FILE_ROWS = 1_000_000
+#: Rows of a file, at most on average, and bytes of the messages that a task reads to write one.
+FILE_ROWS, FILE_BYTES = 1_000_000, 64 * 1024 * 1024
 RAW_COLUMNS = ["message", "partition", "offset", "kafka_timestamp"]
 HISTORY_SCHEMA = (
     "partition int, offset bigint, schema_version int, id_vente string, horodatage timestamp, "
@@ -35,12 +35,14 @@ def write_batch(messages: DataFrame, batch_id: int, lake: str) -> None:
     """Write one micro-batch; writing it again replaces its own partitions and nothing else.
 
     Messages are fetched and parsed once for the four outputs. The statistics come first: they fill the cache, tell whether there is
-    anything to write, and how many files of a sensible size that makes. No output is shuffled.
+    anything to write, and how many tasks that makes. A task reads messages of all kinds, whichever it writes, so every output is
+    dealt by the messages received, their number and their bytes. No output is shuffled.
     """
     judged = events.judge_events(messages).persist()
     try:
         statistics = events.batch_statistics(judged)
         counted = statistics.collect()  # a row per partition of the topic
+        tasks = _tasks(judged, sum(r["recus"] for r in counted)) if counted else 1
         outputs = [
             ("raw/ventes_stream", judged.select(*RAW_COLUMNS), "json", "recus"),
             ("raw/rejets_stream", events.rejected_events(judged), "json", "rejetes"),
@@ -50,14 +52,19 @@ def write_batch(messages: DataFrame, batch_id: int, lake: str) -> None:
             outputs.append(("processed/statistiques_stream", judged.sparkSession.createDataFrame(
                 counted, statistics.schema), "parquet", None))
         for table, rows, file_format, count in outputs:
-            held = sum(r[count] for r in counted) if count else 1
-            if held:
-                replace_partition(rows.coalesce(-(-held // FILE_ROWS)).withColumn("micro_batch", F.lit(batch_id)),
+            if count is None or any(r[count] for r in counted):
+                replace_partition(rows.coalesce(tasks if count else 1).withColumn("micro_batch", F.lit(batch_id)),
                                   f"{lake}/{table}", "micro_batch", file_format)
     finally:
         judged.unpersist()
 
 
+def _tasks(judged: DataFrame, received: int) -> int:
+    """Tasks that write an output of a micro-batch."""
+    octets = judged.agg(F.sum(F.octet_length("message"))).first()[0] or 0
+    return max(1, -(-received // FILE_ROWS), -(-octets // FILE_BYTES))
+
+
 def write_revenue(changed: DataFrame, lake: str) -> None:
     """New totals of the keys that a micro-batch has changed, into the table of each axis."""
     changed = changed.persist()

@@ -1,5 +1,6 @@
 """What must not grow with the input: widths parsed, rows sent to Python, files shuffled, micro-batches."""
 
+import json
 import random
 
 from lake_files import put
@@ -109,3 +110,17 @@ def test_source_files_are_bounded(spark, tmp_path, monkeypatch):
     for folder, ending in (("ventes", "csv"), ("produits", "xml")):
         assert len(list((tmp_path / folder).glob(f"part-*.{ending}"))) == 10 or ending == "xml" and len(list((tmp_path / folder).glob("part-*"))) == 10
     assert lots.read_sales(spark, f"{tmp_path}/ventes").count() == 1000
+
+
+def test_outputs_of_a_micro_batch_are_dealt_by_what_their_tasks_read(spark, tmp_path, monkeypatch):
+    sound = ('{"id_vente": "S1", "horodatage": "2026-03-01T10:00:00", "id_magasin": "M1", "ville": "v", "id_produit": "P1", '
+             '"categorie": "c", "quantite": 1, "prix_unitaire": 2.0}')
+    rows = spark.range(0, 800, 1, 8).select(F.when(F.col("id") % 8 == 0, "no json").otherwise(sound).cast("binary").alias("value"), F.lit(0).alias("partition"),
+                                            F.col("id").alias("offset"), F.current_timestamp().alias("timestamp"))
+    for name, most in (("FILE_ROWS", 200), ("FILE_BYTES", 35_000)):  # four tasks, three
+        monkeypatch.setattr(job, name, most, raising=False)
+        job.write_batch(rows, 0, f"{tmp_path}/{name}")
+        for table, count in (("raw/rejets_stream", 100), ("raw/ventes_stream", 800), ("processed/ventes_stream", 700)):
+            assert len(list((tmp_path / name / table / "micro_batch=0").glob("part-*"))) >= 3
+            assert spark.read.format("json" if "raw" in table else "parquet").load(f"{tmp_path}/{name}/{table}").count() == count
+        monkeypatch.undo()
