@@ -10,15 +10,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from comptoir.catalog.inputs import table
 from comptoir.plans.intake import Intake, ingest
+from comptoir.sinks import run
 from comptoir.sources.files import write_file
 
 AT = ("2026-10-02 08:30:00", "2026-10-02 09:00:00")
 TABLES = ["lineitem", "customer", "part"]
+#: Bytes that go to Python at once.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 * 1024 * 1024
 _SPARK = "array_join(array_sort(collect_list(ligne)), {})"
 _DUCKDB = "array_to_string(list_sort(list(ligne)), {})"
 
@@ -115,14 +119,23 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def arrive(files: DataFrame, folder: str) -> None:
     """Files into their source's folder, from the tasks that hold them.
 
-    Rows reach Python in batches of a few MB, whatever a file holds; a batch of Arrow has its rows counted, not weighed.
+    Rows reach Python in batches of a few MB, whatever a file holds. The workers are those of the other steps: rows of an RDD would
+    get a second set of them, idle ever after.
     """
-
-    def store(rows: Iterator[Row]) -> None:
-        for source, name, content in rows:
-            write_file(f"{folder}/{source}/{name}", content)
-
-    files.select("source", "fichier", "contenu").rdd.foreachPartition(store)
+    spark = files.sparkSession
+
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for source, name, content in zip(*batch.columns):
+                write_file(f"{folder}/{source.as_py()}/{name.as_py()}", content.as_py())
+            yield batch.select(["fichier"])
+
+    before = spark.conf.get(BATCH, None)
+    spark.conf.set(BATCH, str(BATCH_BYTES))
+    try:
+        run(files.select("source", "fichier", "contenu").mapInArrow(store, "fichier string"))
+    finally:
+        spark.conf.unset(BATCH) if before is None else spark.conf.set(BATCH, before)
 
 
 def two_runs(spark: SparkSession, sf_dir: str, folder: str) -> list[Intake]:

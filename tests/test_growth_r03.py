@@ -124,3 +124,44 @@ def test_outputs_of_a_micro_batch_are_dealt_by_what_their_tasks_read(spark, tmp_
             assert len(list((tmp_path / name / table / "micro_batch=0").glob("part-*"))) >= 3
             assert spark.read.format("json" if "raw" in table else "parquet").load(f"{tmp_path}/{name}/{table}").count() == count
         monkeypatch.undo()
+
+
+def test_files_arrive_by_the_workers_of_the_other_steps(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "rdd", None)
+    rows = spark.createDataFrame([("ventes", "a.csv", b"x"), ("ventes", "b.csv", None), ("clients", None, b"")], "source string, fichier string, contenu binary")
+    before = spark.conf.get(landing.BATCH)
+    landing.arrive(rows, f"file://{tmp_path}/in")
+    assert spark.conf.get(landing.BATCH) == before
+    assert {str(p.relative_to(tmp_path / "in")): p.read_bytes() for p in (tmp_path / "in").rglob("*") if p.is_file()} == {
+        "ventes/a.csv": b"x", "ventes/b.csv": b"", "clients/None": b""}
+
+
+def test_items_of_a_json_lot_are_not_held():
+    import io
+    import tracemalloc
+
+    def whole(text):
+        try:
+            items = json.loads(text)
+        except ValueError as error:
+            return str(error)
+        sound = isinstance(items, list) and items and all(isinstance(item, dict) for item in items)
+        return (sorted(set().union(*items)), len(items)) if sound else control.JSON_SHAPE
+
+    pieces = ["[", "]", "{", "}", '{"a": 1}', '{"b": [1, {"c": null}]}', ",", " ", "\n", "5", "null", '"x', "NaN", "\x00", '{"a": 1, "a": 2}', " "]
+    random.seed(5)
+    for text in ["[]", "", " [ ] ", "[5]", '[{"a": 1}, 5]', '[{"a": 1} , {"b": 2}]\n', '[{"a": 1},]', '[{"a": 1}] x', '[{"a": 1}, 5, {]',
+                 *("[" * (k % 2) + "".join(random.choices(pieces, k=k % 7)) + "]" * (k % 3 > 0) for k in range(3000))]:
+        try:
+            fields, rows = control._inspect_json(io.BytesIO(text.encode()))
+            found = sorted(fields), rows
+        except (ValueError, control.Unsuitable) as error:
+            found = str(error)
+        assert found == whole(text), text
+    lot = io.BytesIO(json.dumps([{"id_client": f"C{n}", "nom": None, "ville": "V", "segment": "HOUSEHOLD"} for n in range(20_000)]).encode())
+    size = len(lot.getvalue())
+    tracemalloc.start()
+    assert control._inspect_json(lot) == ({"id_client", "nom", "ville", "segment"}, 20_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * size
