@@ -17,7 +17,7 @@ from comptoir.operators.joins import all_of, lookup
 from comptoir.operators.revenue import revenue_by
 from comptoir.plans.batch import CURATED, has_breaks, run_batch
 from comptoir.schemas import KEYS
-from comptoir.session import work_folder
+from comptoir.session import at_once, work_folder
 from comptoir.sinks import replace_table, write_new
 from comptoir.sources import lots
 from comptoir.sources.inventory import data_line_counts, lake_inventory, list_objects
@@ -205,11 +205,13 @@ def batch_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch job: files of the four sources to the two curated tables."""
     lake = work_folder(spark)
     # One row per sale: the parts of one lot carry no order that the versions could follow.
-    W.write_sales_csv(versions.latest_version(source(spark, sf_dir, "ventes"), "id_vente"),
-                      f"{lake}/raw/ventes")
-    W.write_lots(source(spark, sf_dir, "clients"), f"{lake}/raw/clients", W.write_json_arrays)
-    W.write_lots(source(spark, sf_dir, "produits"), f"{lake}/raw/produits", W.write_products_xml)
-    W.write_workbooks(source(spark, sf_dir, "magasins"), f"{lake}/raw/magasins")
+    sales = versions.latest_version(source(spark, sf_dir, "ventes"), "id_vente")
+    customers, products, stores = (source(spark, sf_dir, name) for name in ("clients", "produits", "magasins"))
+    at_once(spark, [
+        lambda: W.write_sales_csv(sales, f"{lake}/raw/ventes"),
+        lambda: W.write_lots(customers, f"{lake}/raw/clients", W.write_json_arrays),
+        lambda: W.write_lots(products, f"{lake}/raw/produits", W.write_products_xml),
+        lambda: W.write_workbooks(stores, f"{lake}/raw/magasins")])
     run_batch(spark, lake)
     return both_axes(spark, f"{lake}/curated")
 

@@ -27,7 +27,9 @@ def city_standard(value: Column) -> Column:
 
 
 def strict_date(value: Column) -> Column:
-    return F.try_to_date(value, "yyyy-MM-dd")
+    """Nearly all dates have the plain form, which a cast reads several times as fast as a pattern; others go by the pattern."""
+    plain = value.rlike(r"^[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}\z")
+    return F.when(plain, value.try_cast("date")).otherwise(F.try_to_date(value, "yyyy-MM-dd"))
 
 
 def whole_number(value: Column) -> Column:

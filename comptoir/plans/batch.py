@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,11 +12,15 @@ from comptoir.operators.cleaning import CLEANERS
 from comptoir.operators.revenue import revenue_by_axes, revenue_of_axis
 from comptoir.plans.intake import Intake, ingest, read_outcomes
 from comptoir.schemas import ENRICHED_COLUMNS
+from comptoir.session import at_once, settings
 from comptoir.sinks import replace_table
 from comptoir.sources.lots import read_raw, read_table
 
 CURATED = {"ca_par_ville": "ville", "ca_par_categorie": "categorie"}
 
+#: Matched sales are not sorted to be written to two partitions: a task holds both files open.
+TWO_FILES_OPEN = {"spark.sql.optimizer.plannedWrite.enabled": "false", "spark.sql.maxConcurrentOutputFileWriters": "2"}
+
 
 def processed(lake: str, table: str) -> str:
     return f"{lake}/processed/{table}"
@@ -41,20 +46,22 @@ def has_breaks(spark: SparkSession, lake: str, by_hand: bool) -> bool:
 
 
 def clean_zone(spark: SparkSession, raw: str, lake: str, cleaners: dict = CLEANERS, by_hand: bool = True) -> None:
-    for source, rows in read_raw(spark, raw, has_breaks(spark, lake, by_hand)).items():
-        replace_table(cleaners[source](rows), processed(lake, source))
+    at_once(spark, [partial(replace_table, cleaners[source](rows), processed(lake, source))
+                    for source, rows in read_raw(spark, raw, has_breaks(spark, lake, by_hand)).items()])
 
 
 def match_zone(spark: SparkSession, lake: str) -> None:
-    """Join once; usable and rejected sales become the two partitions of one table.
-
-    The usable ones are also written as ``ventes_enrichies``, the 17 columns that readers know.
-    """
+    """Join once; usable and rejected sales become the two partitions of one table."""
     tables = [read_table(spark, processed(lake, source))
               for source in ("ventes", "clients", "produits", "magasins")]
     matched = enrichment.match_sales(*tables)
-    replace_table(matched.withColumn("exploitable", enrichment.usable()),
-                  processed(lake, "ventes_rapprochees"), partition_by="exploitable")
+    with settings(spark, TWO_FILES_OPEN):
+        replace_table(matched.withColumn("exploitable", enrichment.usable()),
+                      processed(lake, "ventes_rapprochees"), partition_by="exploitable")
+
+
+def enriched_zone(spark: SparkSession, lake: str) -> None:
+    """The usable sales once more, as ``ventes_enrichies``, the 17 columns that readers know."""
     replace_table(read_enriched(spark, lake), processed(lake, "ventes_enrichies"))
 
 
@@ -74,13 +81,13 @@ def curate_zone(spark: SparkSession, lake: str) -> None:
 
 def run_batch(spark: SparkSession, lake: str, raw: str | None = None,
               cleaners: dict = CLEANERS, by_hand: bool = True) -> None:
-    """Each step reads the tables the one before has written, so no lineage spans the job.
+    """Each step reads the tables the one before has written, so no lineage spans the job. The last two need the same table only.
 
     Say ``by_hand=False`` if the ingestion has filed every lot: what it found tells how lots can be read.
     """
     clean_zone(spark, raw or f"{lake}/raw", lake, cleaners, by_hand)
     match_zone(spark, lake)
-    curate_zone(spark, lake)
+    at_once(spark, [partial(zone, spark, lake) for zone in (enriched_zone, curate_zone)])
 
 
 def run_all(spark: SparkSession, landing: str, lake: str, at: datetime | None = None) -> Intake:

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -46,3 +50,26 @@ def work_folder(spark: SparkSession) -> str:
     filesystem.mkdirs(hadoop_path)
     filesystem.deleteOnExit(hadoop_path)
     return folder
+
+
+def at_once(spark: SparkSession, steps: list[Callable[[], None]]) -> None:
+    """Steps that do not need each other, run side by side: tasks of one take the cores that the last tasks of another leave.
+
+    All have ended when this returns; the first error is raised then.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
+            done.result()
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings of the session while the block runs."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -2,13 +2,22 @@
 
 import json
 import random
+import threading
+import time
 
+import pytest
 from lake_files import put
 from pyspark.sql import functions as F
 
+from comptoir import session
 from comptoir.catalog import files as W
-from comptoir.catalog import landing
+from comptoir.catalog import landing, queries
+from comptoir.functions import strict_date
 from comptoir.operators import control, ingestion
+from comptoir.operators.cleaning import CLEANERS
+from comptoir.plans import batch
+from comptoir.schemas import REQUIRED_FIELDS
+from comptoir.sinks import replace_table
 from comptoir.sources import lots, messages
 from comptoir.streaming import job
 
@@ -165,3 +174,88 @@ def test_items_of_a_json_lot_are_not_held():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 4 * size
+
+
+def test_steps_that_do_not_need_each_other_run_side_by_side(spark, tmp_path, monkeypatch):
+    """One after the other, they would wait for each other in vain."""
+    met, written = threading.Barrier(4), []
+
+    def meets(rows, path, *_, **__):
+        if "ingest_date=" not in path:
+            met.wait(30)
+        written.append(path.split("/")[-1])
+
+    for name in ("write_sales_csv", "write_json_arrays", "write_products_xml", "write_workbooks"):
+        monkeypatch.setattr(W, name, meets)
+    monkeypatch.setattr(queries, "run_batch", lambda *_: None)
+    monkeypatch.setattr(queries, "both_axes", lambda *_: None)
+    queries.batch_revenue(spark, "/root/testdata/sf0.001")
+    assert sorted(written) == ["ingest_date=2026-10-02"] * 2 + ["initial"] * 2 + ["magasins", "ventes"]
+
+    written.clear()
+    for source in ("ventes", "clients", "produits", "magasins"):
+        (tmp_path / "raw" / source).mkdir(parents=True)
+    monkeypatch.setattr(batch, "replace_table", meets)
+    batch.clean_zone(spark, f"{tmp_path}/raw", f"{tmp_path}/lake")
+    assert sorted(written) == ["clients", "magasins", "produits", "ventes"]
+
+    met, written = threading.Barrier(2), []
+    for name in ("clean_zone", "match_zone"):
+        monkeypatch.setattr(batch, name, lambda *_: None)
+    for name in ("enriched_zone", "curate_zone"):
+        monkeypatch.setattr(batch, name, lambda _, lake: meets(None, lake))
+    batch.run_batch(spark, "lake")
+    assert written == ["lake", "lake"]
+
+
+def test_an_error_is_raised_when_the_other_steps_have_ended(spark):
+    ended = []
+
+    def fails():
+        raise ValueError("lost")
+
+    def lasts():
+        time.sleep(0.2)
+        ended.append(spark.range(3).count())
+
+    with pytest.raises(ValueError, match="lost"):
+        session.at_once(spark, [fails, lasts])
+    assert ended == [3]
+
+
+def test_matched_sales_are_not_sorted_to_be_written(spark, tmp_path, monkeypatch):
+    tables = {name: clean(spark.createDataFrame([], ", ".join(f"{c} string" for c in [*REQUIRED_FIELDS[name], "_fichier_source", "_ingest_date"])))
+              for name, clean in CLEANERS.items()}
+    sales = tables["ventes"].unionByName(spark.range(40).selectExpr(
+        "CAST(id AS STRING) AS id_vente", "CAST(NULL AS DATE) AS date_vente", "CAST(NULL AS STRING) AS date_vente_source",
+        "'C1' AS id_client", "'P1' AS id_produit", "'M1' AS id_magasin", "CAST(id % 2 AS INT) AS quantite", "'' AS ingest_date",
+        "CAST(NULL AS STRING) AS anomalies"))
+    tables["ventes"] = sales.repartition(1, "quantite").sortWithinPartitions("id_vente")
+    tables["produits"] = spark.createDataFrame([("P1", "p", "c", 2.0)], tables["produits"].schema)
+    for name, rows in tables.items():
+        replace_table(rows, batch.processed(str(tmp_path), name))
+    names = [*batch.TWO_FILES_OPEN]
+    before, seen = [spark.conf.get(n) for n in names], []
+    write = batch.replace_table
+
+    def watched(rows, path, **options):
+        write(rows, path, **options)
+        seen.append([spark.conf.get(n) for n in names])
+
+    monkeypatch.setattr(batch, "replace_table", watched)
+    batch.match_zone(spark, str(tmp_path))
+    assert seen == [["false", "2"]] and [spark.conf.get(n) for n in names] == before
+    assert batch.read_enriched(spark, str(tmp_path)).count() == 20
+    assert batch.read_rejected(spark, str(tmp_path)).count() == 20
+
+
+def test_dates_of_the_plain_form_are_cast_and_others_read_as_before(spark):
+    texts = ["2026-03-01", "2026-02-30", "2026-02-29", "2024-02-29", "2026-13-01", "2026-00-10", "2026-3-1", "2026-03-1T", "2026-03-01\n",
+             "2026-03-01 ", "2026-03-01T10", "+2026-03-01", "-2026-03-01", "0000-01-01", "0001-01-01", "0999-12-31", "1000-01-01", "1582-10-10",
+             "1500-02-29", "1911-03-11", "9999-12-31", "10000-01-01", "+10000-01-01", "２０２６-03-01", "2026/03/01", "", "x", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "v string")
+    for zone in ("UTC", "Europe/Paris", "America/Sao_Paulo"):
+        with session.settings(spark, {"spark.sql.session.timeZone": zone}):
+            found = rows.select("v", strict_date(F.col("v")).cast("string"), F.try_to_date("v", "yyyy-MM-dd").cast("string")).collect()
+            assert [(r[0], r[1]) for r in found] == [(r[0], r[2]) for r in found]
+    assert "cast(v" in plan_of(rows.select(strict_date(F.col("v")))).lower().replace("#", " ").replace("try_cast", "cast")
