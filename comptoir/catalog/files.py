@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import json
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -110,10 +110,12 @@ def _store_files(files: DataFrame, folder: str) -> None:
     run(files.mapInPandas(store, "path string"))
 
 
-def write_sales_csv(rows: DataFrame, folder: str) -> None:
-    (rows.select(*REQUIRED_FIELDS["ventes"]).write.mode("overwrite").option("header", True)
-     .option("maxRecordsPerFile", LOT_ROWS)  # a lot whose records may go over several lines is read by one task
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder))
+def write_sales_csv(rows: DataFrame | Sequence[DataFrame], folder: str) -> None:
+    """Rows given in pieces are written one piece after the other."""
+    for number, piece in enumerate([rows] if isinstance(rows, DataFrame) else rows):
+        (piece.select(*REQUIRED_FIELDS["ventes"]).write.mode("append" if number else "overwrite").option("header", True)
+         .option("maxRecordsPerFile", LOT_ROWS)  # a lot whose records may go over several lines is read by one task
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder))
 
 
 def write_json_arrays(rows: DataFrame, folder: str, source: str = "clients") -> None:

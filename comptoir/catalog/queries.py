@@ -17,7 +17,7 @@ from comptoir.operators.joins import all_of, lookup
 from comptoir.operators.revenue import revenue_by
 from comptoir.plans.batch import CURATED, has_breaks, run_batch
 from comptoir.schemas import KEYS
-from comptoir.session import at_once, work_folder
+from comptoir.session import SHUFFLES_FREED, at_once, settings, work_folder
 from comptoir.sinks import replace_table, write_new
 from comptoir.sources import lots
 from comptoir.sources.inventory import data_line_counts, lake_inventory, list_objects
@@ -29,6 +29,8 @@ from comptoir.streaming.job import AVAILABLE_NOW, FILE_ROWS, read_history, read_
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 AT = "2026-10-02 08:30:00"
+#: Sales that are versioned at once to write source files.
+SALES_AT_ONCE = 120_000_000
 
 
 def query(function: Query) -> Query:
@@ -205,13 +207,15 @@ def batch_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch job: files of the four sources to the two curated tables."""
     lake = work_folder(spark)
     # One row per sale: the parts of one lot carry no order that the versions could follow.
-    sales = versions.latest_version(source(spark, sf_dir, "ventes"), "id_vente")
-    customers, products, stores = (source(spark, sf_dir, name) for name in ("clients", "produits", "magasins"))
-    at_once(spark, [
-        lambda: W.write_sales_csv(sales, f"{lake}/raw/ventes"),
-        lambda: W.write_lots(customers, f"{lake}/raw/clients", W.write_json_arrays),
-        lambda: W.write_lots(products, f"{lake}/raw/produits", W.write_products_xml),
-        lambda: W.write_workbooks(stores, f"{lake}/raw/magasins")])
+    sold, customers, products, stores = (source(spark, sf_dir, name) for name in ("ventes", "clients", "produits", "magasins"))
+    with settings(spark, SHUFFLES_FREED):
+        sales = [versions.latest_version(part, "id_vente")
+                 for part in versions.parts_by_key(sold, "id_vente", -(-sold.count() // SALES_AT_ONCE))]
+        at_once(spark, [
+            lambda: W.write_sales_csv(sales, f"{lake}/raw/ventes"),
+            lambda: W.write_lots(customers, f"{lake}/raw/clients", W.write_json_arrays),
+            lambda: W.write_lots(products, f"{lake}/raw/produits", W.write_products_xml),
+            lambda: W.write_workbooks(stores, f"{lake}/raw/magasins")])
     run_batch(spark, lake)
     return both_axes(spark, f"{lake}/curated")
 

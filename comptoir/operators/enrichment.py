@@ -21,11 +21,15 @@ STAND_INS = {
 
 def attach_references(sales: DataFrame, customers: DataFrame, products: DataFrame,
                       stores: DataFrame) -> DataFrame:
-    """Every sale with what is known of its customer, product and store."""
+    """Every sale with what is known of its customer, product and store.
+
+    Stores are the fewest, so they are met last: sent to the tasks, they do not widen the rows that are shuffled for the others.
+    """
     matched = sales
-    for key, dimension in (("id_produit", products), ("id_magasin", stores), ("id_client", customers)):
+    for key, dimension in (("id_produit", products), ("id_client", customers), ("id_magasin", stores)):
         matched = lookup(matched, dimension, key)
-    return matched
+    keys = ["id_client", "id_magasin", "id_produit"]
+    return matched.select(*keys, *[name for table in (sales, products, stores, customers) for name in table.columns if name not in keys])
 
 
 def label_references(matched: DataFrame) -> DataFrame:

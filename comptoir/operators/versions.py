@@ -29,6 +29,18 @@ def latest_version(rows: DataFrame, key: str, ties: Sequence[str] | None = None)
             .drop("_version"))
 
 
+def parts_by_key(rows: DataFrame, key: str, parts: int) -> list[DataFrame]:
+    """The rows in parts, each with all rows of its identifiers, so that a part can be versioned by itself.
+
+    Every part scans the rows again, but only its own are shuffled: written one after the other, the parts need the disk of one shuffle
+    of theirs, not of all rows.
+    """
+    if parts < 2:
+        return [rows]
+    place = F.pmod(F.xxhash64(identifier(key)), F.lit(parts))
+    return [rows.where(place == part) for part in range(parts)]
+
+
 def drop_duplicate_keys(rows: DataFrame, key: str) -> DataFrame:
     """Keep any one row per key as it is written: ' V1' and 'V1' are two keys."""
     return rows.dropDuplicates([key])

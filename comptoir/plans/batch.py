@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from comptoir.operators import enrichment
 from comptoir.operators.cleaning import CLEANERS
 from comptoir.operators.revenue import revenue_by_axes, revenue_of_axis
+from comptoir.operators.versions import parts_by_key
 from comptoir.plans.intake import Intake, ingest, read_outcomes
-from comptoir.schemas import ENRICHED_COLUMNS
-from comptoir.session import at_once, settings
-from comptoir.sinks import replace_table
+from comptoir.schemas import ENRICHED_COLUMNS, KEYS
+from comptoir.session import SHUFFLES_FREED, at_once, settings, stored_bytes
+from comptoir.sinks import read_pieces, replace_table
 from comptoir.sources.lots import read_raw, read_table
 
 CURATED = {"ca_par_ville": "ville", "ca_par_categorie": "categorie"}
@@ -21,6 +22,9 @@ CURATED = {"ca_par_ville": "ville", "ca_par_categorie": "categorie"}
 #: Matched sales are not sorted to be written to two partitions: a task holds both files open.
 TWO_FILES_OPEN = {"spark.sql.optimizer.plannedWrite.enabled": "false", "spark.sql.maxConcurrentOutputFileWriters": "2"}
 
+#: Bytes of sales lots, and of the cleaned sales, that are shuffled at once. More are taken in parts, one after the other.
+RAW_BYTES, CLEAN_BYTES = 8 << 30, 384 << 20
+
 
 def processed(lake: str, table: str) -> str:
     return f"{lake}/processed/{table}"
@@ -46,18 +50,21 @@ def has_breaks(spark: SparkSession, lake: str, by_hand: bool) -> bool:
 
 
 def clean_zone(spark: SparkSession, raw: str, lake: str, cleaners: dict = CLEANERS, by_hand: bool = True) -> None:
-    at_once(spark, [partial(replace_table, cleaners[source](rows), processed(lake, source))
-                    for source, rows in read_raw(spark, raw, has_breaks(spark, lake, by_hand)).items()])
+    """The sales, by far the largest source, are cleaned in parts if they are many: a cleaner sees all rows of an identifier at once."""
+    sources = read_raw(spark, raw, has_breaks(spark, lake, by_hand))
+    parts = {source: [rows] for source, rows in sources.items()}
+    parts["ventes"] = parts_by_key(sources["ventes"], KEYS["ventes"], -(-stored_bytes(spark, f"{raw}/ventes") // RAW_BYTES))
+    at_once(spark, [partial(replace_table, [cleaners[source](rows) for rows in parts[source]], processed(lake, source))
+                    for source in sources])
 
 
 def match_zone(spark: SparkSession, lake: str) -> None:
-    """Join once; usable and rejected sales become the two partitions of one table."""
-    tables = [read_table(spark, processed(lake, source))
-              for source in ("ventes", "clients", "produits", "magasins")]
-    matched = enrichment.match_sales(*tables)
+    """Join once; usable and rejected sales become the two partitions of one table. Many sales are joined in parts."""
+    references = [read_table(spark, processed(lake, source)) for source in ("clients", "produits", "magasins")]
+    matched = [enrichment.match_sales(sales, *references).withColumn("exploitable", enrichment.usable())
+               for sales in read_pieces(spark, processed(lake, "ventes"), CLEAN_BYTES)]
     with settings(spark, TWO_FILES_OPEN):
-        replace_table(matched.withColumn("exploitable", enrichment.usable()),
-                      processed(lake, "ventes_rapprochees"), partition_by="exploitable")
+        replace_table(matched, processed(lake, "ventes_rapprochees"), partition_by="exploitable")
 
 
 def enriched_zone(spark: SparkSession, lake: str) -> None:
@@ -85,9 +92,10 @@ def run_batch(spark: SparkSession, lake: str, raw: str | None = None,
 
     Say ``by_hand=False`` if the ingestion has filed every lot: what it found tells how lots can be read.
     """
-    clean_zone(spark, raw or f"{lake}/raw", lake, cleaners, by_hand)
-    match_zone(spark, lake)
-    at_once(spark, [partial(zone, spark, lake) for zone in (enriched_zone, curate_zone)])
+    with settings(spark, SHUFFLES_FREED):
+        clean_zone(spark, raw or f"{lake}/raw", lake, cleaners, by_hand)
+        match_zone(spark, lake)
+        at_once(spark, [partial(zone, spark, lake) for zone in (enriched_zone, curate_zone)])
 
 
 def run_all(spark: SparkSession, landing: str, lake: str, at: datetime | None = None) -> Intake:

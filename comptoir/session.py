@@ -11,6 +11,9 @@ from contextlib import contextmanager
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+#: Shuffles leave the disks of the executors as soon as their job has ended, not when the driver happens to collect its garbage.
+SHUFFLES_FREED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 
 def _located(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -28,6 +31,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return filesystem.makeQualified(hadoop_path).toString()
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, or below those that a pattern names."""
+    filesystem, hadoop_path = _located(spark, path)
+    return sum(filesystem.getContentSummary(found.getPath()).getLength() for found in filesystem.globStatus(hadoop_path) or ())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """A folder and all that is in it; nothing if it is not there."""
     filesystem, hadoop_path = _located(spark, path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,22 +26,26 @@ def write_new(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
-def replace_table(rows: DataFrame, path: str, files: int | None = None,
+def replace_table(rows: DataFrame | Sequence[DataFrame], path: str, files: int | None = None,
                   partition_by: str | None = None) -> None:
     """Replace a Parquet table. ``files`` is for small results only: it narrows the last stage.
 
+    Rows given in pieces are written one piece after the other, so that the shuffles of one lie on the disks at once.
+
     The rows become a version of their own, and the pointer to it is switched last: until then, and if the job is lost, readers
     have the old table (`read_table`). The version before stays for readers that have begun; older ones go.
     """
-    spark = rows.sparkSession
+    pieces = [rows] if isinstance(rows, DataFrame) else rows
+    spark = pieces[0].sparkSession
     path = qualified(spark, path)
     before, version = _current(spark, path), uuid.uuid4().hex
-    if files is not None:
-        rows = rows.coalesce(files)
-    writer = rows.write
-    if partition_by is not None:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(f"{path}/{VERSIONS}/{version}")
+    for piece in pieces:
+        if files is not None:
+            piece = piece.coalesce(files)
+        writer = piece.write.mode("append").option("compression", "zstd")
+        if partition_by is not None:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(f"{path}/{VERSIONS}/{version}")
     write_file(f"{path}/{POINTER}", version.encode())
     for old, size, _ in tree(f"{path}/{VERSIONS}", 1):
         if size is None and old not in (version, before):
@@ -54,11 +59,26 @@ def _current(spark: SparkSession, path: str) -> str | None:
         return pointer.read().decode()
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The current version of a table, or the files of a folder that has no versions."""
+def _folder(spark: SparkSession, path: str) -> str:
     path = qualified(spark, path)
     version = _current(spark, path)
-    return spark.read.parquet(path if version is None else f"{path}/{VERSIONS}/{version}")
+    return path if version is None else f"{path}/{VERSIONS}/{version}"
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table, or the files of a folder that has no versions."""
+    return spark.read.parquet(_folder(spark, path))
+
+
+def read_pieces(spark: SparkSession, path: str, most: int) -> list[DataFrame]:
+    """A table without partitions in pieces of whole files, of about `most` bytes each; every file is in one of them."""
+    folder = _folder(spark, path)
+    files = sorted((size, key) for key, size, _ in tree(folder) if not any(name.startswith("_") for name in key.split("/")))
+    pieces = min(-(-sum(size for size, _ in files) // most), len(files))
+    if pieces < 2:
+        return [spark.read.parquet(folder)]
+    dealt = [files[first::pieces] for first in range(pieces)]  # by size, so that all weigh about the same
+    return [spark.read.parquet(*(f"{folder}/{key}" for _, key in piece)) for piece in dealt]
 
 
 def replace_partition(rows: DataFrame, path: str, column: str, file_format: str = "parquet") -> None:

@@ -1,0 +1,133 @@
+"""What must not grow with the input: the disk that lies in shuffles at once."""
+
+import re
+import time
+from pathlib import Path
+
+from pyspark.sql import functions as F
+from test_batch import deposited  # noqa: F401
+
+from comptoir.catalog import files as W
+from comptoir.catalog import queries
+from comptoir.operators import enrichment, versions
+from comptoir.operators.cleaning import CLEANERS, SINGLE_DEPOSIT_CLEANERS
+from comptoir.plans import batch
+from comptoir.schemas import REQUIRED_FIELDS
+from comptoir.session import SHUFFLES_FREED, settings
+from comptoir.sinks import read_pieces, read_table, replace_table
+
+SF_DIR = "/root/testdata/sf0.001"
+TABLES = ("processed/ventes", "processed/clients", "processed/produits", "processed/magasins", "processed/ventes_rapprochees",
+          "processed/ventes_enrichies", "curated/ca_par_ville", "curated/ca_par_categorie")
+
+
+def shuffled(spark) -> set:
+    """Shuffle files on the disk, but for those of a few rows."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = [Path(str(f)) for folder in manager.localDirs() for f in Path(folder.getPath()).rglob("shuffle_*.data")]
+    return {f for f in found if f.exists() and f.stat().st_size > 2000}
+
+
+def contents(spark, lake):
+    return {name: sorted(map(str, read_table(spark, f"{lake}/{name}").collect())) for name in TABLES}
+
+
+def test_shuffles_leave_the_disk_when_their_step_has_ended(spark, monkeypatch):
+    seen, steps = [], (batch.clean_zone, batch.match_zone)
+    before = shuffled(spark)
+
+    def settled():
+        for _ in range(40):  # executors remove files a moment later
+            if not (left := shuffled(spark) - before):
+                break
+            time.sleep(0.25)
+        seen.append(left)
+
+    def then(step):
+        return lambda *a: (settled(), step(*a), settled())
+
+    for step in steps:
+        monkeypatch.setattr(batch, step.__name__, then(step))
+    rows = queries.batch_revenue(spark, SF_DIR)
+    settled()
+    assert seen == [set()] * 5
+    assert rows.count() > 0
+    assert all(spark.conf.get(name, None) in (None, "false") for name in SHUFFLES_FREED)
+
+
+def test_parts_hold_all_rows_of_an_identifier(spark):
+    rows = spark.createDataFrame([(k, n) for n in range(3) for i in range(50) for k in (f"v{i}", f" V{i} ")] + [(None, 0), (None, 1), ("", 0)],
+                                 "id string, n int")
+    assert versions.parts_by_key(rows, "id", 1) == [rows] and versions.parts_by_key(rows, "id", 0) == [rows]
+    parts = [[tuple(r) for r in part.collect()] for part in versions.parts_by_key(rows, "id", 3)]
+    assert sorted(map(str, sum(parts, []))) == sorted(str(tuple(r)) for r in rows.collect())
+    keys = [{k and k.strip().upper() for k, _ in part} for part in parts]
+    assert all(keys) and sum(map(len, keys)) == len(set().union(*keys)) == 52
+
+
+def test_a_batch_in_parts_writes_what_it_writes_at_once(spark, deposited, monkeypatch):  # noqa: F811
+    lake, pieces = f"{deposited}/lake", {}
+    write = batch.replace_table
+
+    def counted(rows, path, **options):
+        pieces[path.split("/")[-1]] = len(rows) if isinstance(rows, list) else 1
+        write(rows, path, **options)
+
+    monkeypatch.setattr(batch, "replace_table", counted)
+    for cleaners in (CLEANERS, SINGLE_DEPOSIT_CLEANERS):
+        monkeypatch.setattr(batch, "RAW_BYTES", 1 << 30)
+        monkeypatch.setattr(batch, "CLEAN_BYTES", 1 << 30)
+        batch.run_batch(spark, lake, cleaners=cleaners)
+        assert set(pieces.values()) == {1}
+        whole = contents(spark, lake)
+        monkeypatch.setattr(batch, "RAW_BYTES", 100)
+        monkeypatch.setattr(batch, "CLEAN_BYTES", 1)
+        batch.run_batch(spark, lake, cleaners=cleaners)
+        assert pieces["ventes"] == 3 and pieces["ventes_rapprochees"] >= 3
+        assert contents(spark, lake) == whole
+
+
+def test_source_files_in_parts_hold_the_same_sales(spark, tmp_path, monkeypatch):
+    at_once = W.write_sales_csv
+    written = []
+
+    def kept(rows, folder):
+        at_once(rows, folder)
+        at_once(rows, f"{tmp_path}/{len(written)}")
+        written.append(len(rows))
+
+    monkeypatch.setattr(W, "write_sales_csv", kept)
+    monkeypatch.setattr(queries, "run_batch", lambda *_: None)
+    monkeypatch.setattr(queries, "both_axes", lambda *_: None)
+    for most in (queries.SALES_AT_ONCE, 2500):
+        monkeypatch.setattr(queries, "SALES_AT_ONCE", most)
+        queries.batch_revenue(spark, SF_DIR)
+    assert written == [1, 3]  # of 6,000 sales
+    lots = [sorted(map(str, spark.read.option("header", True).csv(f"{tmp_path}/{n}").collect())) for n in (0, 1)]
+    assert lots[0] == lots[1] and len(lots[0]) > 1000
+
+
+def test_pieces_of_a_table_hold_each_row_once(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = spark.range(0, 1000, 1, 7)
+    replace_table([rows.where("id < 400"), rows.where("id >= 400")], path)
+    size = sum(p.stat().st_size for p in Path(path).rglob("*.parquet"))
+    for most, pieces in ((size, 1), (size // 3 + 1, 3), (1, len(list(Path(path).rglob("*.parquet"))))):
+        found = read_pieces(spark, path, most)
+        assert len(found) == pieces
+        assert sorted(r.id for piece in found for r in piece.collect()) == list(range(1000))
+    replace_table(rows.limit(0), path)
+    assert [piece.count() for piece in read_pieces(spark, path, 1)] == [0]
+
+
+def test_stores_do_not_widen_the_rows_shuffled_for_the_others(spark):
+    tables = [clean(spark.createDataFrame([], ", ".join(f"{c} string" for c in [*REQUIRED_FIELDS[name], "_fichier_source", "_ingest_date"])))
+              for name, clean in CLEANERS.items()]
+    matched = enrichment.match_sales(*tables)
+    assert matched.columns == [
+        "id_client", "id_magasin", "id_produit", "id_vente", "date_vente", "date_vente_source", "quantite", "ingest_date", "anomalies",
+        "nom_produit", "categorie", "prix_unitaire", "nom_magasin", "ville", "region", "nom_client", "ville_client", "segment", "montant"]
+    text = matched._jdf.queryExecution().optimizedPlan().toString()
+    assert re.findall(r"Join LeftOuter, \((\w+)#", text) == ["id_magasin", "id_client", "id_produit"]
+    tables[3] = tables[3].withColumn("nom_magasin", F.lit("x"))
+    assert enrichment.match_sales(*tables).columns == matched.columns
